@@ -6,7 +6,10 @@ from importlib import import_module
 
 #: query name: module
 MODULES = {
+    "op1_language_id": "langid",
     "op2_token_output": "token_output",
+    "op3_quality_classifier": "quality",
+    "op4_benchmark_decontamination": "decontaminate",
     "op9_best_fit_packing": "packing",
 }
 
