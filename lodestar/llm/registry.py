@@ -11,6 +11,7 @@ MODULES = {
     "op3_quality_classifier": "quality",
     "op4_benchmark_decontamination": "decontaminate",
     "op9_best_fit_packing": "packing",
+    "op10_ngram_jaccard_join": "ngram_join",
 }
 
 
