@@ -10,6 +10,8 @@ MODULES = {
     "op2_token_output": "token_output",
     "op3_quality_classifier": "quality",
     "op4_benchmark_decontamination": "decontaminate",
+    "op6_exact_top_k": "hamming",
+    "op7_substring_dedup": "line_dedup",
     "op9_best_fit_packing": "packing",
     "op10_ngram_jaccard_join": "ngram_join",
 }
@@ -20,4 +22,7 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from .hamming import OP6_SQL
+    from .line_dedup import OP7_SQL
+
+    return {"op6_exact_top_k": OP6_SQL, "op7_substring_dedup": OP7_SQL}
