@@ -10,6 +10,7 @@ MODULES = {
     "op2_token_output": "token_output",
     "op3_quality_classifier": "quality",
     "op4_benchmark_decontamination": "decontaminate",
+    "op5_secret_scan": "secrets",
     "op6_exact_top_k": "hamming",
     "op7_substring_dedup": "line_dedup",
     "op9_best_fit_packing": "packing",
