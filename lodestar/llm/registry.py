@@ -13,6 +13,7 @@ MODULES = {
     "op5_secret_scan": "secrets",
     "op6_exact_top_k": "hamming",
     "op7_substring_dedup": "line_dedup",
+    "op8_personal_data": "pii",
     "op9_best_fit_packing": "packing",
     "op10_ngram_jaccard_join": "ngram_join",
 }
