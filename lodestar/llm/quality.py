@@ -164,22 +164,33 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
     return train([bytes(x) for x in found["raw"]], found["quality"].to_numpy(np.float64))
 
 
-def predict(docs: DataFrame, net: dict, threshold: float = THRESHOLD, keep: list[str] | None = None) -> DataFrame:
-    """docs' rows with score and predicted; keep names the columns to carry (doc_id)."""
-    names = keep or ["doc_id"]
-    source = docs.select(*[F.col(c) for c in names], F.coalesce(F.col("text").cast("string"), F.lit("")).alias("__text"))
+def predict(docs: DataFrame, net: dict, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, score and predicted of every row of docs."""
+    schema = "doc_id long, score double, predicted int"
+    out_schema = common.fields(schema)
     shared = docs.sparkSession.sparkContext.broadcast(net)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in common.sliced(batches, name="__text"):
-            raw = [x.encode() for x in batch.column(batch.num_columns - 1).to_pylist()]
-            s = score(shared.value, raw)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(s), pa.array((s >= threshold).astype(np.int32))], names=[*names, "__score", "__predicted"])
+        for batch in common.sliced(batches):
+            s = score(shared.value, [t.encode("utf-8", "surrogatepass") for t in common.texts_of(batch)])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s), pa.array((s >= threshold).astype(np.int32))], schema=out_schema)
 
-    from pyspark.sql import types as T
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
 
-    schema = T.StructType([*docs.select(*names).schema.fields, T.StructField("__score", T.DoubleType()), T.StructField("__predicted", T.IntegerType())])
-    return source.mapInArrow(run, schema)
+
+def good_documents(docs: DataFrame, net: dict, threshold: float = THRESHOLD) -> DataFrame:
+    """docs without the rows that score below threshold; all columns stay."""
+    names = docs.columns
+    renamed = docs.toDF(*[f"__c{i}" for i in range(len(names))])
+    at = names.index("text")
+    shared = docs.sparkSession.sparkContext.broadcast(net)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in common.sliced(batches, name=f"__c{at}"):
+            s = score(shared.value, [(x or "").encode() for x in batch.column(at).to_pylist()])
+            yield batch.filter(pa.array(s >= threshold))
+
+    return renamed.mapInArrow(run, renamed.schema).toDF(*names)
 
 
 def held_out() -> F.Column:
@@ -191,4 +202,4 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A quality score for every text of `documents`."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     net = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet").where(~held_out()))
-    return predict(docs.withColumn("doc_id", F.col("doc_id").cast("long")), net).select("doc_id", held_out().alias("held_out"), F.col("__score").alias("score"), F.col("__predicted").alias("predicted"))
+    return predict(docs, net).select("doc_id", held_out().alias("held_out"), "score", "predicted")

@@ -20,7 +20,9 @@ MODULES = {
 
 
 def queries() -> dict:
-    return {name: getattr(import_module(f".{module}", __package__), name) for name, module in MODULES.items()}
+    out = {name: getattr(import_module(f".{module}", __package__), name) for name, module in MODULES.items()}
+    out["pipeline"] = import_module("corpus_pipeline").run
+    return out
 
 
 def oracle_sql() -> dict[str, str]:
