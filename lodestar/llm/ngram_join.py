@@ -36,9 +36,14 @@ WIDTH, PART = 1 << 20, 1 << 14
 BITS = 44
 KEPT_WORDS = 500_000
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
-#: Groups under one n-gram go on by stars while their squares sum to more than so many times the rows.
+#: Groups under one n-gram go on by stars while their squares sum to more than so many times the rows,
+#: and so many more, which a join compares in seconds.
 PAIRS_A_ROW = 8
-ROUNDS = 12
+SQUARES = 50_000_000
+ROUNDS = 6
+#: Pairs of a hub that one task takes, and pairs whose ids may be sent to all tasks (24 bytes each).
+STAR = 2000
+BROADCAST_KEYS = 1_000_000
 
 
 class _Words(dict):
@@ -170,82 +175,124 @@ def _overlap(a: np.ndarray, b: np.ndarray, need: int) -> int:
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) that link. Whole sets come from one text of each class that has a pair."""
-    wanted = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct()
-    ids = wanted.join(classes, "sid").select("sid", F.col("doc_id").alias("__id"))
+    """The pairs (hub, other) that link, as (a, b), verified on whole sets.
+
+    One text of each class that has a pair becomes its set, and goes once to each hub it is paired
+    with; a hub of many pairs is dealt over salts. At a hub's place its own set comes first and is held
+    while the others pass."""
+    sizes = pairs.groupBy("hub").agg(F.ceil(F.count("*") / STAR).cast("int").alias("s"))
+    members = pairs.join(sizes, "hub").select(F.col("other").alias("sid"), "hub", F.pmod(F.xxhash64("other"), F.col("s")).cast("int").alias("salt"), F.lit(1).alias("role"))
+    heads = sizes.select(F.col("hub").alias("sid"), "hub", F.explode(F.sequence(F.lit(0), F.col("s") - 1)).alias("salt"), F.lit(0).alias("role"))
+    keys = members.unionByName(heads).groupBy("sid").agg(F.collect_list(F.struct("hub", "salt", "role")).alias("keys"))
+    ids = common.written(keys.join(classes, "sid").select(F.col("doc_id").alias("__id"), "sid", "keys"), "keys")
+    # the ids of pairs go to all tasks only up to a size that is counted; else the texts meet them by key
+    near = F.broadcast(ids) if (ids.agg(F.sum(F.size("keys"))).first()[0] or 0) <= BROADCAST_KEYS else ids
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = rows.join(ids, F.col("doc_id").eqNullSafe(F.col("__id"))).select("sid", "text")
-    set_schema = common.fields("sid long, items binary")
+    found = rows.join(near, F.col("doc_id").eqNullSafe(F.col("__id"))).select("text", "sid", "keys")
+    schema = "hub long, salt int, role int, items binary, sid long"
+    set_schema = common.fields(schema)
 
     def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in common.sliced(batches, 2 << 20):
-            out = []
-            for sid, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        for batch in common.sliced(batches, 1 << 20):
+            out: list[tuple] = []
+            size = 0
+            for text, sid, keys in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 s = shingles(text, k)
-                if set_id(s) == sid:  # rows that only share the id drop out
-                    out.append({"sid": sid, "items": s.tobytes()})
-            yield pa.RecordBatch.from_pylist(out, set_schema)
+                if set_id(s) != sid:  # rows that only share the id drop out
+                    continue
+                raw = s.tobytes()
+                for key in keys:
+                    out.append((key["hub"], key["salt"], key["role"], raw, sid))
+                    size += len(raw)
+                    if size > 8 << 20:
+                        yield _batch(out, set_schema)
+                        out, size = [], 0
+            if out:
+                yield _batch(out, set_schema)
 
-    items = common.written(found.mapInArrow(sets, "sid long, items binary").groupBy("sid").agg(F.first("items").alias("items")), "sets")
-    left, right = items.toDF("a", "x"), items.toDF("b", "y")
     out_schema = common.fields("a long, b long")
 
     def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, own = None, np.zeros(0, np.uint64)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                keep = []
-                for x, y in zip(part.column(2), part.column(3), strict=True):
-                    a, b = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                    need = -(-num * (len(a) + len(b)) // (num + den))
-                    keep.append(_overlap(a, b, need) >= need)
-                yield pa.RecordBatch.from_arrays([part.column(0).filter(pa.array(keep)), part.column(1).filter(pa.array(keep))], schema=out_schema)
+            a, b = [], []
+            hubs, salts, roles, sids = (batch.column(i).to_pylist() for i in (0, 1, 2, 4))
+            for i, (hub, salt, role, sid) in enumerate(zip(hubs, salts, roles, sids, strict=True)):
+                if role == 0:
+                    at, own = (hub, salt), np.frombuffer(batch.column(3)[i].as_py(), np.uint64)
+                elif at == (hub, salt):
+                    other = np.frombuffer(batch.column(3)[i].as_buffer(), np.uint64)
+                    need = -(-num * (len(own) + len(other)) // (num + den))
+                    if _overlap(own, other, need) >= need:
+                        a.append(hub)
+                        b.append(sid)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=out_schema)
+
+    dealt = found.mapInArrow(sets, schema).repartition("hub", "salt").sortWithinPartitions("hub", "salt", "role")
+    return common.written(dealt.mapInArrow(check, "a long, b long"), "links")
+
+
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+
 
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    return common.written(joined.mapInArrow(check, "a long, b long"), "links")
+def _open(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """Rows of groups with several labels, less those that no member of their group can match: what
+    follows a row's place is too little even for the shortest member."""
+    least = rows.groupBy("token").agg(F.min("n").alias("shortest"))
+    fit = ((F.col("n") - F.col("pos")).cast("long") * (num + den)) >= ((F.col("n") + F.col("shortest")).cast("long") * num)
+    kept = rows.join(least, "token").where(fit).drop("shortest")
+    several = kept.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("c")).where("lo < hi")
+    return kept.join(several.select("token", "c"), "token")
 
 
 def links(docs: DataFrame, indexed: DataFrame, counts: np.ndarray, k: int, num: int, den: int) -> DataFrame:
-    """(sid, component) of the classes that link with another; component is the least sid."""
+    """(node, component) of the classes that link with another; component is the least sid."""
     classes = indexed.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
     prefixes = _prefixes(docs, k, num, den, counts)
     several = prefixes.groupBy("token").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("lo < hi").select("token")
-    rows = common.written(prefixes.join(several, "token").groupBy("token", "sid").agg(F.first("n").alias("n"), F.min("pos").alias("pos")), "groups")
-    tried = edges = labels = None
+    rows = prefixes.join(several, "token").groupBy("token", "sid").agg(F.first("n").alias("n"), F.min("pos").alias("pos"))
+    active = common.written(_open(rows.withColumn("label", F.col("sid")), num, den), "open")
+    tried = edges = labels = hubs = None
     for round_ in range(ROUNDS + 1):
-        if labels is None:
-            active, size, squares = rows.withColumn("label", F.col("sid")), 0, 0
-        else:  # groups that still have several components
-            named = rows.join(labels, rows["sid"] == labels["node"], "left").select("token", "sid", "n", "pos", F.coalesce("component", "sid").alias("label"))
-            open_ = named.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("c")).where("lo < hi")
-            active = common.written(named.join(open_.select("token", "c"), "token"), "open")
-            r = active.agg(F.count("*"), F.sum(F.col("c"))).first()
-            size, squares = r[0], r[1] or 0
-            if not size:
-                break
-        if labels is not None and (squares <= PAIRS_A_ROW * size + 1_000_000 or round_ == ROUNDS):
-            one = active.select("token", F.col("sid").alias("a"), F.col("n").alias("n1"), F.col("pos").alias("pos1"), F.col("label").alias("l1"))
-            two = active.select("token", F.col("sid").alias("b"), F.col("n").alias("n2"), F.col("pos").alias("pos2"), F.col("label").alias("l2"))
-            pairs, last = one.join(two, "token").where("a < b and l1 != l2"), True
+        size, squares = active.agg(F.count("*"), F.sum("c")).first()
+        if not size:
+            break
+        last = round_ == ROUNDS or (round_ > 1 and squares <= PAIRS_A_ROW * size + SQUARES)
+        if last:
+            one = active.select("token", F.col("sid").alias("hub"), F.col("n").alias("n1"), F.col("pos").alias("pos1"), F.col("label").alias("l1"))
+            two = active.select("token", F.col("sid").alias("other"), F.col("n").alias("n2"), F.col("pos").alias("pos2"), F.col("label").alias("l2"))
+            pairs = one.join(two, "token").where("hub < other and l1 != l2")
         else:
-            # each round another member is the middle of the star
-            hub = active.groupBy("token").agg(F.min_by(F.struct("sid", "n", "pos", "label"), F.xxhash64("sid", F.lit(round_))).alias("h"))
-            star = active.join(hub, "token").where("sid != h.sid and label != h.label")
-            pairs = star.select(F.least("sid", "h.sid").alias("a"), F.greatest("sid", "h.sid").alias("b"), F.col("n").alias("n1"), F.col("pos").alias("pos1"), F.col("h.n").alias("n2"), F.col("h.pos").alias("pos2"))
-            last = False
-        pairs = pairs.where(_allowed(num, den)).select("a", "b").distinct()
+            # the middle of a star is the member with least before the n-gram, so likely the least
+            # edited; each round takes the next one
+            place = F.struct("pos", "sid", "n", "label")
+            if hubs is None:
+                hubs = active.groupBy("token").agg(F.min(place).alias("h"))
+            else:
+                later = active.join(hubs.withColumnRenamed("h", "g"), "token")
+                hubs = later.groupBy("token").agg(F.min(F.when(F.struct("pos", "sid") > F.struct("g.pos", "g.sid"), place)).alias("h")).where("h is not null")
+            hubs = common.written(hubs, "hubs")
+            star = active.join(hubs, "token").where("sid != h.sid and label != h.label")
+            pairs = star.select(F.col("h.sid").alias("hub"), F.col("sid").alias("other"), F.col("n").alias("n1"), F.col("pos").alias("pos1"), F.col("h.n").alias("n2"), F.col("h.pos").alias("pos2"))
+        pairs = pairs.where(_allowed(num, den)).groupBy(F.least("hub", "other").alias("a"), F.greatest("hub", "other").alias("b")).agg(F.min("hub").alias("hub"))
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = common.written(pairs, "pairs")
+        pairs = common.written(pairs.select("a", "b", "hub", F.when(F.col("hub") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("other")), "pairs")
         if not pairs.isEmpty():
-            new = _verified(pairs, docs, classes, k, num, den)
+            new = _verified(pairs.select("hub", "other"), docs, classes, k, num, den)
             edges = new if edges is None else edges.unionByName(new)
-            tried = pairs if tried is None else tried.unionByName(pairs)
-        if edges is None:
-            return docs.sparkSession.createDataFrame([], "node long, component long")
-        labels = components(edges)
+            tried = pairs.select("a", "b") if tried is None else tried.unionByName(pairs.select("a", "b"))
+            labels = components(edges)
         if last:
             break
+        if labels is None:
+            active = common.written(active.where("false"), "open") if pairs.isEmpty() and hubs.isEmpty() else active
+            continue
+        named = active.drop("label", "c").join(labels, active["sid"] == labels["node"], "left").select("token", "sid", "n", "pos", F.coalesce("component", "sid").alias("label"))
+        active = common.written(_open(named, num, den), "open")
+    if labels is None:
+        return docs.sparkSession.createDataFrame([], "node long, component long")
     return labels
 
 
