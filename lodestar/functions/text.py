@@ -142,7 +142,7 @@ def lenient_json(c: Column) -> Column:
 def coerced_score(raw: Column, is_bool: Column | None = None) -> Column:
     """A score 0..10, rounded half to even; null where it is no number (booleans are none)."""
     value = F.bround(raw.try_cast("double")).cast("int")
-    score = F.greatest(F.lit(0), F.least(F.lit(10), value))
+    score = F.when(value.isNotNull(), F.greatest(F.lit(0), F.least(F.lit(10), value)))
     return score if is_bool is None else F.when(is_bool, F.lit(None).cast("int")).otherwise(score)
 
 
