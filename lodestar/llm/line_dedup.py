@@ -107,7 +107,8 @@ def deduplicate(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out[0], pa.string()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()), pa.array(out[3], pa.string())], schema=out_schema)
 
     lists = gone.groupBy("__rank").agg(F.collect_list(F.struct("__tie", "__units")).alias("u"))
-    joined = rows.join(lists, F.coalesce("doc_id", F.lit(LAST)) == F.col("__rank"), "left")
+    # always by a shuffle: lists grow with the corpus
+    joined = rows.join(lists.hint("merge"), F.coalesce("doc_id", F.lit(LAST)) == F.col("__rank"), "left")
     return joined.select("doc_id", "text", F.col("u.__tie").alias("ties"), F.col("u.__units").alias("lists")).mapInArrow(run, schema)
 
 
