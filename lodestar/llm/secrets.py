@@ -129,7 +129,8 @@ def redact(docs: DataFrame, model: PipelineModel, threshold: float = THRESHOLD)
     found = scan(hits, model, threshold, key="__k").groupBy("__k").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("__s"))
     joined = docs.where(has).withColumns({"__k0": F.sha2(text.cast("binary"), 256)}).join(found, F.col("__k0") == F.col("__k"), "left")
     cut = F.aggregate("__s", F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out")), lambda a, s: F.struct(s["end"].alias("at"), F.concat(a["out"], F.substring(text, a["at"].cast("int") + 1, (s["start"] - a["at"]).cast("int")), F.lit(MASK)).alias("out")), lambda a: F.concat(a["out"], F.substring(text, a["at"].cast("int") + 1, F.length(text))))
-    fresh = F.when(F.col("__s").isNull(), text).otherwise(cut)
+    joined = joined.withColumn("__t", F.when(F.col("__s").isNull(), text).otherwise(cut))
+    fresh = F.col("__t")
     columns = [F.col(c) for c in names]
     columns[names.index("text")] = fresh.alias("text")
     if "n_chars" in names:

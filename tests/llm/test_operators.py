@@ -1,0 +1,216 @@
+"""Operators on rows with nulls, empty and long texts, ties, repeated rows, clashing columns."""
+
+import hashlib
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from lodestar.llm import common, decontaminate, hamming, langid, line_dedup, ngram_join, packing, pii, quality, secrets, token_output
+from lodestar.llm.components import components
+from lodestar.llm.encoding import tokenizer_path
+
+DOC = "doc_id long, text string, lang string, source string, n_chars long, component_id string, score string"
+LONG = "word " * 30_000
+
+
+def docs(spark, rows):
+    return spark.createDataFrame([(i, t, "en", None, None if t is None else len(t), "x", None) for i, t in rows], DOC)
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    return docs(spark, [(3, None), (1, ""), (2, "Hello there, b c"), (2, "Hello there, b c"), (None, "x y z"), (9, LONG), (4, "  \n "), (5, "é 漢字\nline two")]).cache()
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return docs(spark, [])
+
+
+def test_token_output_round_trip(spark, odd, none):
+    path = common.scratch(spark, "t")
+    token_output.write_tokens(odd, path, tokenizer_path("byte_bpe_50k.json"), 2)
+    got = token_output.read_tokens(spark, path).collect()
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))
+    at, want = 0, []
+    for r in sorted(odd.select("doc_id", "text").collect(), key=lambda r: (r["doc_id"] is not None, r["doc_id"] or 0)):
+        ids = tok.encode(r["text"] or "", add_special_tokens=False).ids + [2]
+        want.append((r["doc_id"], at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        at += len(ids)
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+    empty = common.scratch(spark, "t")
+    token_output.write_tokens(none, empty, tokenizer_path("byte_bpe_50k.json"), 2)
+    assert token_output.read_tokens(spark, empty).count() == 0
+
+
+def test_packing_places_every_piece(odd, none):
+    got = packing.packed_documents(odd, tokenizer_path("word_bpe_49k.json"), 1, 512, with_ids=True)
+    rows = got.collect()
+    assert sum(r["piece"] == 0 for r in rows) == 8
+    by = {}
+    for r in rows:
+        by.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for spans in by.values():
+        at = 0
+        for a, n in sorted(spans):
+            assert a == at
+            at += n
+        assert at <= 512
+    assert len(by) == -(-sum(r["length"] for r in rows) // 512)
+    whole = {r["sequence_id"]: len(r["ids"]) // 4 for r in packing.sequences(got).collect()}
+    assert whole == {s: sum(n for _, n in x) for s, x in by.items()}
+    assert packing.packed_documents(none, tokenizer_path("word_bpe_49k.json"), 1, 512).count() == 0
+
+
+def test_language_model(spark, odd, none):
+    train = spark.createDataFrame([(i, t, c) for i, (t, c) in enumerate([("the cat and the dog", "en"), ("der Hund und die Katze", "de")] * 5 + [(None, "en"), ("x", None)])], "doc_id long, text string, lang string")
+    model = langid.fit(train)
+    assert model["langs"] == ["de", "en"]
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.predict(spark.createDataFrame([(1, "The dogs"), (2, "und den Hunden"), (3, None), (4, "12 !")], "doc_id long, text string"), model).collect()}
+    assert got[1][0] == "en" and got[2][0] == "de" and got[3] == ("und", 0.0) and got[4] == ("und", 0.0)
+    assert langid.predict(odd, model).count() == 8 and langid.predict(none, model).count() == 0
+    assert {r["lang_pred"] for r in langid.predict(odd, langid.fit(none)).collect()} == {"und"}
+
+
+def test_quality_frames(spark, odd, none):
+    labels = spark.createDataFrame([(2, 1), (9, 0), (9, 1), (77, None)], "doc_id long, quality int")
+    net = quality.fit(odd, labels)
+    assert quality.predict(odd, net).count() == 8 and quality.predict(none, net).count() == 0
+    kept = quality.good_documents(odd, {"prior": 0.9})
+    assert kept.columns == odd.columns and kept.count() == 8 and quality.good_documents(odd, {"prior": 0.1}).count() == 0
+
+
+def test_decontamination(spark, odd, none):
+    bench = spark.createDataFrame([(1, "Hello THERE b"), (2, None), (3, "..."), (4, "hello there b"), (None, "x y")], "item_id long, text string")
+    for most in (500, 2):
+        got = decontaminate.matches(odd, bench, ["doc_id"], window=10, most=most).collect()
+        two = [r for r in got if r["doc_id"] == 2]
+        assert len(got) == 8 and [r["__items"] for r in two] == [["1", "4"]] * 2 and two[0]["__hits"] == [0, 3] and two[0]["__n_words"] == 4
+    out = decontaminate.clean(odd, bench, max_coverage=0.8)
+    assert out.columns == odd.columns and out.count() == 8
+    assert {r["text"] for r in out.where("doc_id = 2").collect()} == {" c"} and out.where("doc_id = 2").first()["n_chars"] == 2
+    assert decontaminate.clean(odd, bench, max_coverage=0.5).count() == 6
+    assert decontaminate.clean(odd, bench.where("false")).count() == 8 and decontaminate.clean(none, bench).count() == 0
+
+
+def test_secrets(spark, odd, none):
+    model = secrets.fit(secrets.findings(spark))
+    key = hashlib.sha1(b"k").hexdigest()
+    rows = docs(spark, [(1, f'é token = "{key}" end'), (1, f'é token = "{key}" end'), (2, f"see commit {key} and 4929348385146306"), (3, None), (4, "")])
+    got = secrets.scan(rows, model).collect()
+    assert [(r["doc_id"], r["start"], r["end"], r["hit"]) for r in got] == [(1, 11, 51, key)] * 2
+    out = secrets.redact(rows, model)
+    assert out.columns == rows.columns and out.count() == 5
+    assert {r["text"] for r in out.where("doc_id = 1").collect()} == {'é token = "[SECRET]" end'} and out.where("doc_id = 1").first()["n_chars"] == len('é token = "[SECRET]" end')
+    assert secrets.redact(odd, model).count() == 8 and secrets.scan(none, model).count() == 0 and secrets.redact(none, model).count() == 0
+
+
+def test_exact_top_k(spark):
+    rng = np.random.default_rng(4)
+    e = rng.normal(size=(150, 20)).astype(float)
+    rows = [(i, e[i // 3 * 3 if i % 7 == 0 else i].tolist()) for i in range(150)] + [(500, None), (600, []), (0, e[0].tolist()), (601, [1.0, None])]
+    v = hamming.codes(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), 20)
+    q = v.where(F.col("id") % 50 == 0)
+    for radius in (0, 3):
+        got = {}
+        for r in hamming.top_k(v, q, 20, k=5, radius=radius).collect():
+            got.setdefault(r["query_id"], {})[r["rank"]] = (r["distance"], r["neighbor_id"])
+        codes = {r["id"]: r["code"] for r in v.collect()}
+        want = {a: dict(enumerate(sorted((sum(bin(x ^ y).count("1") for x, y in zip(codes[a], codes[b], strict=True)), b) for b in codes)[:5], 1)) for a in codes if a % 50 == 0}
+        assert got == want
+    assert hamming.top_k(v.where("false"), q.where("false"), 20).count() == 0
+
+
+def test_line_deduplication(spark, odd, none):
+    line = " ".join(f"w{i}" for i in range(25))
+    rows = docs(spark, [(5, f"a\n{line}\nb\n{line.upper()}!"), (2, f"{line}\nzz"), (None, line), (7, None), (8, ""), (2, f"{line}\nzz")])
+    got = {(r["doc_id"], r["text"]): (r["n_lines"], r["n_removed"], r["removed"]) for r in line_dedup.deduplicate(rows).collect()}
+    n = len(line)
+    assert got == {(5, "a\nb"): (4, 2, f"2:{n + 2},{n + 5}:{2 * n + 6}"), (2, f"{line}\nzz"): (2, 0, ""), (None, ""): (1, 1, f"0:{n}"), (7, None): (0, 0, ""), (8, ""): (1, 0, "")}
+    assert line_dedup.deduplicate(odd).count() == 8 and line_dedup.deduplicate(none).count() == 0
+
+
+def test_personal_data(spark, odd, none):
+    seeds = [(i, f"Please write to user{i}@mail{i}.org today. Please call +1 555 {i:04d} 12{i:02d} now.") for i in range(12)]
+    more = [(100, "Please write to hidden(at)host9 today."), (101, "a@b.c_d@e.fx 1.2.3.4.5.6.7.8 999.1.1.1 x 4111 1111-1111 1111 +49 (0) 12"), (102, None), (103, "9" * 20_000), (104, "a" * 50_000 + "@")]
+    got = {r["doc_id"]: r for r in pii.personal_data(docs(spark, seeds + more)).collect()}
+    assert [(s["kind"], s["start"]) for s in got[100]["found"]] == [("email", 16)] and got[100]["base"] == []
+    text = more[1][1]
+    assert [(s["kind"], text[s["start"] : s["end"]]) for s in got[101]["base"]] == [("email", "a@b.c"), ("email", "_d@e.fx"), ("ip", "1.2.3.4"), ("ip", "5.6.7.8"), ("card", "4111 1111-1111 1111")]
+    assert got[103]["base"] == [] and got[104]["base"] == [] and len(got) == 17
+    assert pii.personal_data(odd).count() == 8 and pii.personal_data(none).count() == 0
+
+
+def test_base_patterns_equal_the_plain_ones(spark):
+    plain = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+    rng = np.random.default_rng(6)
+    texts = ["".join(rng.choice(list("ab1 2.@+-()_"), 60)) for _ in range(120)]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", *[F.regexp_extract_all("t", F.lit(pii.PATTERNS[k]), F.lit(0)).alias(k) for k in plain]).collect()
+    for r in rows:
+        for k, p in plain.items():
+            assert r[k] == [m.group() for m in re.finditer(p, r["t"])], (k, r["t"])
+
+
+def brute_components(rows, k, num, den):
+    sets = []
+    for i, t in rows:
+        w = (t or "").lower().split()
+        sets.append((i, frozenset(tuple(w[j : j + k]) for j in range(len(w) - k + 1)) if len(w) >= k else frozenset([tuple(w)] if w else [])))
+    up = list(range(len(sets)))
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a in range(len(sets)):
+        for b in range(a):
+            x, y = sets[a][1], sets[b][1]
+            if x and y and den * len(x & y) >= num * len(x | y):
+                up[root(a)] = root(b)
+    out = {}
+    for a in range(len(sets)):
+        out.setdefault(root(a), []).append(sets[a][0])
+    return sorted((i, min(g)) for g in out.values() for i in g)
+
+
+def test_near_duplicates_against_brute_force(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    base = [f"t{x}" for x in rng.integers(0, 400, 80)]
+    rows = []
+    for i in range(90):
+        t = list(base) if i % 3 else [f"u{x}" for x in rng.integers(0, 30, int(rng.integers(0, 50)))]
+        for _ in range(int(rng.integers(0, 7))):
+            if t:
+                t[int(rng.integers(0, len(t)))] = f"e{rng.integers(0, 1000)}"
+        rows.append((i, " ".join(t)))
+    rows += [(200, rows[0][1]), (201, None), (202, "  "), (203, "one two"), (204, "One  TWO"), (205, "a"), (206, LONG)]
+    want = brute_components(rows, 3, 80, 100)
+    df = docs(spark, rows)
+    for rounds, squares in ((6, 0), (0, 0)):
+        monkeypatch.setattr(ngram_join, "ROUNDS", rounds)
+        monkeypatch.setattr(ngram_join, "SQUARES", squares)
+        monkeypatch.setattr(ngram_join, "STAR", 3)
+        got = ngram_join.near_duplicates(df, 3, 80, 100)
+        assert sorted((r["doc_id"], r["component_id"]) for r in got.collect()) == want
+    kept = ngram_join.unique_documents(df, 3, 80, 100)
+    assert kept.columns == df.columns and sorted(r["doc_id"] for r in kept.collect()) == sorted({c for _, c in want})
+
+
+def test_near_duplicates_of_odd_rows(spark, odd, none):
+    got = ngram_join.near_duplicates(odd, 3, 90, 100).collect()
+    assert len(got) == 8 and all(r["component_id"] == r["doc_id"] for r in got)
+    assert sorted(str(r["doc_id"]) for r in ngram_join.unique_documents(odd, 3, 90, 100).collect()) == sorted(str(x) for x in (3, 1, 2, None, 9, 4, 5))
+    assert ngram_join.near_duplicates(none, 3, 90, 100).count() == 0
+
+
+def test_components_both_ways(spark):
+    edges = spark.createDataFrame([(5, 4), (4, 3), (9, 8), (3, 4), (7, 7), (10, 5), (20, 10), (8, 30)], "a long, b long")
+    want = {3: 3, 4: 3, 5: 3, 10: 3, 20: 3, 8: 8, 9: 8, 30: 8}
+    for small in (100, 0):
+        assert {r["node"]: r["component"] for r in components(edges, small).collect()} == want
