@@ -96,9 +96,7 @@ def _index(docs: DataFrame, k: int) -> tuple[DataFrame, np.ndarray]:
                 s = shingles(text, k)
                 ns.append(len(s))
                 sids.append(set_id(s))
-                counts += np.bincount((s >> np.uint64(BITS)).astype(np.int64), minlength=WIDTH).astype(np.uint32) if len(s) > WIDTH // 8 else 0
-                if len(s) <= WIDTH // 8:
-                    np.add.at(counts, (s >> np.uint64(BITS)).astype(np.int64), 1)
+                np.add.at(counts, (s >> np.uint64(BITS)).astype(np.int64), 1)
             none = pa.nulls(len(ns))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ns, pa.int64()), pa.array(sids, pa.int64()), none.cast(pa.int32()), none.cast(pa.binary())], schema=out_schema)
         pack = zstandard.ZstdCompressor()
@@ -251,7 +249,9 @@ def links(docs: DataFrame, indexed: DataFrame, counts: np.ndarray, k: int, num:
     classes = indexed.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
     prefixes = _prefixes(docs, k, num, den, counts)
     several = prefixes.groupBy("token").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("lo < hi").select("token")
-    rows = prefixes.join(several, "token").groupBy("token", "sid").agg(F.first("n").alias("n"), F.min("pos").alias("pos"))
+    # always by a shuffle: shared n-grams grow with the corpus
+    rows = prefixes.join(several.hint("merge"), "token").groupBy("token", "sid").agg(F.first("n").alias("n"), F.min("pos").alias("pos"))
+    rows = common.written(rows, "groups")
     active = common.written(_open(rows.withColumn("label", F.col("sid")), num, den), "open")
     tried = edges = labels = hubs = None
     for round_ in range(ROUNDS + 1):
