@@ -63,20 +63,26 @@ def top_k(base: DataFrame, queries: DataFrame, bits: int, k: int = K, radius: in
     members = common.written(heads.select("code", "id"), "members")
     classes = common.written(members.select("code").distinct(), "codes")
     index = common.written(classes.select("code", F.posexplode("code").alias("segment", "value")), "segments")
-    open_ = common.written(queries.groupBy("id").agg(F.min("code").alias("q")).withColumnRenamed("id", "query_id"), "queries")
+    far = m * SEGMENT
+    open_ = queries.groupBy("id").agg(F.min("code").alias("q")).select(F.col("id").alias("query_id"), "q", F.lit(far).alias("worst"))
+    open_ = common.written(open_, "queries")
     answers, seen = None, None
     for r in range(radius + 1):
         changes = F.array(*[F.lit(x) for x in masks(r)])
-        probes = open_.select("query_id", "q", F.posexplode("q").alias("segment", "own")).select("query_id", "q", "segment", F.explode(changes).alias("change"), "own").select("query_id", "q", "segment", F.col("own").bitwiseXOR(F.col("change")).alias("value"))
-        met = probes.join(index, ["segment", "value"]).select("query_id", "q", "code").distinct()
-        near = met.select("query_id", "code", distance(F.col("q"), F.col("code")).alias("distance"))
+        probes = open_.select("query_id", "q", "worst", F.posexplode("q").alias("segment", "own")).select("query_id", "q", "worst", "segment", F.explode(changes).alias("change"), "own").select("query_id", "q", "worst", "segment", F.col("own").bitwiseXOR(F.col("change")).alias("value"))
+        # verified within the join: only what is no farther than the k-th so far comes out
+        met = probes.join(index, ["segment", "value"]).where(distance(F.col("q"), F.col("code")) <= F.col("worst"))
+        near = met.select("query_id", "code", distance(F.col("q"), F.col("code")).alias("distance")).distinct()
         near = common.written(near if seen is None else near.unionByName(seen).distinct(), "near")
         best = common.written(_best(near.join(members, "code").select("query_id", "id", "distance"), k), "best")
         reach = m * (r + 1) - 1
-        done = best.groupBy("query_id").agg(F.count("*").alias("n"), F.max("distance").alias("d")).where((F.col("n") == k) & (F.col("d") <= reach)).select("query_id")
+        state = best.groupBy("query_id").agg(F.count("*").alias("n"), F.max("distance").alias("d"))
+        done = state.where((F.col("n") == k) & (F.col("d") <= reach)).select("query_id")
         closed = best.join(done, "query_id", "left_semi")
         answers = closed if answers is None else answers.unionByName(closed)
-        open_ = common.written(open_.join(done, "query_id", "left_anti"), "queries")
+        known = state.where(F.col("n") == k).select("query_id", "d")
+        open_ = open_.join(done, "query_id", "left_anti").join(known, "query_id", "left").select("query_id", "q", F.coalesce("d", F.lit(far)).alias("worst"))
+        open_ = common.written(open_, "queries")
         if open_.isEmpty():
             break
         seen = near.join(open_.select("query_id"), "query_id", "left_semi")
