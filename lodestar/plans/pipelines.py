@@ -52,13 +52,13 @@ def candidates(inputs: Inputs, p: Params, target: str) -> tuple[DataFrame, DataF
     """The selected citing works, and those dropped on the way with their reasons."""
     rows = recalled(inputs, p, target).withColumn("query_title", F.col("paper_title"))
     rows = status.published(status.publication_status(rows, inputs.hits)).drop("query_title", "status_error")
-    rows, ignored = works.split_ignored(rows, list(p.ignore_authors))
+    rows, ignored = works.split_ignored(rows.persist(), list(p.ignore_authors))
     rows = works.with_h_index_defaults(works.enriched(rows, inputs.metrics))
     rows, low = works.split_by_h_index(rows, p.min_max_h_index)
     rows, capped = works.split_recent_only(rows, p.recent_cap)
     dropped = ignored.unionByName(low, allowMissingColumns=True).unionByName(capped, allowMissingColumns=True)
     rows = rows.withColumns({"max_h_index_author": works.max_h_index_author(F.col("authors")), "topk_authors": works.top_authors(F.col("authors"), p.fellow_top_authors)})
-    return works.selected(honors.with_fellows(rows, inputs.statuses), p.fallback_top), dropped
+    return works.selected(honors.with_fellows(rows, inputs.statuses).persist(), p.fallback_top).persist(), dropped
 
 
 def contexts_of(chosen: DataFrame, fulltext: DataFrame, p: Params, matched_title: str) -> DataFrame:
@@ -66,9 +66,15 @@ def contexts_of(chosen: DataFrame, fulltext: DataFrame, p: Params, matched_title
     without a text have an error."""
     texts = chosen.select("paper_id").join(fulltext, "paper_id")
     first = references.reference_contexts(texts.withColumn("title", F.lit(matched_title)), p.window, p.entry_threshold)
-    second = references.reference_contexts(texts.withColumn("title", F.lit(p.title)), p.window, p.entry_threshold)
-    found = references.with_second_title(first, second) if matched_title != p.title else first
-    return chosen.join(found, "paper_id", "left").withColumn("fulltext_error", F.when(F.col("match_score").isNull(), "no_fulltext"))
+    if matched_title == p.title:
+        found = first
+    else:  # only papers without an entry under the matched title are parsed again
+        first = first.persist()
+        again = texts.join(first.where(F.coalesce("ref_id", F.lit(0)) == 0).select("paper_id"), "paper_id", "left_semi")
+        second = references.reference_contexts(again.withColumn("title", F.lit(p.title)), p.window, p.entry_threshold)
+        found = references.with_second_title(first, second)
+    # read by reports, scores and summaries: kept, so that texts are parsed once
+    return chosen.join(found.persist(), "paper_id", "left").withColumn("fulltext_error", F.when(F.col("match_score").isNull(), "no_fulltext"))
 
 
 def scored_contexts(payloads: DataFrame, p: Params, target_title: str, client: Callable[[str], str] | None = None) -> DataFrame:
