@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -39,6 +40,17 @@ def written(df: DataFrame, tag: str, path: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(at)
 
 
+_held: dict[str, Callable[[], None]] = {}
+
+
+def hold(name: str, release: Callable[[], None]) -> None:
+    """Say that this worker now uses the cache `name`: caches of other operators that ran in the same
+    worker before are released, so that they do not add up."""
+    for other in [x for x in _held if x != name]:
+        _held.pop(other)()
+    _held[name] = release
+
+
 def crc_of_id(doc_id: Column) -> Column:
     """crc32 of an id as text; null ids count as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))

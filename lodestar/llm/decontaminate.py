@@ -203,6 +203,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, keep: list[str], text: str =
 
 def _pass(shared):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.hold("automaton", lambda: None)
         automaton = shared.value
         for batch in common.sliced(batches, name="__text"):
             n = batch.num_columns

@@ -12,6 +12,8 @@ import os
 
 import numpy as np
 
+from . import common
+
 #: Words in one generation of the cache; at most two generations are held: a bound on a worker's memory.
 CACHE_WORDS = 450_000
 #: Longer words are encoded, not kept.
@@ -89,6 +91,7 @@ _encoders: dict[tuple[str, bool], Encoder] = {}
 
 def encoder(path: str, blanks_count: bool) -> Encoder:
     """This worker's encoder: tasks that follow one another in a worker share its cache."""
+    common.hold(f"encoder {path}", _encoders.clear)
     if (path, blanks_count) not in _encoders:
         _encoders[path, blanks_count] = Encoder(path, blanks_count)
     return _encoders[path, blanks_count]

@@ -167,6 +167,7 @@ def predict(docs: DataFrame, model: dict) -> DataFrame:
     key = uuid.uuid4().hex
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.hold("langid", _scorers.clear)
         if key not in _scorers:  # tasks that follow one another in a worker share it
             _scorers.clear()
             _scorers[key] = Scorer(shared.value)

@@ -34,7 +34,7 @@ from .components import components
 #: Counters of the sketch (a power of two), and of one row that carries a part of it.
 WIDTH, PART = 1 << 20, 1 << 14
 BITS = 44
-KEPT_WORDS = 500_000
+KEPT_WORDS = 300_000
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 #: Groups under one n-gram go on by stars while their squares sum to more than so many times the rows,
 #: and so many more, which a join compares in seconds.
@@ -89,14 +89,13 @@ def _index(docs: DataFrame, k: int) -> tuple[DataFrame, np.ndarray]:
     out_schema = common.fields(schema)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.hold("words", _words.clear)
         counts = np.zeros(WIDTH, np.uint32)
-        for batch in common.sliced(batches):
-            ns, sids = [], []
-            for text in batch.column(1).to_pylist():
-                s = shingles(text, k)
-                ns.append(len(s))
-                sids.append(set_id(s))
-                np.add.at(counts, (s >> np.uint64(BITS)).astype(np.int64), 1)
+        for batch in common.sliced(batches, 4 << 20):
+            found = [shingles(text, k) for text in batch.column(1).to_pylist()]
+            ns, sids = [len(s) for s in found], [set_id(s) for s in found]
+            if found:
+                counts += np.bincount((np.concatenate(found) >> np.uint64(BITS)).astype(np.int64), minlength=WIDTH).astype(np.uint32)
             none = pa.nulls(len(ns))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ns, pa.int64()), pa.array(sids, pa.int64()), none.cast(pa.int32()), none.cast(pa.binary())], schema=out_schema)
         pack = zstandard.ZstdCompressor()
@@ -129,9 +128,10 @@ def _prefixes(docs: DataFrame, k: int, num: int, den: int, counts: np.ndarray) -
     shared = docs.sparkSession.sparkContext.broadcast(np.minimum(counts, (1 << 18) - 1).astype(np.uint32))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.hold("words", _words.clear)
         counts = shared.value
         seen: set[int] = set()
-        for batch in common.sliced(batches):
+        for batch in common.sliced(batches, 4 << 20):
             tokens, sids, ns, poss = [], [], [], []
             for text in batch.column(0).to_pylist():
                 s = shingles(text, k)
@@ -191,6 +191,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int, num
     set_schema = common.fields(schema)
 
     def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.hold("words", _words.clear)
         for batch in common.sliced(batches, 1 << 20):
             out: list[tuple] = []
             size = 0
@@ -320,7 +321,8 @@ def unique_documents(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10) -
     schema = T.StructType([*[T.StructField(c, f.dataType) for c, f in zip(keep, docs.schema.fields, strict=True)], T.StructField("__sid", T.LongType())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in common.sliced(batches, name=text):
+        common.hold("words", _words.clear)
+        for batch in common.sliced(batches, 4 << 20, name=text):
             sids = [set_id(shingles(t, k)) for t in batch.column(keep.index(text)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sids, pa.int64())], names=[*keep, "__sid"])
 
