@@ -6,6 +6,8 @@ for entries that no cheaper test decides. Offsets are code points from 0.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -212,14 +214,16 @@ def author_year_contexts(body: Column, ref_id: Column, surname: Column, year: Co
     return F.when((target != "") & (when != ""), F.transform(found, lambda s: _context(body, s, ref_id, width))).otherwise(F.array().cast(CONTEXTS))
 
 
-def reference_contexts(papers: DataFrame, width: int = 512, threshold: float = 0.8, style: str = "auto") -> DataFrame:
+def reference_contexts(papers: DataFrame, width: int = 512, threshold: float = 0.8, style: str = "auto", cut: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """papers (paper_id, text, title) with ref_id, match_score, reference_entry, contexts,
     citation_style, author_year_key, parse_method, num_entries, locators, errors and error. Numbers
-    locate only where the bibliography has them."""
+    locate only where the bibliography has them. cut may write parsed papers as a table, so that they
+    are parsed once and plans stay short."""
     if style not in ("auto", "numeric", "author_year"):
         raise ValueError(f"citation style {style!r}")
     base = papers.select("paper_id", "title", split_text(F.col("text")).alias("parts"))
     parsed = with_entries(base.select("paper_id", "title", F.col("parts.body").alias("body"), F.col("parts.references").alias("references"), F.col("parts").isNull().alias("headless")))
+    parsed = cut(parsed)
     best = matched_entries(entry_table(parsed.where(~F.col("headless"))), papers.select("paper_id", "title"), threshold)
     rows = parsed.join(best.select("paper_id", "ref_id", "raw_text", "score", "first_author", F.concat("year", F.coalesce("year_suffix", F.lit(""))).alias("when")), "paper_id", "left")
     has_numbers = F.col("parse_method").isin("numeric", "numeric_list") & F.lit(style != "author_year")

@@ -20,7 +20,8 @@ from .params import Params
 @dataclass
 class Inputs:
     """works, citations (citing_id, cited_id), metrics (author_id, h_index), hits of the bibliography,
-    statuses (author_id, statuses, sources), fulltext (paper_id, text)."""
+    statuses (author_id, statuses, sources), fulltext (paper_id, text). cut, if given, writes a stage as
+    a table and reads it again: plans stay short, and a lost executor costs no earlier stage."""
 
     works: DataFrame
     citations: DataFrame
@@ -28,6 +29,7 @@ class Inputs:
     hits: DataFrame
     statuses: DataFrame
     fulltext: DataFrame
+    cut: Callable[[DataFrame], DataFrame] = lambda df: df
 
 
 def matched_target(inputs: Inputs, p: Params) -> dict:
@@ -61,20 +63,20 @@ def candidates(inputs: Inputs, p: Params, target: str) -> tuple[DataFrame, DataF
     return works.selected(honors.with_fellows(rows, inputs.statuses).persist(), p.fallback_top).persist(), dropped
 
 
-def contexts_of(chosen: DataFrame, fulltext: DataFrame, p: Params, matched_title: str) -> DataFrame:
+def contexts_of(chosen: DataFrame, fulltext: DataFrame, p: Params, matched_title: str, cut: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """Reference contexts of chosen works by the matched title, then by the one asked for. Works
     without a text have an error."""
     texts = chosen.select("paper_id").join(fulltext, "paper_id")
-    first = references.reference_contexts(texts.withColumn("title", F.lit(matched_title)), p.window, p.entry_threshold)
+    first = references.reference_contexts(texts.withColumn("title", F.lit(matched_title)), p.window, p.entry_threshold, cut=cut)
     if matched_title == p.title:
         found = first
     else:  # only papers without an entry under the matched title are parsed again
-        first = first.persist()
+        first = cut(first.persist())
         again = texts.join(first.where(F.coalesce("ref_id", F.lit(0)) == 0).select("paper_id"), "paper_id", "left_semi")
-        second = references.reference_contexts(again.withColumn("title", F.lit(p.title)), p.window, p.entry_threshold)
+        second = references.reference_contexts(again.withColumn("title", F.lit(p.title)), p.window, p.entry_threshold, cut=cut)
         found = references.with_second_title(first, second)
     # read by reports, scores and summaries: kept, so that texts are parsed once
-    return chosen.join(found.persist(), "paper_id", "left").withColumn("fulltext_error", F.when(F.col("match_score").isNull(), "no_fulltext"))
+    return chosen.join(cut(found.persist()), "paper_id", "left").withColumn("fulltext_error", F.when(F.col("match_score").isNull(), "no_fulltext"))
 
 
 def scored_contexts(payloads: DataFrame, p: Params, target_title: str, client: Callable[[str], str] | None = None) -> DataFrame:
@@ -107,10 +109,11 @@ def one_target(inputs: Inputs, p: Params, client: Callable[[str], str] | None =
     """Entry A: a target title to scored remarks."""
     target = matched_target(inputs, p)
     chosen, dropped = candidates(inputs, p, target["paper_id"])
-    payloads = contexts_of(chosen, inputs.fulltext, p, target["candidate_title"])
+    payloads = contexts_of(inputs.cut(chosen), inputs.fulltext, p, target["candidate_title"], inputs.cut)
     contexts = scored_contexts(payloads, p, target["candidate_title"], client)
     venue = works.first_filled(F.col("publication_status.venue"), F.col("venue"))
-    papers = payloads.withColumns({"venue": venue, "self_citation": works.self_citation(F.col("authors"), F.lit(p.target_author).cast("string"))})
+    kept = payloads.drop("contexts", "query_title").withColumnsRenamed({"errors": "ref_ctx_errors", "error": "ref_ctx_error"})
+    papers = kept.withColumns({"venue": venue, "self_citation": works.self_citation(F.col("authors"), F.lit(p.target_author).cast("string"))})
     return Outcome(target, dropped, papers, contexts)
 
 
@@ -120,7 +123,7 @@ def contexts_by_h_index(inputs: Inputs, p: Params, done: DataFrame | None = None
     rows = works.enriched(recalled(inputs, p, target["paper_id"]), inputs.metrics, overwrite=True)
     ranked = rows.withColumn("max_h_index", works.max_h_index(F.col("authors"))).orderBy(*works.phase_one_order(), "ord").limit(p.cited_by_top)
     todo = tables.without_output(ranked, done) if done is not None else ranked
-    return contexts_of(todo, inputs.fulltext, p, target["candidate_title"])
+    return contexts_of(inputs.cut(todo), inputs.fulltext, p, target["candidate_title"], inputs.cut)
 
 
 def context_counters(payloads: DataFrame) -> DataFrame:

@@ -1,4 +1,6 @@
 import json
+import tempfile
+import uuid
 from datetime import UTC, datetime
 
 import pytest
@@ -13,6 +15,13 @@ from tests.test_works import author, works
 
 
 def inputs(spark):
+    folder = tempfile.mkdtemp()
+
+    def cut(df):
+        at = f"{folder}/{uuid.uuid4().hex}"
+        df.write.parquet(at)
+        return spark.read.schema(df.schema).parquet(at)
+
     text = "Alpha (Bo, 2020) and Bo (2020).\n\nReferences\n\nBo, A. The Target Title. 2020.\n\nCy, B. Something else here. 2019.\n"
     w = works(spark, [("T", "The Target Title", 2018, 5, 0, []), ("P1", "Citing One", 2024, 10, 1, [author("a", name="Ann"), author("b", name="Bob")]), ("P2", "Citing Two", 2023, 90, 2, [author("c", name="Cid")]), ("P3", "Citing Three", 2010, 50, 3, [author("d", name="Ban")])]).withColumn("venue", F.lit("V"))
     hits = spark.createDataFrame([(t, 0, 1, t, "ICML", "2020", "Journal Articles", "u", None, ["x"]) for t in ("Citing One", "Citing Two", "Citing Three")], "query_title string, pos int, hit_score int, title string, venue string, year string, type string, url string, doi string, links array<string>")
@@ -20,6 +29,7 @@ def inputs(spark):
         w, spark.createDataFrame([(p, "T") for p in ("P1", "P2", "P3")], "citing_id string, cited_id string"), spark.createDataFrame([("a", 40), ("c", 60), ("d", 99)], "author_id string, h_index int"), hits,
         spark.createDataFrame([("a", ("Yes", "Unknown", "Unknown"), ["s"])], "author_id string, statuses struct<ieee:string,acm:string,aaai:string>, sources array<string>"),
         spark.createDataFrame([("P1", text), ("P2", text)], "paper_id string, text string"),
+        cut,
     )
 
 
