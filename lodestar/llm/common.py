@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
+import gc
 import shutil
 import tempfile
 import uuid
@@ -46,8 +49,14 @@ _held: dict[str, Callable[[], None]] = {}
 def hold(name: str, release: Callable[[], None]) -> None:
     """Say that this worker now uses the cache `name`: caches of other operators that ran in the same
     worker before are released, so that they do not add up."""
-    for other in [x for x in _held if x != name]:
+    others = [x for x in _held if x != name]
+    for other in others:
         _held.pop(other)()
+    if others:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # where the C library can, it gives pages back
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
     _held[name] = release
 
 
