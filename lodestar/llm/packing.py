@@ -3,9 +3,10 @@
 How many pieces there are of each length is all that decides how few sequences they need, and there
 are at most `capacity` lengths. So the plan is made from that histogram, which does not grow with the
 corpus: best-fit decreasing on (length, count) pairs gives the incumbent; where it misses the lower
-bound, bin completion looks at the sequences that best fit leaves incomplete: it takes the largest
-piece, enumerates the undominated fillings of the rest of its sequence, and prunes by the waste that
-the bound still allows. Pieces then find their place by their rank among the pieces of their length.
+bound, bin completion runs over the whole histogram: it takes the largest length, enumerates the
+undominated fillings of the rest of its sequence, gives one to as many sequences as there are pieces
+for, and prunes by the waste that the bound still allows. What is then least full is searched piece by
+piece. Pieces find their place by their rank among the pieces of their length.
 
 Defined results: null and empty texts are pieces of the end id alone; repeated rows are packed each;
 null doc_ids are packed like others; an empty table gives no rows; other columns are ignored; only
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 import bisect
 import zlib
+from collections import Counter, deque
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -31,7 +33,10 @@ from .encoding import encoder, tokenizer_path
 Pattern = tuple[int, ...]
 #: Fillings looked at in one search.
 NODES = 20_000
-#: Incomplete sequences that one search takes on.
+#: Fillings to choose from at one place of the whole histogram, and places filled after the first descent.
+WIDTH = 4
+PLACES = 2_000
+#: Incomplete sequences that the search by single pieces takes on.
 TAIL = 48
 SALTS = 64
 
@@ -102,32 +107,104 @@ def best_fit(counts: dict[int, int], capacity: int) -> dict[Pattern, int]:
 
 
 def fillings(lengths: list[int], counts: dict[int, int], room: int, waste: int, most: int) -> list[Pattern]:
-    """Undominated fillings of room with at most `waste` left over, fullest first. A filling is
-    dominated if a longer remaining piece fits in place of one of its own."""
+    """The first `most` undominated fillings of room with at most `waste` left over: fullest first, then
+    longest pieces first, whatever their number. lengths: longest first. A filling is dominated if an
+    earlier one has it in part, or longer pieces in the places of its own, or one piece for several."""
+    items = [n for n in lengths if n <= room and counts[n]]
+    mask = (1 << (room + 1)) - 1
+    reach = [1]  # bit t: pieces from here on can add up to t
+    for n in reversed(items):
+        sums, left, step = reach[-1], min(counts[n], room // n), 1
+        while left:
+            take = min(step, left)
+            sums |= (sums << n * take) & mask
+            left -= take
+            step *= 2
+        reach.append(sums)
+    reach.reverse()
+
+    def walk(i: int, left: int) -> Iterator[Pattern]:
+        if left == 0:
+            yield ()
+            return
+        for j in range(i, len(items)):
+            if not reach[j] >> left & 1:
+                return
+            for k in range(min(counts[items[j]], left // items[j]), 0, -1):
+                if reach[j + 1] >> (left - k * items[j]) & 1:
+                    for rest in walk(j + 1, left - k * items[j]):
+                        yield (items[j],) * k + rest
+
+    def dominated(p: Pattern) -> bool:
+        for q in out:
+            a, b = [], list(q)  # what only one of them has
+            for x in p:
+                if x in b:
+                    b.remove(x)
+                else:
+                    a.append(x)
+            if not a or (len(b) == 1 and sum(a) <= b[0]) or (len(a) == len(b) and all(x <= y for x, y in zip(a, b, strict=True))):
+                return True
+        return False
+
     out: list[Pattern] = []
-    steps = 0
+    looked = 0
+    for target in range(room, max(-1, room - waste - 1), -1):
+        if reach[0] >> target & 1:
+            for p in walk(0, target):
+                looked += 1
+                if not dominated(p):
+                    out.append(p)
+                if len(out) >= most or looked >= 8 * most:
+                    return out
+    return out
 
-    def walk(i: int, left: int, taken: list[int]) -> None:
-        nonlocal steps
-        steps += 1
-        if steps > 40 * most or len(out) >= most:
-            return
-        fits = False
-        for j in range(i, len(lengths)):
-            n = lengths[j]
-            if n <= left and counts[n] > taken.count(n):
-                fits = True
-                taken.append(n)
-                walk(j, left - n, taken)
-                taken.pop()
-        if not fits and left <= waste:
-            for a in set(taken):  # could a longer free piece take its place?
-                if any(a < b <= a + left and counts[b] > taken.count(b) for b in lengths):
-                    return
-            out.append(tuple(taken))
-
-    walk(0, room, [])
-    return sorted(set(out), key=lambda p: (-sum(p), len(p)))
+
+def complete(counts: dict[int, int], capacity: int, incumbent: dict[Pattern, int], bound: int, nodes: int = PLACES) -> dict[Pattern, int]:
+    """Bin completion of the whole histogram: the largest length takes its best filling in as many
+    sequences as both have pieces for, and so on to the last piece. Further descents turn to another
+    filling at one place, then at several, until the bound is met or `nodes` places are spent (the
+    first descent is always made). The incumbent stands unless fewer sequences do."""
+    best, n_best = incumbent, sum(incumbent.values())
+    total = sum(n * c for n, c in counts.items())
+    spent = 0
+
+    def descend(turns: dict[int, int]) -> int:
+        """One plan; how many places it had before it ended or could not be better."""
+        nonlocal best, n_best, spent
+        left = {n: c for n, c in counts.items() if c}
+        lengths = sorted(left, reverse=True)
+        wasted, used, place = 0, {}, 0
+        while lengths:
+            spent += 1
+            spare = (n_best - 1) * capacity - total - wasted  # what may still be wasted by a better plan
+            big = lengths[0]
+            left[big] -= 1
+            turn = turns.get(place, 0)
+            found = fillings(lengths, left, capacity - big, spare, turn + 1) if spare >= 0 else []
+            left[big] += 1
+            if turn >= len(found) or (spent > nodes and turns):
+                return place
+            place += 1
+            pattern = (big, *found[turn])
+            need = Counter(pattern)
+            n = min(left[x] // k for x, k in need.items())
+            for x, k in need.items():
+                left[x] -= n * k
+            lengths = [x for x in lengths if left[x]]
+            wasted += n * (capacity - sum(pattern))
+            used[pattern] = used.get(pattern, 0) + n
+        if sum(used.values()) < n_best:
+            best, n_best = used, sum(used.values())
+        return place
+
+    ahead: deque[dict[int, int]] = deque([{}])
+    while ahead and n_best > bound and (spent < nodes or not spent):
+        turns = ahead.popleft()
+        places = descend(turns)
+        first = max(turns, default=-1) + 1
+        ahead.extend(turns | {at: k} for at in range(first, places) for k in range(1, WIDTH) if len(ahead) < nodes)
+    return best
 
 
 def bin_completion(counts: dict[int, int], capacity: int, incumbent: dict[Pattern, int], nodes: int = NODES) -> dict[Pattern, int]:
@@ -180,9 +257,13 @@ def bin_completion(counts: dict[int, int], capacity: int, incumbent: dict[Patter
 def plan(counts: dict[int, int], capacity: int) -> dict[Pattern, int]:
     """Patterns and how many sequences have each."""
     out = best_fit(counts, capacity)
-    if sum(out.values()) <= lower_bound(counts, capacity):
+    bound = lower_bound(counts, capacity)
+    if sum(out.values()) <= bound:
+        return out
+    out = dict(complete(counts, capacity, out, bound))
+    if sum(out.values()) <= bound:
         return out
-    # what best fit leaves least full is opened again and searched
+    # what is left least full is opened again and searched piece by piece
     for tail in (TAIL // 4, TAIL):
         ordered = sorted(out, key=lambda p: (sum(p), p))
         opened: dict[Pattern, int] = {}
@@ -205,7 +286,7 @@ def plan(counts: dict[int, int], capacity: int) -> dict[Pattern, int]:
                     del out[p]
             for p, n in better.items():
                 out[p] = out.get(p, 0) + n
-        if sum(out.values()) <= lower_bound(counts, capacity):
+        if sum(out.values()) <= bound:
             break
     return out
 

@@ -71,6 +71,16 @@ def test_bin_completion_beats_best_fit():
     assert sum(packing.bin_completion(counts, 10, best_fit).values()) == -(-(12 + 10 + 8 + 12 + 2) // 10)
 
 
+@pytest.mark.parametrize("n", [2, 600, 6_000_000])
+def test_completion_spans_the_whole_histogram(n):
+    counts = {2058: n, 1044: n, 1034: n, 1004: 2 * n}
+    got = packing.plan(counts, 4096)
+    assert sum(got.values()) == packing.lower_bound(counts, 4096) == 3 * n // 2
+    assert {x: sum(k * p.count(x) for p, k in got.items()) for x in counts} == counts and max(map(sum, got)) <= 4096
+    # and the best of more fillings than are asked for comes first
+    assert packing.fillings([9, 8, 7, 2], {9: 9, 8: 9, 7: 9, 2: 9}, 16, 16, 1) == [(9, 7)]
+
+
 def test_large_counts_stay_cheap():
     counts = {n: 10_000_000 + n for n in range(1, 4097, 3)}
     got = packing.plan(counts, 4096)
