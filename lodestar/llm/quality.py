@@ -6,7 +6,8 @@ combines them into one probability (1: good). Memory does not grow with a text:
 that overlap by the half chunk they share.
 
 The network is fitted at the driver on a bounded sample of labelled rows: SAMPLE rows of each label in
-expectation, chosen by a hash of the id, TRAIN_BYTES bytes of each.
+expectation, chosen by a hash of the id, their whole texts. The number of rows is bounded, their
+length is not: texts pass in groups of GROUP bytes here too.
 
 Defined results: null and empty texts are scored as an empty chunk; repeated rows are scored each;
 without labelled rows of both kinds every score is the share of good labels, or 1 without labels;
@@ -27,7 +28,6 @@ from . import common
 HALF, DIM, FILTERS = 8, 8, 24
 CHUNK = 2 * HALF
 SAMPLE = 1200
-TRAIN_BYTES = 4096
 SEGMENT = 1 << 15
 GROUP = 1 << 19
 THRESHOLD = 0.7
@@ -83,6 +83,28 @@ def pooled(net: dict, texts: list[bytes]) -> np.ndarray:
     return out
 
 
+def winners(net: dict, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The answer that wins the pooling of each text and filter, and the bytes of its chunk."""
+    top = np.full((len(texts), FILTERS), -np.inf, np.float32)
+    chunk = np.zeros((len(texts), FILTERS, CHUNK), np.uint8)
+    pieces = [(i, t[a : a + GROUP + HALF]) for i, t in enumerate(texts) for a in range(0, max(1, len(t)), GROUP)]
+    while pieces:
+        n, size = 1, len(pieces[0][1])
+        while n < len(pieces) and size + len(pieces[n][1]) <= GROUP:
+            size += len(pieces[n][1])
+            n += 1
+        raw, starts, owner = blocks_of([p for _, p in pieces[:n]])
+        y, blocks = answers(net, raw), raw.reshape(-1, HALF)
+        for s, e, k in zip(starts, np.append(starts[1:], len(y)), owner, strict=True):
+            i, at = pieces[k][0], s + y[s:e].argmax(axis=0)
+            best = y[at, np.arange(FILTERS)]
+            more = best > top[i]
+            top[i, more] = best[more]
+            chunk[i, more] = np.concatenate([blocks[at], blocks[np.minimum(at + 1, len(blocks) - 1)]], axis=1)[more]
+        pieces = pieces[n:]
+    return top, chunk
+
+
 def score(net: dict, texts: list[bytes]) -> np.ndarray:
     if "prior" in net:
         return np.full(len(texts), net["prior"])
@@ -104,7 +126,6 @@ def train(texts: list[bytes], labels: np.ndarray, epochs: int = 14, seed: int =
         "out": rng.normal(0, 0.3, FILTERS),
         "out_bias": np.zeros(1),
     }
-    texts = [t[:TRAIN_BYTES] for t in texts]
     share = labels.mean()
     weight = np.where(labels > 0.5, 0.5 / share, 0.5 / (1 - share))
     m = {k: (np.zeros(v.shape), np.zeros(v.shape)) for k, v in net.items()}
@@ -113,12 +134,8 @@ def train(texts: list[bytes], labels: np.ndarray, epochs: int = 14, seed: int =
         order = rng.permutation(len(texts))
         for a in range(0, len(order), 32):
             at = order[a : a + 32]
-            raw, starts, _ = blocks_of([texts[i] for i in at])
-            y = answers(net, raw)
-            n = len(starts)
-            ends = np.append(starts[1:], len(y))
-            win = np.stack([s + y[s:e].argmax(axis=0) for s, e in zip(starts, ends, strict=True)])  # (n, FILTERS)
-            top = np.take_along_axis(y, win, axis=0)
+            top, chunk = winners(net, [texts[i] for i in at])
+            n = len(at)
             h = np.maximum(top, 0).astype(np.float64)
             p = 1 / (1 + np.exp(-np.clip(h @ net["out"] + net["out_bias"], -30, 30)))
             dz = (p - labels[at]) * weight[at] / n
@@ -126,14 +143,12 @@ def train(texts: list[bytes], labels: np.ndarray, epochs: int = 14, seed: int =
             dh = dz[:, None] * net["out"][None] * (top > 0)
             grads["bias"] = dh.sum(axis=0)
             conv, embed = np.zeros(net["conv"].shape), np.zeros(net["embed"].shape)
-            blocks = raw.reshape(-1, HALF)
             for f in range(FILTERS):
                 d = dh[:, f]
                 live = np.flatnonzero(d)
                 if not len(live):
                     continue
-                first = blocks[win[live, f]]
-                second = blocks[np.minimum(win[live, f] + 1, len(blocks) - 1)]
+                first, second = chunk[live, f, :HALF], chunk[live, f, HALF:]
                 for half, column in ((first, f), (second, FILTERS + f)):
                     x = net["embed"][half].reshape(len(live), -1)
                     conv[:, column] += x.T @ d[live]
@@ -159,7 +174,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
         kept = kept | ((F.col("quality") == k) & (spot < int(min(1.0, sample / n) * (1 << 20)) + (n <= sample)))
     # the chosen ids are SAMPLE of each label in expectation: small enough to send to every task
     chosen = F.broadcast(named.where(kept))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.encode(F.substring("text", 1, TRAIN_BYTES), "utf-8").alias("raw")).where(F.col("raw").isNotNull()).join(chosen, "doc_id")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.encode("text", "utf-8").alias("raw")).where(F.col("raw").isNotNull()).join(chosen, "doc_id")
     found = rows.select("doc_id", "raw", "quality").toPandas().sort_values(["doc_id", "raw"])
     return train([bytes(x) for x in found["raw"]], found["quality"].to_numpy(np.float64))
 

@@ -154,6 +154,14 @@ def test_classifier_learns_and_is_blind_to_segments(monkeypatch):
     assert quality.score(quality.train([], np.array([])), [b"x"])[0] == 1.0 and quality.score(quality.train([b"x"], np.array([0.0])), [b"x"])[0] == 0.0
 
 
+def test_classifier_trains_on_whole_texts():
+    rng = random.Random(4)
+    texts = [bytes(rng.choice(b"abcdefgh ") for _ in range(5000)) + mark * 8 for _ in range(60) for mark in (b"ZQXJ", b"#7+%")]
+    labels = np.array([1.0, 0.0] * 60)
+    net = quality.train(texts[:80], labels[:80])
+    assert ((quality.score(net, texts[80:]) > 0.5) == (labels[80:] > 0.5)).mean() > 0.9
+
+
 def test_backoff_to_shorter_grams():
     model = {"langs": ["aa", "bb"], "words": {"hi": 0}, "word_m": np.array([[-1.0, -9.0]], np.float32), "grams": {"zz": 0, "q": 1}, "gram_m": np.array([[-9.0, -1.0], [-2.0, -8.0]], np.float32)}
     s = langid.Scorer(model)
