@@ -35,12 +35,13 @@ THRESHOLD = 0.7
 
 def blocks_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bytes in blocks of HALF with an empty block after each segment; where segments start; whose
-    they are. Segments of a long text share a block, so that no chunk is lost between them."""
+    they are. Segments of a long text share a block, so that no chunk is lost between them. The empty
+    block only ends the last chunk: what begins there would reach into the next segment."""
     parts, starts, owner, at = [], [], [], 0
     for i, t in enumerate(texts):
         for a in range(0, max(1, len(t)), SEGMENT):
             part = t[a : a + SEGMENT + HALF]
-            pad = -len(part) % HALF + HALF
+            pad = -len(part) % HALF + (HALF if part else CHUNK)
             parts += [part, bytes(pad)]
             starts.append(at)
             owner.append(i)
@@ -65,7 +66,9 @@ def pooled(net: dict, texts: list[bytes]) -> np.ndarray:
 
     def run() -> None:
         raw, starts, owner = blocks_of(group)
-        best = np.maximum.reduceat(answers(net, raw), starts, axis=0)
+        y = answers(net, raw)
+        y[np.append(starts[1:], len(y)) - 1] = -np.inf
+        best = np.maximum.reduceat(y, starts, axis=0)
         np.maximum.at(out, first + owner, best)
 
     for i, t in enumerate(texts):
@@ -96,11 +99,11 @@ def winners(net: dict, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         raw, starts, owner = blocks_of([p for _, p in pieces[:n]])
         y, blocks = answers(net, raw), raw.reshape(-1, HALF)
         for s, e, k in zip(starts, np.append(starts[1:], len(y)), owner, strict=True):
-            i, at = pieces[k][0], s + y[s:e].argmax(axis=0)
+            i, at = pieces[k][0], s + y[s : e - 1].argmax(axis=0)
             best = y[at, np.arange(FILTERS)]
             more = best > top[i]
             top[i, more] = best[more]
-            chunk[i, more] = np.concatenate([blocks[at], blocks[np.minimum(at + 1, len(blocks) - 1)]], axis=1)[more]
+            chunk[i, more] = np.concatenate([blocks[at], blocks[at + 1]], axis=1)[more]
         pieces = pieces[n:]
     return top, chunk
 

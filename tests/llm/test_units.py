@@ -162,6 +162,18 @@ def test_classifier_trains_on_whole_texts():
     assert ((quality.score(net, texts[80:]) > 0.5) == (labels[80:] > 0.5)).mean() > 0.9
 
 
+def test_scores_come_from_the_text_alone():
+    rng = np.random.default_rng(6)
+    texts = [b"", *[rng.integers(0, 256, n, dtype=np.uint8).tobytes() for n in (1, 7, 8, 9, 16, 40, 40_000)], b""]
+    net = quality.train(texts * 3, np.arange(27) % 2, epochs=2)
+    alone = np.array([quality.score(net, [t])[0] for t in texts])
+    for _ in range(20):
+        order = rng.permutation(len(texts))
+        assert np.allclose(quality.score(net, [texts[i] for i in order]), alone[order], atol=1e-6)
+    top, chunk = quality.winners(net, texts)
+    assert np.allclose(np.maximum(top, 0), quality.pooled(net, texts), atol=1e-5) and not chunk[0].any()
+
+
 def test_backoff_to_shorter_grams():
     model = {"langs": ["aa", "bb"], "words": {"hi": 0}, "word_m": np.array([[-1.0, -9.0]], np.float32), "grams": {"zz": 0, "q": 1}, "gram_m": np.array([[-9.0, -1.0], [-2.0, -8.0]], np.float32)}
     s = langid.Scorer(model)
