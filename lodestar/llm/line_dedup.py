@@ -1,14 +1,25 @@
-"""Substring deduplication by hashing lines.
+"""Substring deduplication by hashing the sentences of lines, and paragraphs of them.
 
-Lines are normalised (case and everything but letters and digits are ignored) and those of MIN_WORDS
-words or more are digested to 128 bits. Digests are counted over the whole corpus before any row is
-sent on; of each digest that occurs more than once the occurrence of least rank (doc_id, then line)
-stays and the others go. Offsets of what is removed refer to the original text, in code points.
+A unit is a sentence or the rest of a line: it ends after sentence marks or line feeds, and the units
+tile the text. Units are normalised (case and everything but letters and digits are ignored) and
+digested to 128 bits, units without words left out. Digests meet globally; of each digest that occurs
+more than once the occurrence of least rank (doc_id, then place in the text) is the one to keep.
 
-Defined results: null texts stay null and have no lines; empty texts stay empty; null doc_ids rank
+A paragraph is a run of neighbouring repeated units of MIN_WORDS words or more in all; repeats in
+shorter runs (greetings, headings, stock phrases) always stay. A run of occurrences that are not the
+ones to keep is removed, with what stands between its units. Offsets of what is removed refer to the
+original text, in code points.
+
+A digest that very many units share is found on a sample and goes another way: its first occurrence is
+aggregated before the shuffle and sent to the units, so that no task gets all of them. Which way a
+digest goes does not change the result.
+
+Defined results: null texts stay null and have no units; empty texts stay empty; null doc_ids rank
 last; rows with equal doc_id and text are one document that is stored twice: each gets the same
-result; a line that repeats within a document goes too, but for its first occurrence; empty tables
-give no rows; other columns are ignored; texts of any length are read whole.
+result and neither repeats the other; rows with equal doc_id and other texts rank by a hash of the
+text; a unit that repeats within a document counts as repeated, but its first occurrence stays; empty
+tables give no rows; other columns are ignored; texts of any length are read whole; text without
+sentence marks and line feeds is one unit.
 """
 
 from __future__ import annotations
@@ -18,118 +29,162 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import common
 
-#: Shorter lines recur in honest texts (headings, greetings) and always stay.
-MIN_WORDS = 20
+#: Words in a run of repeated units that count as a paragraph: half of a passage of fifty.
+MIN_WORDS = 25
+UNIT = re.compile(r"[^.!?。！？\n]*[.!?。！？\n]+|[^.!?。！？\n]+")
 WORD = re.compile(r"[^\W_]+")
 LAST = (1 << 63) - 1
+#: One unit in SAMPLE decides what is hot: digests with more than one in HOT of the sampled units, so
+#: that HOT of them are sent to every task at most. So rare ones as have under LEAST sampled units never are.
+SAMPLE, HOT, LEAST = 64, 2000, 16
+PLACE = ("rank", "tie", "unit")
+
 
+def units_of(text: str) -> Iterator[tuple[int, int, list[str]]]:
+    """Start, end and words of each unit that has words."""
+    for m in UNIT.finditer(text):
+        words = WORD.findall(m.group().lower())
+        if words:
+            yield m.start(), m.end(), words
 
-def lines_of(text: str) -> Iterator[tuple[int, int]]:
-    """Start and end of each line, without its line feed."""
-    at = 0
-    while True:
-        end = text.find("\n", at)
-        if end < 0:
-            yield at, len(text)
-            return
-        yield at, end
-        at = end + 1
-
-
-def digest(line: str, min_words: int = MIN_WORDS) -> tuple[int, int] | None:
-    """128 bits of a normalised line as two signed integers; None for a line that is too short."""
-    if len(line) < 2 * min_words - 1:
-        return None
-    words = WORD.findall(line.lower())
-    if len(words) < min_words:
-        return None
+
+def digest(words: list[str]) -> tuple[int, int]:
+    """128 bits of a normalised unit as two signed integers."""
     h = xxhash.xxh3_128_digest(" ".join(words).encode("utf-8", "surrogatepass"))
     return int.from_bytes(h[:8], "little", signed=True), int.from_bytes(h[8:], "little", signed=True)
 
 
-def text_id(text: str) -> int:
-    return int.from_bytes(xxhash.xxh3_64_digest(text.encode("utf-8", "surrogatepass")), "little", signed=True)
+def _rows(docs: DataFrame) -> DataFrame:
+    """doc_id, text, rank (doc_id, nulls last) and tie (of the text)."""
+    doc_id, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
+    return docs.select(doc_id.alias("doc_id"), text.alias("text"), F.coalesce(doc_id, F.lit(LAST)).alias("rank"), F.xxhash64(text).alias("tie"))
 
 
-def units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """rank (doc_id, nulls last), tie (of the text), unit (number of the line), and its digest."""
-    schema = "rank long, tie long, unit long, h1 long, h2 long"
+def units(rows: DataFrame) -> DataFrame:
+    """rank, tie, unit (its number among those with words), words (how many), and its digest."""
+    schema = "rank long, tie long, unit int, words int, h1 long, h2 long"
     out_schema = common.fields(schema)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in common.sliced(batches):
-            columns: list[list[int]] = [[], [], [], [], []]
-            for doc, text in zip(batch.column(0).to_pylist(), common.texts_of(batch), strict=True):
-                tie = None
-                for k, (a, b) in enumerate(lines_of(text)):
-                    if (h := digest(text[a:b], min_words)) is not None:
-                        tie = text_id(text) if tie is None else tie
-                        for column, x in zip(columns, (LAST if doc is None else doc, tie, k, *h), strict=True):
-                            column.append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=out_schema)
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
-
-
-def removals(found: DataFrame) -> DataFrame:
-    """rank, tie and the numbers of the lines to remove, of each document that has any."""
-    first = found.groupBy("h1", "h2").agg(F.min(F.struct("rank", "tie", "unit")).alias("first"), F.count("*").alias("n")).where("n > 1").select("h1", "h2", "first")
-    again = found.join(first, ["h1", "h2"]).where(F.struct("rank", "tie", "unit") != F.col("first"))
-    return again.groupBy("rank", "tie").agg(F.sort_array(F.collect_set("unit")).alias("units"))
+        common.hold("lines", lambda: None)
+        for batch in common.sliced(batches, 2 << 20):
+            columns: list[list[int]] = [[] for _ in out_schema]
+            for text, rank, tie in zip(common.texts_of(batch), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                for k, (_, _, words) in enumerate(units_of(text)):
+                    for column, x in zip(columns, (rank, tie, k, len(words), *digest(words)), strict=True):
+                        column.append(x)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, out_schema, strict=True)], schema=out_schema)
+
+    return rows.select("text", "rank", "tie").mapInArrow(run, schema)
+
+
+def repeats(found: DataFrame) -> DataFrame:
+    """rank, tie, unit, words, again (it is not the occurrence to keep) of units that occur elsewhere."""
+    digests = ["h1", "h2"]
+    sampled = found.where(F.pmod(F.xxhash64(*PLACE), F.lit(SAMPLE)) == 0)
+    total = sampled.count()
+    # at most HOT rows by construction: each has more than one in HOT of the sampled units
+    hot = common.written(sampled.groupBy(digests).agg(F.count("*").alias("n")).where(F.col("n") > F.lit(max(LEAST, total // HOT))).select(digests), "hot")
+    place, every = F.struct(*PLACE), Window.partitionBy(digests)
+    cold = found.join(F.broadcast(hot), digests, "left_anti")
+    cold = cold.withColumns({"first": F.min(place).over(every), "last": F.max(place).over(every)})
+    heads = found.join(F.broadcast(hot), digests).groupBy(digests).agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    both = cold.unionByName(found.join(F.broadcast(common.written(heads, "hot")), digests))
+    return both.where(F.col("first") != F.col("last")).select(*PLACE, "words", (place != F.col("first")).alias("again"))
+
+
+def runs(numbers: list[int], words: list[int], least: int) -> list[tuple[int, int]]:
+    """First and last of each run of neighbouring numbers (ascending) that has `least` words."""
+    out, size = [], 0
+    for i, k in enumerate(numbers):
+        if i and numbers[i - 1] == k - 1:
+            size += words[i]
+        else:
+            size, first = words[i], k
+        if size >= least:
+            if out and out[-1][0] == first:
+                out[-1] = (first, k)
+            else:
+                out.append((first, k))
+    return out
 
 
 def deduplicate(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """doc_id, text without repeated lines, n_lines, n_removed, removed (start:end of each removed
-    line in the original text, in order, comma-joined)."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    gone = removals(common.written(units(rows, min_words), "lines"))
-    gone = common.written(gone.toDF("__rank", "__tie", "__units"), "removals")
-    schema = "doc_id long, text string, n_lines long, n_removed long, removed string"
+    """doc_id, text without repeated paragraphs, n_repeated (units in paragraphs that occur elsewhere
+    too, the occurrences to keep among them), n_removed (units removed), n_units, and removed
+    (start:end of each removed run in the original text, in order, comma-joined)."""
+    rows = _rows(docs)
+    marks = repeats(common.written(units(rows), "units"))
+    lists = marks.groupBy(F.col("rank").alias("__rank"), F.col("tie").alias("__tie")).agg(F.collect_set(F.struct("unit", "words", "again")).alias("marks"))
+    schema = "doc_id long, text string, n_repeated long, n_removed long, n_units long, removed string"
     out_schema = common.fields(schema)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in common.sliced(batches):
-            out: list[list] = [[], [], [], []]
-            for text, ties, lists in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3)), strict=True):
-                lines = list(lines_of(text)) if text is not None else []
-                drop = set()
-                if ties:
-                    tie = text_id(text or "")
-                    drop = {u for t, us in zip(ties, lists, strict=True) if t == tie for u in us}
-                kept = text if not drop else "\n".join(text[a:b] for k, (a, b) in enumerate(lines) if k not in drop)
-                for column, x in zip(out, (kept, len(lines), len(drop), ",".join(f"{a}:{b}" for k, (a, b) in enumerate(lines) if k in drop)), strict=True):
+        common.hold("lines", lambda: None)
+        for batch in common.sliced(batches, 2 << 20):
+            out: list[list] = [[] for _ in range(5)]
+            for text, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                found = sorted((m["unit"], m["words"], m["again"]) for m in found or [])
+                spans = [(a, b) for a, b, _ in units_of(text)] if text else []
+                repeated = runs([u for u, _, _ in found], [w for _, w, _ in found], min_words)
+                gone = runs([u for u, _, x in found if x], [w for _, w, x in found if x], min_words)
+                cuts = [(spans[a][0], spans[b][1]) for a, b in gone]
+                kept, at = [], 0
+                for a, b in cuts:
+                    kept.append(text[at:a])
+                    at = b
+                text = "".join([*kept, text[at:]]) if cuts else text
+                counts = (sum(b - a + 1 for a, b in x) for x in (repeated, gone))
+                for column, x in zip(out, (text, *counts, len(spans), ",".join(f"{a}:{b}" for a, b in cuts)), strict=True):
                     column.append(x)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out[0], pa.string()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()), pa.array(out[3], pa.string())], schema=out_schema)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, f.type) for c, f in zip(out, list(out_schema)[1:], strict=True)]], schema=out_schema)
 
-    lists = gone.groupBy("__rank").agg(F.collect_list(F.struct("__tie", "__units")).alias("u"))
     # always by a shuffle: lists grow with the corpus
-    joined = rows.join(lists.hint("merge"), F.coalesce("doc_id", F.lit(LAST)) == F.col("__rank"), "left")
-    return joined.select("doc_id", "text", F.col("u.__tie").alias("ties"), F.col("u.__units").alias("lists")).mapInArrow(run, schema)
+    joined = rows.join(lists.hint("merge"), (F.col("rank") == F.col("__rank")) & (F.col("tie") == F.col("__tie")), "left")
+    return joined.select("doc_id", "text", "marks").mapInArrow(run, schema)
 
 
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All `documents` without lines that an earlier line repeats."""
+    """All `documents` without paragraphs that earlier units repeat."""
     return deduplicate(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 OP7_SQL = r"""
-WITH lines AS (
-  SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS k FROM documents
-), spans AS (
-  SELECT doc_id, k, line, sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY k) - length(line) - 1 AS a,
-         array_to_string(regexp_extract_all(lower(line), '[\p{L}\p{N}]+'), ' ') AS norm,
-         len(regexp_extract_all(lower(line), '[\p{L}\p{N}]+')) AS words
-  FROM lines
+WITH pieces AS (
+  SELECT doc_id, text, regexp_extract_all(text, '[^.!?。！？\n]*[.!?。！？\n]+|[^.!?。！？\n]+') AS p FROM documents
+), tiles AS (
+  SELECT doc_id, unnest(p) AS piece, generate_subscripts(p, 1) AS k FROM pieces
+), placed AS (
+  SELECT doc_id, k, piece, sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY k) AS b,
+         regexp_extract_all(lower(piece), '[\p{L}\p{N}]+') AS w FROM tiles
+), units AS (
+  SELECT doc_id, b - length(piece) AS a, b, len(w) AS words, array_to_string(w, ' ') AS norm,
+         row_number() OVER (PARTITION BY doc_id ORDER BY k) AS u FROM placed WHERE len(w) > 0
 ), marked AS (
-  SELECT *, words >= 20 AND row_number() OVER (PARTITION BY CASE WHEN words >= 20 THEN norm ELSE doc_id || ':' || k END ORDER BY doc_id, k) > 1 AS gone FROM spans
+  SELECT *, count(*) OVER (PARTITION BY norm) > 1 AS again_or_first, row_number() OVER (PARTITION BY norm ORDER BY doc_id, u) > 1 AS again FROM units
+), grouped AS (
+  SELECT *, u - row_number() OVER (PARTITION BY doc_id, again_or_first ORDER BY u) AS g1,
+         u - row_number() OVER (PARTITION BY doc_id, again ORDER BY u) AS g2 FROM marked
+), sized AS (
+  SELECT *, again_or_first AND sum(words) OVER (PARTITION BY doc_id, again_or_first, g1) >= 25 AS repeated,
+         again AND sum(words) OVER (PARTITION BY doc_id, again, g2) >= 25 AS gone FROM grouped
+), counted AS (
+  SELECT doc_id, count_if(repeated)::BIGINT AS n_repeated, count_if(gone)::BIGINT AS n_removed, count(*) AS n_units FROM sized GROUP BY doc_id
+), spans AS (
+  SELECT doc_id, min(a)::BIGINT AS a, max(b)::BIGINT AS b FROM sized WHERE gone GROUP BY doc_id, g2
+), bounds AS (
+  SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS from_ FROM spans
+), cut AS (
+  SELECT doc_id, string_agg(substr(text, from_ + 1, a - from_), '' ORDER BY a) AS before, max(b) AS last,
+         string_agg(a::VARCHAR || ':' || b::VARCHAR, ',' ORDER BY a) AS removed
+  FROM bounds JOIN documents USING (doc_id) GROUP BY doc_id
 )
-SELECT doc_id, coalesce(string_agg(CASE WHEN NOT gone THEN line END, chr(10) ORDER BY k), '') AS text, count(*) AS n_lines,
-       count_if(gone)::BIGINT AS n_removed,
-       coalesce(string_agg(CASE WHEN gone THEN (a::BIGINT)::VARCHAR || ':' || (a::BIGINT + length(line))::VARCHAR END, ',' ORDER BY k), '') AS removed
-FROM marked GROUP BY doc_id
+SELECT d.doc_id, CASE WHEN c.doc_id IS NULL THEN d.text ELSE c.before || substr(d.text, c.last + 1) END AS text,
+       coalesce(n.n_repeated, 0) AS n_repeated, coalesce(n.n_removed, 0) AS n_removed, coalesce(n.n_units, 0) AS n_units, coalesce(c.removed, '') AS removed
+FROM documents d LEFT JOIN counted n USING (doc_id) LEFT JOIN cut c USING (doc_id)
 """
