@@ -2,22 +2,30 @@
 
 Both public BPE vocabularies split a text before merging, and never across the gap between a
 non-space and a single following blank or line feed. So the ids of a text are the ids of its words,
-one after another, and a bounded cache of words answers nearly all of them. Texts with other white
-space than single blanks and line feeds between non-spaces are encoded whole.
+one after another, and a bounded cache of words answers nearly all of them. A word-end vocabulary
+drops white space, so any text is its words. For a byte-level one, blanks count: texts with other
+white space than single blanks and line feeds between words are encoded whole, and so are texts with
+what may be a special token.
 """
 
 from __future__ import annotations
 
 import os
+import re
 
 import numpy as np
 
 from . import common
 
 #: Words in one generation of the cache; at most two generations are held: a bound on a worker's memory.
-CACHE_WORDS = 450_000
+CACHE_WORDS = 400_000
 #: Longer words are encoded, not kept.
 LONGEST_KEPT = 48
+#: New words that are encoded as one text.
+TOGETHER = 500
+#: A word that has this (what any tokenizer may take for white space, what may be a special token), or
+#: nothing but a line feed, does not stand for itself.
+ODD = re.compile(r"^\n?$|.\n|[^\S\n]|[\x00-\x09\x0b-\x1f\x7f-\xa0\xad\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff]|<\|", re.S)
 
 
 def tokenizer_path(name: str) -> str:
@@ -39,51 +47,72 @@ class Encoder:
         self.blanks_count = blanks_count
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
-        self.feed = len(self._encode(["\n"])[0]) if blanks_count else 0
+        feed = self._encode(["\n"])[0] if blanks_count else b""
+        self.feed = len(feed)
+        #: what parts words that are encoded together, and its id, where it is a single one
+        self.between = "\n " if blanks_count else " \x01 "
+        mark = feed if blanks_count else self._encode(["\x01"])[0]
+        self.mark = int.from_bytes(mark, "little") if len(mark) == 4 else None
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _pieces(self, text: str) -> list[str] | None:
-        """The words, the first of a line with the line feed before it; None: encode it whole."""
-        plain = text.split()
-        if not plain or len(plain) != 1 + text.count(" ") + text.count("\n") or text[0].isspace() or text[-1].isspace():
-            return None if text else []
-        return f"\n{text}".replace("\n", " \n").split(" ")[1:] if self.blanks_count else plain
-
-    def _learn(self, pieces: list[list[str] | None]) -> dict[str, bytes]:
-        """A table that has every piece; what is worth it stays for later calls."""
+    def _pieces(self, text: str) -> list[str]:
+        """The words, where blanks count the first of a line with the line feed before it."""
+        if self.blanks_count:
+            return f"\n{text}".replace("\n", " \n").split(" ")[1:] if text else []
+        return text.replace("\n", " ").split(" ")
+
+    def _encoded(self, words: list[str]) -> list[bytes]:
+        """The ids of new words, each after a blank where blanks count."""
+        if self.mark is None or len(words) < 2:
+            return self._encode([w if w[:1] == "\n" or not self.blanks_count else f" {w}" for w in words])
+        out: dict[str, bytes] = {}
+        alone = [w for w in words if ODD.search(w) or w[0] == "\n"]
+        easy = list(set(words).difference(alone))
+        for k in range(0, len(easy), TOGETHER):
+            part = easy[k : k + TOGETHER]
+            ids = np.frombuffer(self._encode([self.between + self.between.join(part)])[0], "<u4")
+            at = np.flatnonzero(ids == self.mark).tolist()
+            if len(at) != len(part):
+                alone += part
+                continue
+            raw = ids.tobytes()
+            out.update((w, raw[4 * a + 4 : 4 * b]) for w, a, b in zip(part, at, [*at[1:], len(ids)], strict=True))
+        out.update(zip(alone, self._encode([f" {w}" if self.blanks_count and w[:1] != "\n" else w for w in alone]), strict=True))
+        return [out[w] for w in words]
+
+    def _learn(self, pieces: list[list[str]]) -> tuple[dict[str, bytes], set[str]]:
+        """A table that has every piece that stands for itself, and the pieces that do not; what is
+        worth it stays for later calls."""
         young, old = self.young, self.old
         if len(young) > CACHE_WORDS:
             self.old, self.young = old, young = young, {}
         wanted: set[str] = set()
         for p in pieces:
-            if p:
-                wanted.update(p)
+            wanted.update(p)
         wanted.difference_update(young.keys())
-        new = []
+        new, odd = [], set()
         for w in wanted:
-            if (ids := old.get(w)) is None:
-                new.append(w)
-            else:
+            if (ids := old.get(w)) is not None:
                 young[w] = ids
+            elif self.blanks_count and ODD.search(w):
+                odd.add(w)
+            else:
+                new.append(w)
         long: dict[str, bytes] = {}
-        if new:
-            whole = [w if w[0] == "\n" else f" {w}" for w in new] if self.blanks_count else new
-            for w, ids in zip(new, self._encode(whole), strict=True):
-                if len(w) <= LONGEST_KEPT:
-                    young[w] = ids
-                else:
-                    long[w] = ids
-        return {**young, **long} if long else young
+        for w, ids in zip(new, self._encoded(new), strict=True):
+            (young if len(w) <= LONGEST_KEPT else long)[w] = ids
+        return ({**young, **long} if long else young), odd
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """For each text its ids as little-endian unsigned 32-bit integers."""
         pieces = [self._pieces(t) for t in texts]
-        get = self._learn(pieces).__getitem__
-        hard = iter(self._encode([t for t, p in zip(texts, pieces, strict=True) if p is None]))
-        skip = self.feed
-        return [next(hard) if p is None else b"".join(map(get, p))[skip:] for p in pieces]
+        table, odd = self._learn(pieces)
+        get, skip = table.__getitem__, self.feed
+        whole = [bool(odd) and not odd.isdisjoint(p) for p in pieces]
+        hard = iter(self._encode([t for t, w in zip(texts, whole, strict=True) if w]))
+        return [next(hard) if w else b"".join(map(get, p))[skip:] for p, w in zip(pieces, whole, strict=True)]
 
 
 _encoders: dict[tuple[str, bool], Encoder] = {}

@@ -11,8 +11,10 @@ Format of a shard (all integers little-endian)::
 
 Any block can be read alone. Ids that fit 16 bits leave the two high byte planes empty.
 
-A shard is a binary value in a Parquet table of the shared folder, so Spark's committer writes it
-once and any store that Spark reaches will do; `export` puts shards in files of their own.
+Shards are files, shards/PART-SHARD.lsbp under the dataset's folder, written by the task that encodes
+them under a name of their own and then renamed, so a task that runs again does no harm. Beside them
+Spark writes a manifest, a Parquet table with a row for each shard. In a store that only Spark reaches
+the manifest holds the shards themselves, as binary values.
 
 Defined results: null and empty texts are documents of the end id alone; equal ids and repeated rows
 keep all their rows, in order of the ids and a hash of the text; null ids come first; an empty table
@@ -22,12 +24,14 @@ gives an empty dataset; other columns are ignored; a text of any length is one d
 from __future__ import annotations
 
 import struct
+import uuid
 import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,7 +43,7 @@ HEADER = struct.Struct("<4sIIIQQQ")
 BLOCK = 1 << 16
 #: A shard is closed once it has so many ids; a longer document is a shard of its own.
 SHARD_IDS = 1 << 20
-SHARD_SCHEMA = "part long, shard long, n_docs long, n_ids long, content binary"
+SHARD_SCHEMA = "part long, shard long, first long, n_docs long, n_ids long, file string, content binary"
 DOC_SCHEMA = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
@@ -125,25 +129,59 @@ class Shard:
         return got[first - k0 * self.block : last - k0 * self.block]
 
 
+def _store(uri: str) -> tuple[fs.FileSystem, str] | None:
+    """The file system of a path and the path in it; None where only Spark reaches it."""
+    try:
+        return fs.FileSystem.from_uri(uri)
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+        return None
+
+
+def _write_file(uri: str, content: bytes) -> None:
+    """The file appears whole or not at all."""
+    store, at = _store(uri)
+    own = f"{at}.{uuid.uuid4().hex}.tmp"
+    with store.open_output_stream(own) as out:
+        out.write(content)
+    store.move(own, at)
+
+
+def read_file(uri: str) -> bytes:
+    store, at = _store(uri)
+    with store.open_input_file(at) as f:
+        return f.read()
+
+
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, blanks_count: bool = True, bits: bool = False, partitions: int | None = None) -> None:
     """Encode documents (doc_id, text) and write shards in ascending order of doc_id to path.
 
-    One range-partitioned shuffle carries the texts; each task encodes its range and cuts shards."""
+    One range-partitioned shuffle carries the texts; each task encodes its range and cuts shards, and
+    knows how many ids of its part went before each."""
     spark = docs.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("tie"))
     rows = rows.repartitionByRange(n, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text", F.spark_partition_id().cast("long").alias("part"))
     end = np.array([end_id], dtype="<u4").tobytes()
     out_schema = common.fields(SHARD_SCHEMA)
+    folder = None
+    if (store := _store(f"{path}/shards")) is not None:
+        store[0].create_dir(store[1], recursive=True)
+        folder = f"{path}/shards"
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer, blanks_count)
         held: list[tuple[int | None, bytes]] = []
-        size, shard, part = 0, 0, 0
+        size, shard, part, first = 0, 0, 0, 0
 
         def close() -> pa.RecordBatch:
+            row = {"part": part, "shard": shard, "first": first, "n_docs": len(held), "n_ids": size // 4}
             content = write_shard(held, bits=bits)
-            return pa.RecordBatch.from_pylist([{"part": part, "shard": shard, "n_docs": len(held), "n_ids": size // 4, "content": content}], out_schema)
+            if folder is None:
+                row["content"] = content
+            else:
+                row["file"] = f"{folder}/{part:05d}-{shard:05d}.lsbp"
+                _write_file(row["file"], content)
+            return pa.RecordBatch.from_pylist([row], out_schema)
 
         for batch in common.sliced(batches, 4 << 20):
             part = batch.column(2)[0].as_py()
@@ -152,45 +190,40 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, blanks
                 size += len(ids) + 4
                 if size >= 4 * SHARD_IDS:
                     yield close()
+                    first += size // 4
                     held, size, shard = [], 0, shard + 1
         if held:
             yield close()
 
-    rows.mapInArrow(encode, SHARD_SCHEMA).write.mode("overwrite").parquet(path)
+    rows.mapInArrow(encode, SHARD_SCHEMA).write.mode("overwrite").parquet(f"{path}/manifest")
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """One row per document of a written dataset, from the shards: doc_id, start (ids of all
-    documents before it), n_tokens, ids_crc32. Starts need one small row per shard at the driver."""
-    shards = spark.read.parquet(path)
-    before: dict[tuple[int, int], int] = {}
-    total = 0
-    for r in sorted(shards.select("part", "shard", "n_ids").collect()):
-        before[r["part"], r["shard"]] = total
-        total += r["n_ids"]
+    documents before it), n_tokens, ids_crc32. The driver sees the total of each part, and there are as
+    many parts as the write had partitions."""
+    shards = spark.read.parquet(f"{path}/manifest")
+    totals = sorted(shards.groupBy("part").agg(F.sum("n_ids").alias("n")).collect())
+    before, total = {}, 0
+    for r in totals:
+        before[r["part"]] = total
+        total += r["n"]
     out_schema = common.fields(DOC_SCHEMA)
 
     def decode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.hold("shards", lambda: None)
         for batch in batches:
-            for part, no, content in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                shard = Shard(content)
+            for part, first, file, content in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+                shard = Shard(content if file is None else read_file(file))
                 raw = memoryview(shard.ids().tobytes())
                 crcs = [zlib.crc32(raw[4 * s : 4 * (s + n)]) for s, n in zip(shard.starts.tolist(), shard.counts.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(shard.doc_ids, mask=shard.nulls), pa.array(shard.starts + before[part, no]), pa.array(shard.counts), pa.array(crcs, pa.int64())], schema=out_schema)
-
-    # a shard holds megabytes: few of them at a time
-    return shards.select("part", "shard", "content").mapInArrow(decode, DOC_SCHEMA)
-
-
-def export(spark: SparkSession, path: str, folder: str) -> int:
-    """Write each shard as part-shard.lsbp into a local folder, one at a time; how many there were."""
-    from pathlib import Path
+                yield pa.RecordBatch.from_arrays([pa.array(shard.doc_ids, mask=shard.nulls), pa.array(shard.starts + (before[part] + first)), pa.array(shard.counts), pa.array(crcs, pa.int64())], schema=out_schema)
 
-    n = 0
-    for r in spark.read.parquet(path).toLocalIterator():
-        Path(folder, f"{r['part']:05d}-{r['shard']:05d}.lsbp").write_bytes(r["content"])
-        n += 1
-    return n
+    # rows of the manifest are small and the shards behind them are not: dealt out by their names
+    rows = shards.select("part", "first", "file", "content")
+    if (n := shards.count()) > 1 and _store(path) is not None:
+        rows = rows.repartition(min(n, int(spark.conf.get("spark.sql.shuffle.partitions"))), "file")
+    return rows.mapInArrow(decode, DOC_SCHEMA)
 
 
 def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
