@@ -38,7 +38,8 @@ WIDTH = 4
 PLACES = 2_000
 #: Incomplete sequences that the search by single pieces takes on.
 TAIL = 48
-SALTS = 64
+#: No group of pieces that one task ranks is more than about this share of all pieces.
+SHARES = 2048
 
 
 def lower_bound(counts: dict[int, int], capacity: int) -> int:
@@ -335,9 +336,15 @@ def pieces_of(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, blank
 def pack(pieces: DataFrame, capacity: int) -> DataFrame:
     """Add sequence_id and offset to pieces that have a length of 1 to capacity.
 
-    The ranks come from counts of (length, salt): a length that a third of all pieces have is dealt
-    over the salts, and only the counts meet at the driver (at most capacity x SALTS)."""
-    rows = pieces.withColumn("__salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(SALTS)).cast("int"))
+    The ranks come from counts of (length, salt): a length has as many salts as it has SHARES of all
+    pieces, so that one that a third of them have is dealt over many tasks. Only counts meet at the
+    driver, at most capacity + SHARES of them whatever the corpus."""
+    sizes = common.written(pieces.groupBy("length").agg(F.count("*").alias("n")), "lengths")
+    share = max(1, (sizes.agg(F.sum("n")).first()[0] or 0) // SHARES)
+    # at most `capacity` rows
+    salts = F.broadcast(sizes.select("length", F.ceil(F.col("n") / share).cast("int").alias("__salts")))
+    rows = pieces.join(salts, "length")
+    rows = rows.withColumn("__salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.col("__salts")).cast("int")).select(*pieces.columns, "__salt")
     found = rows.groupBy("length", "__salt").agg(F.count("*").alias("n")).collect()
     counts: dict[int, int] = {}
     before: dict[tuple[int, int], int] = {}
