@@ -8,15 +8,15 @@ side, can't be in a match: they are passed over without a step of the automaton.
 An automaton holds AUTOMATON_WORDS words of items at most (or one item). More items are dealt over
 several automata, and the documents pass them one after another, so memory stays bounded.
 
-Defined results: null and empty texts have no words; null and wordless items match nothing; equal
-items each count, under their own ids; repeated rows are judged each; an empty benchmark leaves every
+Defined results: null and empty texts have no words; items of null or wordless text match nothing;
+equal items each count, under their own ids; rows with one item_id are one item; items without an id
+cover words, but are neither counted nor listed; repeated rows are judged each; an empty benchmark leaves every
 document clean; other columns are ignored; texts of any length are read whole.
 """
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +39,7 @@ def words_of(text: str) -> list[bytes]:
 class Automaton:
     """Generalised suffix automaton over word numbers, with what each window belongs to."""
 
-    def __init__(self, items: list[tuple[str, list[bytes]]], window: int = WINDOW):
+    def __init__(self, items: list[tuple[str | None, list[bytes]]], window: int = WINDOW):
         self.window = window
         self.names = [name for name, _ in items]
         self.vocabulary: dict[bytes, int] = {}
@@ -171,9 +171,9 @@ class Automaton:
 
 def automata(benchmark: DataFrame, window: int = WINDOW, most: int = AUTOMATON_WORDS) -> Iterator[Automaton]:
     """Automata of the items, each of at most `most` words (or one item)."""
-    held: list[tuple[str, list[bytes]]] = []
+    held: list[tuple[str | None, list[bytes]]] = []
     size = 0
-    rows = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text")).where(F.col("text").isNotNull() & F.col("item_id").isNotNull())
+    rows = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text")).where(F.col("text").isNotNull())
     for r in rows.toLocalIterator():
         words = words_of(r["text"])
         if held and size + len(words) > most:
@@ -184,24 +184,30 @@ def automata(benchmark: DataFrame, window: int = WINDOW, most: int = AUTOMATON_W
     yield Automaton(held, window)
 
 
-STATE = "long"
+#: What a pass adds to rows: how many words, word starts and ends of hits (flat), ids of items found.
+EXTRA = [T.StructField("__n_words", T.LongType()), T.StructField("__hits", T.ArrayType(T.LongType())), T.StructField("__items", T.ArrayType(T.StringType()))]
+Finish = Callable[[pa.RecordBatch], pa.RecordBatch]
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, keep: list[str], text: str = "text", window: int = WINDOW, most: int = AUTOMATON_WORDS) -> DataFrame:
-    """docs' rows: the columns of keep, the text, __n_words, __hits (word starts and ends, flat) and
-    __items (ids found)."""
+def matches(docs: DataFrame, benchmark: DataFrame, keep: list[str], text: str = "text", window: int = WINDOW, most: int = AUTOMATON_WORDS, finish: Finish | None = None, schema: T.StructType | None = None) -> DataFrame:
+    """docs' rows: the columns of keep, the text, __n_words, __hits and __items; or what finish makes
+    of batches of them, in the pass that finds the last hits."""
     spark = docs.sparkSession
-    extra = [T.StructField("__n_words", T.LongType()), T.StructField("__hits", T.ArrayType(T.LongType())), T.StructField("__items", T.ArrayType(T.StringType()))]
     rows = docs.select(*[F.col(c) for c in keep], F.col(text).cast("string").alias("__text"), F.lit(0).cast("long").alias("__n_words"), F.lit(None).cast("array<bigint>").alias("__hits"), F.lit(None).cast("array<string>").alias("__items"))
-    schema = T.StructType([*rows.schema.fields[: len(keep) + 1], *extra])
-    for k, automaton in enumerate(automata(benchmark, window, most)):
-        if k:  # the next automaton: what went before is a table, so that one is held at a time
-            rows = common.written(rows, "decontaminate")
-        rows = rows.mapInArrow(_pass(spark.sparkContext.broadcast(automaton)), schema)
-    return rows
-
-
-def _pass(shared):
+    whole = T.StructType([*rows.schema.fields[: len(keep) + 1], *EXTRA])
+    coming = automata(benchmark, window, most)
+    automaton = next(coming)
+    while automaton is not None:
+        later = next(coming, None)
+        step = _pass(spark.sparkContext.broadcast(automaton), finish if later is None else None)
+        if later is None:
+            return rows.mapInArrow(step, schema or whole)
+        # the next automaton: what went before is a table, so that one is held at a time
+        rows = common.written(rows.mapInArrow(step, whole), "decontaminate")
+        automaton = later
+
+
+def _pass(shared, finish: Finish | None):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common.hold("automaton", lambda: None)
         automaton = shared.value
@@ -215,8 +221,9 @@ def _pass(shared):
                     hits = merged(hits + list(zip(hits0[::2], hits0[1::2], strict=True)))
                 counts.append(len(words))
                 spans.append([x for pair in hits for x in pair])
-                items.append(sorted([automaton.names[k] for k in found] + (items0 or [])))
-            yield pa.RecordBatch.from_arrays([*batch.columns[: n - 3], pa.array(counts, pa.int64()), pa.array(spans, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))], names=batch.schema.names)
+                items.append(sorted({automaton.names[k] for k in found}.difference([None]).union(items0 or [])))
+            out = pa.RecordBatch.from_arrays([*batch.columns[: n - 3], pa.array(counts, pa.int64()), pa.array(spans, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))], names=batch.schema.names)
+            yield finish(out) if finish else out
 
     return run
 
@@ -252,31 +259,27 @@ def clean(docs: DataFrame, benchmark: DataFrame, max_coverage: float = 0.5, wind
     keep = [f"__c{i}" for i in range(len(names))]
     at = names.index("text")
     renamed = docs.toDF(*keep)
-    found = matches(renamed, benchmark, keep, text=keep[at], window=window)
-    schema = docs.schema
-    out_schema = T.StructType([T.StructField(k, f.dataType) for k, f in zip(keep, schema.fields, strict=True)])
-    n_chars = keep[names.index("n_chars")] if "n_chars" in names else None
-
-    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n = len(keep)
-            texts = batch.column(at).to_pylist()
-            spans, counts = batch.column(n + 2).to_pylist(), batch.column(n + 1).to_pylist()
-            stays, changed = [], list(texts)
-            for i, (t, s, c) in enumerate(zip(texts, spans, counts, strict=True)):
-                covered = sum(b - a for a, b in zip(s[::2], s[1::2], strict=True))
-                stays.append(not covered or covered <= max_coverage * c)
-                if covered and stays[-1]:
-                    changed[i] = without_words(t, s)
-            columns = list(batch.columns[:n])
-            columns[at] = pa.array(changed, pa.string())
-            if n_chars:
-                k = names.index("n_chars")
-                lengths = [len(t) if t is not u else x for t, u, x in zip(changed, texts, columns[k].to_pylist(), strict=True)]
-                columns[k] = pa.array(lengths, columns[k].type)
-            yield pa.RecordBatch.from_arrays(columns, names=keep).filter(pa.array(stays))
-
-    return found.mapInArrow(cut, out_schema).toDF(*names)
+    out_schema = T.StructType([T.StructField(k, f.dataType) for k, f in zip(keep, docs.schema.fields, strict=True)])
+    n_chars = names.index("n_chars") if "n_chars" in names else None
+
+    def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
+        n = len(keep)
+        texts, counts, spans = (batch.column(k).to_pylist() for k in (at, n + 1, n + 2))
+        stays, changed = [], list(texts)
+        for i, (t, s, c) in enumerate(zip(texts, spans, counts, strict=True)):
+            covered = sum(b - a for a, b in zip(s[::2], s[1::2], strict=True))
+            stays.append(not covered or covered <= max_coverage * c)
+            if covered and stays[-1]:
+                changed[i] = without_words(t, s)
+        columns = list(batch.columns[:n])
+        columns[at] = pa.array(changed, pa.string())
+        if n_chars is not None:
+            lengths = [len(t) if t is not u else x for t, u, x in zip(changed, texts, columns[n_chars].to_pylist(), strict=True)]
+            columns[n_chars] = pa.array(lengths, columns[n_chars].type)
+        return pa.RecordBatch.from_arrays(columns, names=keep).filter(pa.array(stays))
+
+    # in one pass, so that a task holds one Python worker
+    return matches(renamed, benchmark, keep, text=keep[at], window=window, finish=cut, schema=out_schema).toDF(*names)
 
 
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
