@@ -5,22 +5,24 @@ n-grams, the longest length at which any of its n-grams is known, down to single
 document's score is the posterior of the sums over its words.
 
 The model is fitted on a bounded sample of labelled rows: ROWS_A_LANGUAGE rows of each language in
-expectation, chosen by a hash of the id, of at most LANGUAGES languages; it keeps at most WORDS words
-and GRAMS n-grams of each language. That bounds what is broadcast, whatever the corpus.
-
-Defined results: null texts and texts without letters are `und` with score 0; without any labelled
-row every text is `und`; repeated rows are scored each; ties go to the language first in order; other
-columns are ignored; texts of any length are read whole.
+expectation, chosen by a hash of the id, their whole texts; it has the WORDS most frequent words and
+the GRAMS most frequent n-grams of each language, and of each of them only the languages that use it.
+That bounds what is broadcast by the number of languages, whatever the corpus.
+
+Defined results: null texts and texts without letters are `und` with score 0, and so is every text
+where no row is labelled or the tables are empty; repeated rows are scored each; ties go to the
+language first in order; other columns are ignored, whatever they are called; texts and words of any
+length are read whole; numerals are not letters.
 """
 
 from __future__ import annotations
 
-import re
 import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -28,22 +30,23 @@ from pyspark.sql.window import Window
 from . import common
 
 ROWS_A_LANGUAGE = 3000
-LANGUAGES = 200
 WORDS = 20_000
 GRAMS = 20_000
 LONGEST_GRAM = 5
-#: Tokens whose scores a worker keeps.
-KEPT_TOKENS = 400_000
+#: A longer run of letters is rather a text without blanks: its n-grams count, it is no word.
+LONGEST_WORD = 64
+#: Numbers of the tokens' scores that a worker keeps (4 bytes each).
+KEPT = 2_000_000
 UNKNOWN = "und"
-LETTERS = re.compile(r"[^\W\d_]+")
+LETTERS = regex.compile(r"\p{L}+")
 
 
 def fit(labelled: DataFrame, rows: int = ROWS_A_LANGUAGE, words: int = WORDS, grams: int = GRAMS) -> dict:
     """The model from rows of (doc_id, text, lang)."""
     named = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
-    sizes = {r["lang"]: r["n"] for r in named.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
+    sizes = {r["lang"]: r["n"] for r in named.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     langs = sorted(sizes)
-    model: dict = {"langs": langs, "words": {}, "grams": {}, "word_m": np.zeros((0, 0), np.float32), "gram_m": np.zeros((0, 0), np.float32)}
+    model: dict = {"langs": langs, "words": _table({}, langs, {}), "grams": _table({}, langs, {})}
     if not langs:
         return model
     spot = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 20))
@@ -51,46 +54,59 @@ def fit(labelled: DataFrame, rows: int = ROWS_A_LANGUAGE, words: int = WORDS, gr
     for lang, n in sizes.items():
         kept = kept | ((F.col("lang") == lang) & (spot < int(min(1.0, rows / n) * (1 << 20)) + (n <= rows)))
     tokens = named.where(kept).select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("w"))
-    # a word of over 64 letters is rather a text without spaces: its n-grams count, it does not
-    counts = tokens.groupBy("lang", F.substring("w", 1, 64).alias("w")).agg(F.count("*").alias("c"))
-    counts = common.written(counts, "langid")
+    counts = common.written(tokens.groupBy("lang", "w").agg(F.count("*").alias("c")), "langid")
     top = Window.partitionBy("lang", "k").orderBy(F.desc("c"), "w")
-    whole = counts.where(F.length("w") < 64).withColumn("k", F.lit(0))
-    padded = F.concat(F.lit("_"), F.col("w"), F.lit("_"))
-    n = F.col("k")
-    pieces = counts.select("lang", "c", padded.alias("w"), F.explode(F.array(*[F.lit(k) for k in range(1, LONGEST_GRAM + 1)])).alias("k")).where(F.length("w") >= n)
-    cut = F.transform(F.sequence(F.lit(1), F.length("w") - n + 1), lambda i: F.substring(F.col("w"), i, n))
-    pieces = pieces.select("lang", "k", "c", F.explode(cut).alias("w")).groupBy("lang", "w", "k").agg(F.sum("c").alias("c"))
-    both = whole.select("lang", "k", "w", "c").unionByName(pieces.select("lang", "k", "w", "c"))
+    whole = counts.where(F.length("w") <= LONGEST_WORD).withColumn("k", F.lit(0))
+    # n-grams of the whole word, however long: it is cut into parts, each with the letters of the next
+    # that its last n-grams need
+    parts = F.split(F.concat(F.lit("_"), F.col("w"), F.lit("_")), r"(?<=\G.{%d})" % LONGEST_WORD)
+    piece = F.transform(parts, lambda x, i: F.struct(F.length(x).alias("own"), F.concat(x, F.coalesce(F.left(F.get(parts, i + 1), F.lit(LONGEST_GRAM - 1)), F.lit(""))).alias("w")))
+    pieces = counts.select("lang", "c", F.explode(piece).alias("p")).select("lang", "c", "p.*", F.explode(F.array(*[F.lit(k) for k in range(1, LONGEST_GRAM + 1)])).alias("k"))
+    starts = F.least(F.col("own"), F.length("w") - F.col("k") + 1)
+    cut = F.transform(F.sequence(F.lit(1), starts), lambda i: F.substring(F.col("w"), i, F.col("k")))
+    grams_ = pieces.where(starts > 0).select("lang", "k", "c", F.explode(cut).alias("w")).groupBy("lang", "w", "k").agg(F.sum("c").alias("c"))
+    both = common.written(whole.select("lang", "k", "w", "c").unionByName(grams_.select("lang", "k", "w", "c")), "langid")
     share = F.when(F.col("k") == 0, F.lit(words)).otherwise(F.lit(grams // LONGEST_GRAM))
     found = both.withColumn("r", F.row_number().over(top)).where(F.col("r") <= share).select("lang", "k", "w", "c").toArrow()
     totals = {(r["lang"], r["k"]): r["n"] for r in both.groupBy("lang", "k").agg(F.sum("c").alias("n")).collect()}
     at = {x: i for i, x in enumerate(langs)}
-    tables: dict[int, dict[str, dict[int, int]]] = {}
+    tables: dict[bool, dict[str, dict[int, int]]] = {False: {}, True: {}}
     for lang, k, w, c in zip(*(found.column(i).to_pylist() for i in range(4)), strict=True):
-        tables.setdefault(k, {}).setdefault(w, {})[at[lang]] = c
-
-    def logs(level: int, seen: dict[int, int]) -> list[float]:
-        return [float(np.log((seen.get(i, 0) + 0.1) / (totals.get((lang, level), 0) + 1000.0))) for i, lang in enumerate(langs)]
-
-    ordered = sorted(tables.get(0, {}))
-    model["words"] = {w: i for i, w in enumerate(ordered)}
-    model["word_m"] = np.array([logs(0, tables[0][w]) for w in ordered], np.float32).reshape(-1, len(langs))
-    rows_, names = [], {}
-    for k in range(1, LONGEST_GRAM + 1):
-        for w in sorted(tables.get(k, {})):
-            names[w] = len(rows_)  # a gram's length is its level
-            rows_.append(logs(k, tables[k][w]))
-    model["grams"], model["gram_m"] = names, np.array(rows_, np.float32).reshape(-1, len(langs))
+        tables[k > 0].setdefault(w, {})[at[lang]] = c
+    model["words"] = _table(tables[False], langs, totals, level=0)
+    model["grams"] = _table(tables[True], langs, totals)  # an n-gram's length is its level
     return model
 
 
+def _table(seen: dict[str, dict[int, int]], langs: list[str], totals: dict[tuple[str, int], int], level: int | None = None) -> dict:
+    """Log frequencies of strings: for each string where its numbers begin, and there the languages
+    that use it with what it adds to an unseen string's frequency of its level."""
+    none = {k: np.array([np.log(0.1 / (totals.get((lang, k), 0) + 1000.0)) for lang in langs], np.float32) for k in range(LONGEST_GRAM + 1)}
+    names = sorted(seen)
+    ends = np.cumsum([0, *[len(seen[w]) for w in names]]).astype(np.int64)
+    used = np.array([i for w in names for i in sorted(seen[w])], np.int32)
+    more = np.array([np.log((seen[w][i] + 0.1) / 0.1) for w in names for i in sorted(seen[w])], np.float32)
+    return {"at": {w: i for i, w in enumerate(names)}, "ends": ends, "langs": used, "more": more, "none": none, "level": level}
+
+
+def _logs(table: dict, name: str, out: np.ndarray) -> bool:
+    """Add the log frequencies of a string to out; whether it is known."""
+    i = table["at"].get(name)
+    if i is None:
+        return False
+    a, b = table["ends"][i], table["ends"][i + 1]
+    out += table["none"][len(name) if table["level"] is None else table["level"]]
+    out[table["langs"][a:b]] += table["more"][a:b]
+    return True
+
+
 class Scorer:
     """Scores texts; what it has worked out for a blank-separated token it keeps for the next."""
 
     def __init__(self, model: dict):
         self.m = model
         self.n = len(model["langs"])
+        self.kept = max(1 << 14, KEPT // (self.n + 1))
         self._reset()
 
     def _reset(self) -> None:
@@ -99,15 +115,15 @@ class Scorer:
 
     def word(self, word: str) -> np.ndarray:
         """Log scores of one lower-case word."""
-        m = self.m
-        if (i := m["words"].get(word)) is not None:
-            return m["word_m"][i]
-        padded, grams = f"_{word}_", m["grams"]
+        out = np.zeros(self.n, np.float32)
+        if _logs(self.m["words"], word, out):
+            return out
+        padded, grams = f"_{word}_", self.m["grams"]
         for k in range(min(LONGEST_GRAM, len(padded)), 0, -1):
-            known = [i for j in range(len(padded) - k + 1) if (i := grams.get(padded[j : j + k])) is not None]
+            known = sum(_logs(grams, padded[j : j + k], out) for j in range(len(padded) - k + 1))
             if known:
-                return m["gram_m"][known].mean(axis=0)
-        return np.zeros(self.n, np.float32)
+                return out / known
+        return out
 
     def token(self, token: str) -> np.ndarray:
         """Sums over the words in a token, then how many they are."""
@@ -120,7 +136,7 @@ class Scorer:
     def sums(self, texts: list[str]) -> np.ndarray:
         """A row for each text: sums of log scores, words."""
         split = [t.split() for t in texts]
-        if len(self.at) > KEPT_TOKENS:
+        if len(self.at) > self.kept:
             self._reset()
         out = np.zeros((len(texts), self.n + 1), np.float64)
         for i, tokens in enumerate(split):
@@ -138,7 +154,7 @@ class Scorer:
                     self.rows[len(at)] = self.token(t)
                     at[t] = len(at)
                 out[i] += self.rows[np.fromiter(map(at.__getitem__, part), np.int64, len(part))].sum(axis=0, dtype=np.float64)
-                if len(at) > 2 * KEPT_TOKENS:
+                if len(at) > 2 * self.kept:
                     self._reset()
         return out
 
