@@ -89,12 +89,12 @@ def repeats(found: DataFrame) -> DataFrame:
     sampled = found.where(F.pmod(F.xxhash64(*PLACE), F.lit(SAMPLE)) == 0)
     total = sampled.count()
     # at most HOT rows by construction: each has more than one in HOT of the sampled units
-    hot = common.written(sampled.groupBy(digests).agg(F.count("*").alias("n")).where(F.col("n") > F.lit(max(LEAST, total // HOT))).select(digests), "hot")
+    hot = common.written(sampled.groupBy(digests).agg(F.count("*").alias("n")).where(F.col("n") > F.lit(max(LEAST, total // HOT))).select(digests), "hot", few=True)
     place, every = F.struct(*PLACE), Window.partitionBy(digests)
     cold = found.join(F.broadcast(hot), digests, "left_anti")
     cold = cold.withColumns({"first": F.min(place).over(every), "last": F.max(place).over(every)})
     heads = found.join(F.broadcast(hot), digests).groupBy(digests).agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    both = cold.unionByName(found.join(F.broadcast(common.written(heads, "hot")), digests))
+    both = cold.unionByName(found.join(F.broadcast(common.written(heads, "heads", few=True)), digests))
     return both.where(F.col("first") != F.col("last")).select(*PLACE, "words", (place != F.col("first")).alias("again"))
 
 

@@ -1,15 +1,19 @@
 """N-gram Jaccard self-join: rare-first prefix filtering with length, positional and suffix filters.
 
 1. Each document becomes the set of its word n-grams (as 64-bit hashes). Documents with equal sets
-   are one class from here on, so copies are never paired. A sketch of fixed width counts in how many
-   documents n-grams occur, over the whole corpus; it gives the order, rare first.
+   are one class from here on, so copies are never paired. A sketch, whose width follows the size of
+   the corpus up to WIDEST, counts in how many documents n-grams occur, over the whole corpus; it gives
+   the order, rare first. Any order gives the same links; the sketch only decides how many candidates.
 2. Each class puts its prefix into an index by n-gram. Two classes that link share an n-gram there.
-3. Where an n-gram has several classes, the first is verified against the others that length and
-   position allow: a star, not all pairs. Classes that links have joined already need no more.
-   Whatever still meets under one n-gram in different components goes on, by further stars while these
-   groups are large, then pair by pair, so that no link between components is missed.
+3. Where an n-gram has several classes, the first ones are candidates with the others that length and
+   position allow: stars, not all pairs. Each round takes more middles a group (HUBS), and those it took
+   leave the group. Classes that links have joined already need no more; a group ends when all that are
+   left in it are in one component, or have been a middle. So no link between components is missed.
 4. A pair is verified once, after a suffix filter, on the two whole sets. Links give components.
 
+An n-gram that very many classes have is dealt over salts wherever rows meet by n-gram, in proportion
+to its share of all rows (SHARES).
+
 Defined results: null texts and texts without words have no n-grams and link with nothing; a text of
 fewer words than n is one n-gram; rows with one doc_id are documents of their own with that id; null
 ids never name a component unless it has no other; empty tables give no rows; other columns are
@@ -24,26 +28,27 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import common
 from .components import components
 
-#: Counters of the sketch (a power of two), and of one row that carries a part of it.
-WIDTH, PART = 1 << 20, 1 << 14
-BITS = 44
+#: Counters of the sketch (powers of two), and of one row that carries a part of it. There is a counter
+#: for each CHARS characters of text, up to WIDEST: what is sent to every task is 8 MB at most.
+NARROWEST, WIDEST, PART, CHARS = 1 << 16, 1 << 23, 1 << 14, 25
+#: Up to this a counter's level is its count, beyond it a logarithm.
+PLAIN = 32
 KEPT_WORDS = 300_000
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
-#: Groups under one n-gram go on by stars while their squares sum to more than so many times the rows,
-#: and so many more, which a join compares in seconds.
-PAIRS_A_ROW = 8
-SQUARES = 50_000_000
-ROUNDS = 6
+#: Middles of a group by round; the last number holds for all later rounds.
+HUBS = (1, 16, 256, 1024)
+#: No group of rows that one task takes is more than about this share of all rows.
+SHARES = 2048
 #: Pairs of a hub that one task takes, and pairs whose ids may be sent to all tasks (24 bytes each).
 STAR = 2000
-BROADCAST_KEYS = 1_000_000
+BROADCAST_KEYS = 200_000
 
 
 class _Words(dict):
@@ -83,27 +88,45 @@ def prefix_length(n: int, num: int, den: int) -> int:
     return n - -(-n * num // den) + 1
 
 
+def _width(docs: DataFrame) -> int:
+    """Counters that a corpus gets, from the length of its texts."""
+    chars = docs.agg(F.sum(F.length(F.col("text").cast("string")).cast("long"))).first()[0] or 0
+    return min(WIDEST, max(NARROWEST, 1 << (chars // CHARS).bit_length()))
+
+
+def _levels(counts: np.ndarray) -> np.ndarray:
+    """Counts as bytes, in the same order but for ties."""
+    far = PLAIN + 8 * np.log2(np.maximum(counts, PLAIN) / PLAIN)
+    return np.where(counts <= PLAIN, counts, np.minimum(far, 255)).astype(np.uint8)
+
+
+def _places(s: np.ndarray, width: int) -> np.ndarray:
+    """The counters of n-grams."""
+    return (s >> np.uint64(65 - width.bit_length())).astype(np.int64)
+
+
 def _index(docs: DataFrame, k: int) -> tuple[DataFrame, np.ndarray]:
-    """doc_id, n, sid of every document; and the sketch."""
-    schema = "doc_id long, n long, sid long, part int, counts binary"
+    """doc_id, n, sid and row (what finds the text again) of every document; and the sketch's levels."""
+    schema = "doc_id long, n long, sid long, row long, part int, counts binary"
     out_schema = common.fields(schema)
+    width = _width(docs)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common.hold("words", _words.clear)
-        counts = np.zeros(WIDTH, np.uint32)
-        for batch in common.sliced(batches, 4 << 20):
+        counts = np.zeros(width, np.uint32)
+        for batch in common.sliced(batches, 2 << 20):
             found = [shingles(text, k) for text in batch.column(1).to_pylist()]
             ns, sids = [len(s) for s in found], [set_id(s) for s in found]
             if found:
-                counts += np.bincount((np.concatenate(found) >> np.uint64(BITS)).astype(np.int64), minlength=WIDTH).astype(np.uint32)
+                np.add.at(counts, _places(np.concatenate(found), width), np.uint32(1))
             none = pa.nulls(len(ns))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ns, pa.int64()), pa.array(sids, pa.int64()), none.cast(pa.int32()), none.cast(pa.binary())], schema=out_schema)
-        pack = zstandard.ZstdCompressor()
-        for p in range(0, WIDTH, PART):
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ns, pa.int64()), pa.array(sids, pa.int64()), batch.column(2), none.cast(pa.int32()), none.cast(pa.binary())], schema=out_schema)
+        pack = zstandard.ZstdCompressor(level=1)
+        for p in range(0, width, PART):
             if counts[p : p + PART].any():
                 yield pa.RecordBatch.from_pylist([{"part": p // PART, "counts": pack.compress(counts[p : p + PART].tobytes())}], out_schema)
 
-    both = common.written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, schema), "shingles")
+    both = common.written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), _row().alias("row")).mapInArrow(run, schema), "shingles")
     total_schema = common.fields("part int, counts binary")
 
     def total(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,24 +137,29 @@ def _index(docs: DataFrame, k: int) -> tuple[DataFrame, np.ndarray]:
                 got = np.frombuffer(unpack.decompress(c), np.uint32).astype(np.int64)
                 sums[p] = sums[p] + got if p in sums else got
         for p, c in sums.items():
-            yield pa.RecordBatch.from_pylist([{"part": p, "counts": c.tobytes()}], total_schema)
+            yield pa.RecordBatch.from_pylist([{"part": p, "counts": _levels(c).tobytes()}], total_schema)
+
+    levels = np.zeros(width, np.uint8)  # WIDEST at most: 8 MB at the driver
+    for r in both.where("part is not null").select("part", "counts").repartition(min(64, width // PART), "part").mapInArrow(total, "part int, counts binary").toLocalIterator():
+        levels[r["part"] * PART : (r["part"] + 1) * PART] = np.frombuffer(r["counts"], np.uint8)
+    return both.where("part is null").select("doc_id", "n", "sid", "row"), levels
 
-    counts = np.zeros(WIDTH, np.int64)  # fixed width: 8 MB at the driver
-    for r in both.where("part is not null").select("part", "counts").repartition(WIDTH // PART, "part").mapInArrow(total, "part int, counts binary").toLocalIterator():
-        counts[r["part"] * PART : (r["part"] + 1) * PART] = np.frombuffer(r["counts"], np.int64)
-    return both.where("part is null").select("doc_id", "n", "sid"), counts
 
+def _row() -> F.Column:
+    """What a row's text is found again by: its id, or for a null id a hash of the text."""
+    return F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string")))
 
-def _prefixes(docs: DataFrame, k: int, num: int, den: int, counts: np.ndarray) -> DataFrame:
+
+def _prefixes(docs: DataFrame, k: int, num: int, den: int, levels: np.ndarray) -> DataFrame:
     """token, sid, n, pos: a row for each n-gram in the prefix of a class (a class may come once a task)."""
     out_schema = common.fields("token long, sid long, n int, pos int")
-    shared = docs.sparkSession.sparkContext.broadcast(np.minimum(counts, (1 << 18) - 1).astype(np.uint32))
+    shared = docs.sparkSession.sparkContext.broadcast(levels)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common.hold("words", _words.clear)
-        counts = shared.value
+        levels = shared.value
         seen: set[int] = set()
-        for batch in common.sliced(batches, 4 << 20):
+        for batch in common.sliced(batches, 2 << 20):
             tokens, sids, ns, poss = [], [], [], []
             for text in batch.column(0).to_pylist():
                 s = shingles(text, k)
@@ -142,7 +170,8 @@ def _prefixes(docs: DataFrame, k: int, num: int, den: int, counts: np.ndarray) -
                     seen.clear()
                 seen.add(sid)
                 p = prefix_length(n, num, den)
-                key = (counts[(s >> np.uint64(BITS)).astype(np.int64)].astype(np.uint64) << np.uint64(BITS)) | (s & np.uint64((1 << BITS) - 1))
+                # a level, then 56 bits of the hash: one order over all n-grams
+                key = (levels[_places(s, len(levels))].astype(np.uint64) << np.uint64(56)) | (s & np.uint64((1 << 56) - 1))
                 tokens.append(np.sort(np.partition(key, p - 1)[:p] if p < n else key))
                 sids.append(np.full(p, sid, np.int64))
                 ns.append(np.full(p, n, np.int32))
@@ -153,11 +182,11 @@ def _prefixes(docs: DataFrame, k: int, num: int, den: int, counts: np.ndarray) -
     return common.written(docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "token long, sid long, n int, pos int"), "prefixes")
 
 
-def _allowed(num: int, den: int) -> F.Column:
-    """Length and positional filters on rows n1, pos1, n2, pos2."""
-    sizes = (F.least("n1", "n2").cast("long") * den) >= (F.greatest("n1", "n2").cast("long") * num)
-    most = F.lit(1) + F.least(F.col("n1") - F.col("pos1"), F.col("n2") - F.col("pos2")) - 1
-    return sizes & ((most.cast("long") * (num + den)) >= ((F.col("n1") + F.col("n2")).cast("long") * num))
+def _allowed(a: F.Column, b: F.Column, num: int, den: int) -> F.Column:
+    """Length and positional filters on two structs with n and pos."""
+    sizes = (F.least(a["n"], b["n"]).cast("long") * den) >= (F.greatest(a["n"], b["n"]).cast("long") * num)
+    most = F.least(a["n"] - a["pos"], b["n"] - b["pos"])
+    return sizes & ((most.cast("long") * (num + den)) >= ((a["n"] + b["n"]).cast("long") * num))
 
 
 def _overlap(a: np.ndarray, b: np.ndarray, need: int) -> int:
@@ -182,23 +211,27 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int, num
     members = pairs.join(sizes, "hub").select(F.col("other").alias("sid"), "hub", F.pmod(F.xxhash64("other"), F.col("s")).cast("int").alias("salt"), F.lit(1).alias("role"))
     heads = sizes.select(F.col("hub").alias("sid"), "hub", F.explode(F.sequence(F.lit(0), F.col("s") - 1)).alias("salt"), F.lit(0).alias("role"))
     keys = members.unionByName(heads).groupBy("sid").agg(F.collect_list(F.struct("hub", "salt", "role")).alias("keys"))
-    ids = common.written(keys.join(classes, "sid").select(F.col("doc_id").alias("__id"), "sid", "keys"), "keys")
+    ids = common.written(keys.join(classes, "sid").select(F.col("row").alias("__row"), "sid", "keys"), "keys")
     # the ids of pairs go to all tasks only up to a size that is counted; else the texts meet them by key
     near = F.broadcast(ids) if (ids.agg(F.sum(F.size("keys"))).first()[0] or 0) <= BROADCAST_KEYS else ids
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = rows.join(near, F.col("doc_id").eqNullSafe(F.col("__id"))).select("text", "sid", "keys")
+    rows = docs.select(_row().alias("row"), F.col("text").cast("string").alias("text"))
+    found = rows.join(near, F.col("row") == F.col("__row")).select("text", "sid", "keys")
     schema = "hub long, salt int, role int, items binary, sid long"
     set_schema = common.fields(schema)
 
     def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common.hold("words", _words.clear)
+        made: set[int] = set()
         for batch in common.sliced(batches, 1 << 20):
             out: list[tuple] = []
             size = 0
             for text, sid, keys in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                if sid in made:  # copies under one id, or without one
+                    continue
                 s = shingles(text, k)
                 if set_id(s) != sid:  # rows that only share the id drop out
                     continue
+                made.add(sid)
                 raw = s.tobytes()
                 for key in keys:
                     out.append((key["hub"], key["salt"], key["role"], raw, sid))
@@ -235,48 +268,61 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
 
-def _open(rows: DataFrame, num: int, den: int) -> DataFrame:
+def _met(rows: DataFrame, table: DataFrame, total: int) -> DataFrame:
+    """rows with what table has for their token; both have c, about how many rows the token has. A
+    token of many rows is dealt over salts, so that none is more than a small share of all."""
+    share = max(1, total // SHARES)
+    salts = lambda: F.ceil(F.col("c") / share).cast("int")
+    left = rows.withColumn("__salt", F.pmod(F.xxhash64("sid"), salts()).cast("int"))
+    right = table.withColumn("__salt", F.explode(F.sequence(F.lit(0), salts() - 1))).drop("c")
+    # always by a shuffle: shared n-grams grow with the corpus
+    return left.join(right.hint("merge"), ["token", "__salt"]).drop("__salt")
+
+
+def _shared(prefixes: DataFrame) -> DataFrame:
+    """token, sid, n, pos, c, label of the n-grams that several classes have in their prefixes."""
+    tokens = prefixes.groupBy("token").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi"), F.count("*").alias("c")).where("lo < hi").select("token", "c")
+    tokens = common.written(tokens, "tokens")
+    limit = max(1, prefixes.count() // SHARES)
+    # at most SHARES of them: each has more than one in SHARES of all rows
+    hot = tokens.where(F.col("c") > limit)
+    cold = prefixes.join(F.broadcast(hot.select("token")), "token", "left_anti").join(tokens.where(F.col("c") <= limit).hint("merge"), "token")
+    both = [x.groupBy("token", "sid").agg(F.first("n").alias("n"), F.min("pos").alias("pos"), F.first("c").alias("c")) for x in (cold, prefixes.join(F.broadcast(hot), "token"))]
+    out = common.written(both[0].unionByName(both[1]).withColumn("label", F.col("sid")), "groups")
+    common.discard(tokens, prefixes)
+    return out
+
+
+def _open(rows: DataFrame, total: int, num: int, den: int) -> DataFrame:
     """Rows of groups with several labels, less those that no member of their group can match: what
     follows a row's place is too little even for the shortest member."""
-    least = rows.groupBy("token").agg(F.min("n").alias("shortest"))
+    groups = rows.groupBy("token").agg(F.min("n").alias("shortest"), F.min("label").alias("lo"), F.max("label").alias("hi"), F.first("c").alias("c"))
     fit = ((F.col("n") - F.col("pos")).cast("long") * (num + den)) >= ((F.col("n") + F.col("shortest")).cast("long") * num)
-    kept = rows.join(least, "token").where(fit).drop("shortest")
-    several = kept.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("c")).where("lo < hi")
-    return kept.join(several.select("token", "c"), "token")
+    kept = _met(rows, groups.where("lo < hi").select("token", "shortest", "c"), total).where(fit).drop("shortest")
+    return kept
 
 
-def links(docs: DataFrame, indexed: DataFrame, counts: np.ndarray, k: int, num: int, den: int) -> DataFrame:
+def links(docs: DataFrame, indexed: DataFrame, levels: np.ndarray, k: int, num: int, den: int) -> DataFrame:
     """(node, component) of the classes that link with another; component is the least sid."""
-    classes = indexed.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
-    prefixes = _prefixes(docs, k, num, den, counts)
-    several = prefixes.groupBy("token").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("lo < hi").select("token")
-    # always by a shuffle: shared n-grams grow with the corpus
-    rows = prefixes.join(several.hint("merge"), "token").groupBy("token", "sid").agg(F.first("n").alias("n"), F.min("pos").alias("pos"))
-    rows = common.written(rows, "groups")
-    active = common.written(_open(rows.withColumn("label", F.col("sid")), num, den), "open")
-    tried = edges = labels = hubs = None
-    for round_ in range(ROUNDS + 1):
-        size, squares = active.agg(F.count("*"), F.sum("c")).first()
-        if not size:
-            break
-        last = round_ == ROUNDS or (round_ > 1 and squares <= PAIRS_A_ROW * size + SQUARES)
-        if last:
-            one = active.select("token", F.col("sid").alias("hub"), F.col("n").alias("n1"), F.col("pos").alias("pos1"), F.col("label").alias("l1"))
-            two = active.select("token", F.col("sid").alias("other"), F.col("n").alias("n2"), F.col("pos").alias("pos2"), F.col("label").alias("l2"))
-            pairs = one.join(two, "token").where("hub < other and l1 != l2")
-        else:
-            # the middle of a star is the member with least before the n-gram, so likely the least
-            # edited; each round takes the next one
-            place = F.struct("pos", "sid", "n", "label")
-            if hubs is None:
-                hubs = active.groupBy("token").agg(F.min(place).alias("h"))
-            else:
-                later = active.join(hubs.withColumnRenamed("h", "g"), "token")
-                hubs = later.groupBy("token").agg(F.min(F.when(F.struct("pos", "sid") > F.struct("g.pos", "g.sid"), place)).alias("h")).where("h is not null")
-            hubs = common.written(hubs, "hubs")
-            star = active.join(hubs, "token").where("sid != h.sid and label != h.label")
-            pairs = star.select(F.col("h.sid").alias("hub"), F.col("sid").alias("other"), F.col("n").alias("n1"), F.col("pos").alias("pos1"), F.col("h.n").alias("n2"), F.col("h.pos").alias("pos2"))
-        pairs = pairs.where(_allowed(num, den)).groupBy(F.least("hub", "other").alias("a"), F.greatest("hub", "other").alias("b")).agg(F.min("hub").alias("hub"))
+    classes = indexed.where("sid is not null").groupBy("sid").agg(F.min("row").alias("row"))
+    rows = _shared(_prefixes(docs, k, num, den, levels))
+    total = rows.count()
+    active = rows
+    tried = edges = labels = None
+    place = F.struct("pos", "sid", "n", "label")
+    round_ = 0
+    while not active.isEmpty():
+        most = HUBS[min(round_, len(HUBS) - 1)]
+        round_ += 1
+        # the middles of a group are the members with least before the n-gram, so likely the least
+        # edited. Only the first few of each task pass the window's shuffle
+        first = active.withColumn("__r", F.row_number().over(Window.partitionBy("token").orderBy("pos", "sid"))).where(F.col("__r") <= most)
+        hubs = first.groupBy("token").agg(F.collect_list(place).alias("h"), F.max(F.struct("pos", "sid")).alias("last"), F.first("c").alias("c"))
+        near = F.filter("h", lambda x: (F.struct(x["pos"], x["sid"]) < F.struct("pos", "sid")) & (x["label"] != F.col("label")) & _allowed(x, place, num, den))
+        met = _met(active, hubs, total).select("token", "sid", "n", "pos", "c", "label", F.transform(near, lambda x: x["sid"]).alias("h"), (F.struct("pos", "sid") > F.col("last")).alias("later"))
+        met = common.written(met, "met")
+        pairs = met.select(F.explode("h").alias("hub"), F.col("sid").alias("other"))
+        pairs = pairs.groupBy(F.least("hub", "other").alias("a"), F.greatest("hub", "other").alias("b")).agg(F.min("hub").alias("hub"))
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = common.written(pairs.select("a", "b", "hub", F.when(F.col("hub") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("other")), "pairs")
@@ -285,13 +331,11 @@ def links(docs: DataFrame, indexed: DataFrame, counts: np.ndarray, k: int, num:
             edges = new if edges is None else edges.unionByName(new)
             tried = pairs.select("a", "b") if tried is None else tried.unionByName(pairs.select("a", "b"))
             labels = components(edges)
-        if last:
-            break
-        if labels is None:
-            active = common.written(active.where("false"), "open") if pairs.isEmpty() and hubs.isEmpty() else active
-            continue
-        named = active.drop("label", "c").join(labels, active["sid"] == labels["node"], "left").select("token", "sid", "n", "pos", F.coalesce("component", "sid").alias("label"))
-        active = common.written(_open(named, num, den), "open")
+        later = met.where("later").drop("h", "later")
+        if labels is not None:
+            later = later.drop("label").join(labels, later["sid"] == labels["node"], "left").select("token", "sid", "n", "pos", "c", F.coalesce("component", "sid").alias("label"))
+        before, active = active, common.written(_open(later, total, num, den), "open")
+        common.discard(before, met)
     if labels is None:
         return docs.sparkSession.createDataFrame([], "node long, component long")
     return labels
@@ -300,8 +344,8 @@ def links(docs: DataFrame, indexed: DataFrame, counts: np.ndarray, k: int, num:
 def near_duplicates(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10) -> DataFrame:
     """For each row of docs (doc_id, text): doc_id, n_shingles, sid (equal for equal sets, null for
     none) and component_id, the smallest doc_id that links of num/den or more reach."""
-    indexed, counts = _index(docs, k)
-    labels = links(docs, indexed, counts, k, num, den)
+    indexed, levels = _index(docs, k)
+    labels = links(docs, indexed, levels, k, num, den)
     least = indexed.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("m"))
     placed = least.join(labels, least["sid"] == labels["node"], "left").select("sid", "m", F.coalesce("component", "sid").alias("c"))
     placed = common.written(placed, "classes")
@@ -322,7 +366,7 @@ def unique_documents(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10) -
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common.hold("words", _words.clear)
-        for batch in common.sliced(batches, 4 << 20, name=text):
+        for batch in common.sliced(batches, 2 << 20, name=text):
             sids = [set_id(shingles(t, k)) for t in batch.column(keep.index(text)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sids, pa.int64())], names=[*keep, "__sid"])
 
