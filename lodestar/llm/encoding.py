@@ -17,7 +17,8 @@ import numpy as np
 
 from . import common
 
-#: Words in one generation of the cache; at most two generations are held: a bound on a worker's memory.
+#: Words in one generation of the cache; at most two generations are held: a bound on a worker's memory
+#: (some 15 MB for 100,000 words). Ids do not depend on it.
 CACHE_WORDS = 400_000
 #: Longer words are encoded, not kept.
 LONGEST_KEPT = 48
@@ -39,12 +40,12 @@ class Encoder:
     """ids(texts) for a byte-level BPE (blanks_count: a blank belongs to the word after it) or a
     word-end BPE (white space is dropped). Results equal encode_batch of whole texts."""
 
-    def __init__(self, path: str, blanks_count: bool):
+    def __init__(self, path: str, blanks_count: bool, cache_words: int = CACHE_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.blanks_count = blanks_count
+        self.blanks_count, self.cache_words = blanks_count, cache_words
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         feed = self._encode(["\n"])[0] if blanks_count else b""
@@ -86,7 +87,7 @@ class Encoder:
         """A table that has every piece that stands for itself, and the pieces that do not; what is
         worth it stays for later calls."""
         young, old = self.young, self.old
-        if len(young) > CACHE_WORDS:
+        if len(young) > self.cache_words:
             self.old, self.young = old, young = young, {}
         wanted: set[str] = set()
         for p in pieces:
@@ -115,12 +116,13 @@ class Encoder:
         return [next(hard) if w else b"".join(map(get, p))[skip:] for p, w in zip(pieces, whole, strict=True)]
 
 
-_encoders: dict[tuple[str, bool], Encoder] = {}
+_encoders: dict[tuple[str, bool, int], Encoder] = {}
 
 
-def encoder(path: str, blanks_count: bool) -> Encoder:
+def encoder(path: str, blanks_count: bool, cache_words: int = CACHE_WORDS) -> Encoder:
     """This worker's encoder: tasks that follow one another in a worker share its cache."""
-    common.hold(f"encoder {path}", _encoders.clear)
-    if (path, blanks_count) not in _encoders:
-        _encoders[path, blanks_count] = Encoder(path, blanks_count)
-    return _encoders[path, blanks_count]
+    key = (path, blanks_count, cache_words)
+    common.hold(f"encoder {key}", _encoders.clear)
+    if key not in _encoders:
+        _encoders[key] = Encoder(*key)
+    return _encoders[key]

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from . import common
-from .encoding import encoder, tokenizer_path
+from .encoding import CACHE_WORDS, encoder, tokenizer_path
 
 #: A pattern is the lengths of a sequence, longest first.
 Pattern = tuple[int, ...]
@@ -312,15 +312,15 @@ def slots(patterns: dict[Pattern, int]) -> dict[int, tuple[np.ndarray, np.ndarra
     return out
 
 
-def pieces_of(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, blanks_count: bool = False, with_ids: bool = False) -> DataFrame:
+def pieces_of(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, blanks_count: bool = False, with_ids: bool = False, cache_words: int = CACHE_WORDS) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 (and ids: little-endian u32) of every piece."""
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
     out_schema = common.fields(schema)
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer, blanks_count)
-        for batch in common.sliced(batches, 4 << 20):
+        enc = encoder(tokenizer, blanks_count, cache_words)
+        for batch in common.sliced(batches, 2 << 20):
             columns: list[list] = [[] for _ in out_schema]
             for doc, ids in zip(batch.column(0).to_pylist(), enc.ids(common.texts_of(batch)), strict=True):
                 ids += end
@@ -339,7 +339,7 @@ def pack(pieces: DataFrame, capacity: int) -> DataFrame:
     The ranks come from counts of (length, salt): a length has as many salts as it has SHARES of all
     pieces, so that one that a third of them have is dealt over many tasks. Only counts meet at the
     driver, at most capacity + SHARES of them whatever the corpus."""
-    sizes = common.written(pieces.groupBy("length").agg(F.count("*").alias("n")), "lengths")
+    sizes = common.written(pieces.groupBy("length").agg(F.count("*").alias("n")), "lengths", few=True)
     share = max(1, (sizes.agg(F.sum("n")).first()[0] or 0) // SHARES)
     # at most `capacity` rows
     salts = F.broadcast(sizes.select("length", F.ceil(F.col("n") / share).cast("int").alias("__salts")))
@@ -377,9 +377,9 @@ def pack(pieces: DataFrame, capacity: int) -> DataFrame:
     return ranked.mapInArrow(place, schema)
 
 
-def packed_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, with_ids: bool = False) -> DataFrame:
+def packed_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, with_ids: bool = False, cache_words: int = CACHE_WORDS) -> DataFrame:
     """Encode, cut and pack documents. Pieces are written to the shared folder once, without texts."""
-    return pack(common.written(pieces_of(docs, tokenizer, end_id, capacity, with_ids=with_ids), "pieces"), capacity)
+    return pack(common.written(pieces_of(docs, tokenizer, end_id, capacity, with_ids=with_ids, cache_words=cache_words), "pieces"), capacity)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

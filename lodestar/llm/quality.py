@@ -189,6 +189,7 @@ def predict(docs: DataFrame, net: dict, threshold: float = THRESHOLD) -> DataFra
     shared = docs.sparkSession.sparkContext.broadcast(net)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.hold("quality", lambda: None)
         for batch in common.sliced(batches):
             s = score(shared.value, [t.encode("utf-8", "surrogatepass") for t in common.texts_of(batch)])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s), pa.array((s >= threshold).astype(np.int32))], schema=out_schema)
@@ -204,6 +205,7 @@ def good_documents(docs: DataFrame, net: dict, threshold: float = THRESHOLD) ->
     shared = docs.sparkSession.sparkContext.broadcast(net)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.hold("quality", lambda: None)
         for batch in common.sliced(batches, name=f"__c{at}"):
             s = score(shared.value, [(x or "").encode() for x in batch.column(at).to_pylist()])
             yield batch.filter(pa.array(s >= threshold))

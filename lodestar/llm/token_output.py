@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
-from .encoding import encoder, tokenizer_path
+from .encoding import CACHE_WORDS, encoder, tokenizer_path
 
 MAGIC, VERSION = b"LSBP", 1
 HEADER = struct.Struct("<4sIIIQQQ")
@@ -152,7 +152,7 @@ def read_file(uri: str) -> bytes:
         return f.read()
 
 
-def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, blanks_count: bool = True, bits: bool = False, partitions: int | None = None) -> None:
+def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, blanks_count: bool = True, bits: bool = False, partitions: int | None = None, cache_words: int = CACHE_WORDS) -> None:
     """Encode documents (doc_id, text) and write shards in ascending order of doc_id to path.
 
     One range-partitioned shuffle carries the texts; each task encodes its range and cuts shards, and
@@ -169,7 +169,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, blanks
         folder = f"{path}/shards"
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer, blanks_count)
+        enc = encoder(tokenizer, blanks_count, cache_words)
         held: list[tuple[int | None, bytes]] = []
         size, shard, part, first = 0, 0, 0, 0
 
@@ -183,7 +183,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, blanks
                 _write_file(row["file"], content)
             return pa.RecordBatch.from_pylist([row], out_schema)
 
-        for batch in common.sliced(batches, 4 << 20):
+        for batch in common.sliced(batches, 2 << 20):
             part = batch.column(2)[0].as_py()
             for doc, ids in zip(batch.column(0).to_pylist(), enc.ids(common.texts_of(batch)), strict=True):
                 held.append((doc, ids + end))
