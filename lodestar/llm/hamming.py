@@ -1,41 +1,50 @@
 """Exact top-k search over binary codes by incremental multi-index hashing.
 
-A vector's code has a bit for the sign of each component, in segments of SEGMENT bits. Rows with equal
-codes are one class. Round r looks up, in each segment's index, the values at distance r from the
-query's. After it every class within m * (r + 1) - 1 of the query has been seen (m segments), so a
-query whose k-th verified distance is no more than that is done. Queries that are not done after
-RADIUS are compared with all classes, in blocks of queries: the answer is exact at any radius.
+A vector's code has a bit for the sign of each component, in m segments of about log2 of as many bits
+as there are rows. Rows with equal codes are one class. In round r a query looks up, in each segment's
+index, the values at distance r from its own, one segment after another: with each segment the
+distance within which every class has been seen grows by one (a class that is farther than r in the
+first segments and farther than r - 1 in the others is at least that far in all). A query takes only as
+many segments as its k-th verified distance still asks for, and is done when that distance is covered.
+Radii grow until all queries are done; there is no scan.
+
+A segment value that very many classes share is dealt over salts, in proportion to its share (SHARES).
 
 Defined results: null vectors are neither found nor asked for; null components count as not
 positive; shorter vectors have zero bits at their end; a query finds itself and its copies too; ties
 go to the smaller id; repeated rows are found once, by their id; an empty table gives no rows; other
-columns are ignored; a table with fewer than k vectors gives as many.
+columns are ignored, whatever they are called; a table with fewer than k vectors gives as many.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
 from itertools import combinations
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from . import common
 
-SEGMENT = 16
-RADIUS = 3
-BLOCK = 1024
+#: Bits of a segment, at least and at most.
+NARROWEST, WIDEST = 4, 24
+#: No (segment, value) that one task joins has more than about this share of the index.
+SHARES = 2048
 K = 10
 
 
-def codes(vectors: DataFrame, bits: int, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
-    """id and code: an array of 16-bit segments, as integers."""
-    m = -(-bits // SEGMENT)
-    sign = F.transform(F.sequence(F.lit(0), F.lit(m * SEGMENT - 1)), lambda i: F.when(F.coalesce(F.get(F.col(embedding), i), F.lit(0.0)) > 0, 1).otherwise(0))
-    whole = F.transform(F.sequence(F.lit(0), F.lit(m - 1)), lambda s: F.aggregate(F.slice(sign, s * SEGMENT + 1, SEGMENT), F.lit(0), lambda a, b: a * 2 + b))
+def segments(bits: int, rows: int) -> list[int]:
+    """Widths of the segments: about log2 of the rows each, as even as they get."""
+    width = min(WIDEST, max(NARROWEST, rows.bit_length() - 1))
+    m = max(1, -(-bits // width))
+    return [bits // m + (i < bits % m) for i in range(m)]
+
+
+def codes(vectors: DataFrame, widths: list[int], vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
+    """id and code: an array with a number for each segment."""
+    starts = [sum(widths[:i]) for i in range(len(widths))]
+    bit = lambda i: F.when(F.coalesce(F.get(F.col(embedding), i), F.lit(0.0)) > 0, 1).otherwise(0)
+    whole = F.array(*[F.aggregate(F.sequence(F.lit(a), F.lit(a + n - 1)), F.lit(0), lambda x, i: x * 2 + bit(i)) for a, n in zip(starts, widths, strict=True)])
     return vectors.where(F.col(embedding).isNotNull() & F.col(vec_id).isNotNull()).select(F.col(vec_id).cast("long").alias("id"), whole.alias("code"))
 
 
@@ -43,9 +52,19 @@ def distance(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
 
 
-def masks(radius: int) -> list[int]:
+def masks(width: int, radius: int) -> list[int]:
     """All changes of a segment in exactly radius bits."""
-    return [sum(1 << b for b in c) for c in combinations(range(SEGMENT), radius)]
+    return [sum(1 << b for b in c) for c in combinations(range(width), radius)]
+
+
+def _changes(widths: list[int], radius: int) -> Column:
+    """The masks of the column segment: at most two widths differ. One string literal for each, which
+    Spark folds to an array, however many masks there are."""
+    of = {w: F.split(F.lit(",".join(map(str, masks(w, radius)))), ",").cast("array<int>") for w in set(widths) if radius <= w}
+    out = F.array().cast("array<int>")
+    for w, values in of.items():
+        out = F.when(F.col("segment").isin([i for i, x in enumerate(widths) if x == w]), values).otherwise(out)
+    return out
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
@@ -54,93 +73,57 @@ def _best(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def top_k(base: DataFrame, queries: DataFrame, bits: int, k: int = K, radius: int = RADIUS) -> DataFrame:
+def top_k(base: DataFrame, queries: DataFrame, widths: list[int], k: int = K) -> DataFrame:
     """query_id, rank (from 1), neighbor_id, distance; base and queries have id and code."""
-    m = -(-bits // SEGMENT)
+    m = len(widths)
     base = base.groupBy("id").agg(F.min("code").alias("code"))
     # of a class only its k smallest ids can be an answer; Spark drops the rest before it shuffles
     heads = base.withColumn("r", F.row_number().over(Window.partitionBy("code").orderBy("id"))).where(F.col("r") <= k)
     members = common.written(heads.select("code", "id"), "members")
-    classes = common.written(members.select("code").distinct(), "codes")
-    index = common.written(classes.select("code", F.posexplode("code").alias("segment", "value")), "segments")
-    far = m * SEGMENT
+    index = members.select("code").distinct().select("code", F.posexplode("code").alias("segment", "value"))
+    index = common.written(index, "segments")
+    limit = max(1, index.count() // SHARES)
+    many = index.groupBy("segment", "value").agg(F.ceil(F.count("*") / limit).cast("int").alias("salts")).where("salts > 1")
+    # at most SHARES of them: each has more than one in SHARES of all rows
+    many = F.broadcast(common.written(many, "many", few=True))
+    index = index.join(many, ["segment", "value"], "left").withColumn("salt", F.pmod(F.xxhash64("code"), F.coalesce("salts", F.lit(1))).cast("int")).drop("salts")
+    far = sum(widths)
     open_ = queries.groupBy("id").agg(F.min("code").alias("q")).select(F.col("id").alias("query_id"), "q", F.lit(far).alias("worst"))
     open_ = common.written(open_, "queries")
-    answers, seen = None, None
-    for r in range(radius + 1):
-        changes = F.array(*[F.lit(x) for x in masks(r)])
-        probes = open_.select("query_id", "q", "worst", F.posexplode("q").alias("segment", "own")).select("query_id", "q", "worst", "segment", F.explode(changes).alias("change"), "own").select("query_id", "q", "worst", "segment", F.col("own").bitwiseXOR(F.col("change")).alias("value"))
+    answers = best = None
+    for r in range(max(widths) + 1):
+        # what is asked of this round: the segments that the k-th distance so far still needs
+        probes = open_.select("query_id", "q", "worst", F.posexplode("q").alias("segment", "own")).where(F.col("segment") + m * r <= F.col("worst"))
+        probes = probes.withColumn("change", F.explode(_changes(widths, r))).withColumn("value", F.col("own").bitwiseXOR(F.col("change")))
+        probes = probes.join(many, ["segment", "value"], "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)))
         # verified within the join: only what is no farther than the k-th so far comes out
-        met = probes.join(index, ["segment", "value"]).where(distance(F.col("q"), F.col("code")) <= F.col("worst"))
+        met = probes.join(index, ["segment", "value", "salt"]).where(distance(F.col("q"), F.col("code")) <= F.col("worst"))
         near = met.select("query_id", "code", distance(F.col("q"), F.col("code")).alias("distance")).distinct()
-        near = common.written(near if seen is None else near.unionByName(seen).distinct(), "near")
-        best = common.written(_best(near.join(members, "code").select("query_id", "id", "distance"), k), "best")
-        reach = m * (r + 1) - 1
+        found = near.join(members, "code").select("query_id", "id", "distance")
+        if best is not None:
+            found = found.unionByName(best.select("query_id", "id", "distance")).distinct()
+        best = common.written(_best(found, k), "best")
         state = best.groupBy("query_id").agg(F.count("*").alias("n"), F.max("distance").alias("d"))
-        done = state.where((F.col("n") == k) & (F.col("d") <= reach)).select("query_id")
-        closed = best.join(done, "query_id", "left_semi")
+        state = open_.join(state, "query_id", "left").withColumn("covered", F.least(F.col("worst"), F.lit(m * (r + 1) - 1)))
+        # after the last radius every class has been seen
+        state = state.withColumn("done", (F.col("n") >= k) & (F.col("d") <= F.col("covered")) if r < max(widths) else F.lit(True))
+        state = common.written(state.select("query_id", "q", F.when(F.col("n") >= k, F.col("d")).otherwise(F.lit(far)).alias("worst"), F.coalesce("done", F.lit(False)).alias("done")), "queries")
+        closed = best.join(state.where("done").select("query_id"), "query_id", "left_semi")
         answers = closed if answers is None else answers.unionByName(closed)
-        known = state.where(F.col("n") == k).select("query_id", "d")
-        open_ = open_.join(done, "query_id", "left_anti").join(known, "query_id", "left").select("query_id", "q", F.coalesce("d", F.lit(far)).alias("worst"))
-        open_ = common.written(open_, "queries")
+        open_ = state.where(~F.col("done")).drop("done")
         if open_.isEmpty():
             break
-        seen = near.join(open_.select("query_id"), "query_id", "left_semi")
-    else:
-        rest = _best(_scan(members, open_, m, k), k)
-        answers = rest if answers is None else answers.unionByName(rest)
+        best = best.join(open_.select("query_id"), "query_id", "left_semi")
     return answers.select("query_id", F.col("rank").cast("long").alias("rank"), F.col("id").alias("neighbor_id"), F.col("distance").cast("long").alias("distance"))
 
 
-def _scan(members: DataFrame, queries: DataFrame, m: int, k: int) -> DataFrame:
-    """For each task of members and each query, the k nearest: queries come in blocks of BLOCK."""
-    out_schema = common.fields("query_id long, id long, distance int")
-    parts = None
-    block: list = []
-
-    def run_with(shared):
-        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            ids, q = shared.value
-            best_d = np.full((len(ids), 0), 0, np.int32)
-            best_i = np.full((len(ids), 0), 0, np.int64)
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
-                c = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, m).astype(np.uint16)
-                own = batch.column(1).to_numpy()
-                for a in range(0, len(own), 2048):
-                    d = np.bitwise_count(q[:, None, :] ^ c[None, a : a + 2048]).sum(axis=2, dtype=np.int32)
-                    best_d, best_i = np.hstack([best_d, d]), np.hstack([best_i, np.broadcast_to(own[a : a + 2048], d.shape)])
-                    order = np.lexsort((best_i, best_d), axis=1)[:, :k]
-                    best_d, best_i = np.take_along_axis(best_d, order, 1), np.take_along_axis(best_i, order, 1)
-            n = best_d.shape[1]
-            if n:
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, n)), pa.array(best_i.ravel()), pa.array(best_d.ravel())], schema=out_schema)
-
-        return run
-
-    def flush():
-        nonlocal parts, block
-        shared = members.sparkSession.sparkContext.broadcast((np.array([b["query_id"] for b in block], np.int64), np.array([b["q"] for b in block], np.uint16).reshape(-1, m)))
-        got = common.written(members.mapInArrow(run_with(shared), "query_id long, id long, distance int"), "scan")
-        parts = got if parts is None else parts.unionByName(got)
-        block = []
-
-    for row in queries.toLocalIterator():
-        block.append(row)
-        if len(block) == BLOCK:
-            flush()
-    if block:
-        flush()
-    return parts
-
-
 def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 nearest codes in `embeddings` of every row whose id is divisible by 100."""
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
-    bits = vectors.agg(F.max(F.size("embedding"))).first()[0] or SEGMENT
-    base = common.written(codes(vectors, bits), "vectors")
-    return top_k(base, base.where(F.col("id") % 100 == 0), bits)
+    bits, rows = vectors.agg(F.max(F.size("embedding")), F.count("embedding")).first()
+    widths = segments(max(1, bits or 1), rows)
+    base = common.written(codes(vectors, widths), "vectors")
+    return top_k(base, base.where(F.col("id") % 100 == 0), widths)
 
 
 OP6_SQL = """
