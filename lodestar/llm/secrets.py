@@ -1,17 +1,26 @@
-"""Secret scan: candidates from a pattern, judged by a random forest. Native expressions throughout.
-
-A candidate is a run of 16 or more of [A-Za-z0-9_+/=.-] with a digit. The forest looks at its length,
-at the transitions between character classes, at how much of it dictionary syllables cover, at whether
-it looks like a path, and at the words next to it. It is trained on labelled findings: a table of
-(hit, before, after, label), by default `findings`, made from a rule and a seed.
-
-Defined results: null and empty texts have no findings; repeated rows are scanned each; other columns
-are ignored by scan and kept by redact; texts of any length are scanned whole; empty tables give no
-rows.
+"""Secret scan: candidates from patterns, judged by a random forest. Native expressions throughout.
+
+A candidate is a run of 16 or more of [A-Za-z0-9_+/.-] with a digit (and = at its end), or what is
+assigned to a naming word (password, token, ...): 8 characters or more without blanks, quotes, commas
+and semicolons, whatever they are. The forest looks at its length, at the transitions between
+character classes and between letters, at how much of it dictionary words cover, at whether it looks
+like a path, and at the words next to it. It removes false positives: digests, ids, paths, numbers,
+placeholders, plain words.
+
+The dictionary is the corpus's own: the WORDS most frequent words of all documents, of which letter
+pairs are counted too. The forest is trained on labelled findings: a table of (hit, before, after,
+label), by default `findings`, made from a rule, a seed and dictionary words.
+
+Defined results: null and empty texts have no findings; repeated rows are scanned each; candidates do
+not overlap, the leftmost stands, so starts have no ties; a probability of exactly the threshold is a
+finding; other columns are ignored by scan and kept by redact, whatever they are called; texts of any
+length are scanned whole; empty tables give no rows, and an empty dictionary covers nothing.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -21,19 +30,35 @@ from pyspark.sql import functions as F
 
 from .spans import spans
 
-CANDIDATE = r"(?<![A-Za-z0-9_+/=.-])(?=[A-Za-z_+/=.-]*+[0-9])[A-Za-z0-9_+/=.-]{16,}+"
+#: Words that often name a secret, and words that name harmless digests and ids.
+NAMING = "token|secret|passwd|password|passphrase|pwd|api[_-]?key|apikey|access[_-]?key|private[_-]?key|auth|bearer|credential|client[_-]?secret|signature"
+HARMLESS = "commit|sha1|sha256|md5|checksum|digest|uuid|guid|revision|version|build|hash|etag|integrity|file|path|url|isbn|order|invoice|card|account"
+RUN = r"(?<![A-Za-z0-9_+/.-])(?=[A-Za-z_+/.-]*+[0-9])[A-Za-z0-9_+/.-]{16,}+={0,2}+"
+#: A naming word, what may close its quote, and an assignment.
+NAMED = rf"(?i:{NAMING})[\"'\]]{{0,2}}\x20{{0,2}}(?:=>|:=|=|:)\x20{{0,2}}[\"'`]?"
+VALUE = rf"(?<={NAMED})(?![\s\"'`=:>])[^\s\"'`,;]{{8,}}+"
 AROUND = 40
 THRESHOLD = 0.5
-TREES, DEPTH = 24, 7
+TREES, DEPTH = 24, 8
+WORDS = 3000
 MASK = "[SECRET]"
-#: Words that often name a secret, and words that name harmless digests and ids.
-NAMING = "token|secret|passwd|password|api[_-]?key|apikey|access[_-]?key|private[_-]?key|auth|bearer|credential|client[_-]?secret|signature"
-HARMLESS = "commit|sha1|sha256|md5|checksum|digest|uuid|guid|revision|version|build|hash|etag|integrity|file|path|url|isbn|order|invoice|card|account"
-#: Syllables and words that natural text and identifiers are made of.
-SYLLABLES = "tion|ment|ing|the|and|con|pro|ter|ver|est|ent|ate|able|ness|file|data|test|user|name|page|main|index|image|http|www|com|org|net|html|json|src|lib|docs|example|mail|ein|sch|ung|heit|eau|que|oie|ado|ción"
 
 
-def features(row: dict[str, Column]) -> list[Column]:
+def dictionary(docs: DataFrame, words: int = WORDS) -> list[str]:
+    """The most frequent words of 3 to 14 letters, lower-case, ties in order: at most `words`."""
+    found = docs.select(F.explode(F.regexp_extract_all(F.lower(F.col("text").cast("string")), F.lit(r"\p{L}++"), F.lit(0))).alias("w")).where(F.length("w").between(3, 14))
+    return [r["w"] for r in found.groupBy("w").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "w").limit(words).collect()]
+
+
+@dataclass
+class Judge:
+    """A dictionary, and the forest that was fitted with it."""
+
+    words: list[str]
+    forest: PipelineModel
+
+
+def features(row: dict[str, Column], words: list[str]) -> list[Column]:
     """Numbers that the forest sees, from hit, before and after."""
     hit, before, after = row["hit"], F.lower(row["before"]), F.lower(row["after"])
     n = F.length(hit).cast("double")
@@ -41,10 +66,22 @@ def features(row: dict[str, Column]) -> list[Column]:
     classes = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(hit, "[0-9]", "0"), "[a-z]", "a"), "[A-Z]", "A"), "[^0aA]", "-")
     turns = n - F.length(F.regexp_replace(classes, r"(.)\1+", "$1"))
     distinct = F.size(F.array_distinct(F.split(hit, ""))).cast("double")
-    covered = n - F.length(F.regexp_replace(F.lower(hit), SYLLABLES, ""))
+    # runs of letters, with a border where case rises
+    parts = F.transform(F.regexp_extract_all(hit, F.lit(r"\p{Lu}?\p{Ll}{2,}+|\p{Lu}{3,}+"), F.lit(0)), F.lower)
+    known = F.aggregate(F.filter(parts, lambda w: w.isin(words) if words else F.lit(False)), F.lit(0), lambda a, w: a + F.length(w))
+    # letter pairs that dictionary words have: common ones only, so that chance pairs stay out
+    seen: dict[str, int] = {}
+    for w in words:
+        for a, b in zip(w, w[1:], strict=False):
+            seen[a + b] = seen.get(a + b, 0) + 1
+    pairs = sorted(seen, key=lambda p: (-seen[p], p))[:120]
+    low = F.lower(hit)
+    own = F.transform(F.sequence(F.lit(1), F.greatest(F.length(hit) - 1, F.lit(1))), lambda i: F.substring(low, i, F.lit(2)))
+    common_pairs = F.size(F.filter(own, lambda p: p.isin(pairs) if pairs else F.lit(False))).cast("double")
     return [
         n.alias("f_length"),
         (1 - turns / n).alias("f_turns"),
+        (common_pairs / n).alias("f_pairs"),
         (distinct / F.least(n, F.lit(40.0))).alias("f_distinct"),
         (count("[0-9]") / n).alias("f_digits"),
         (count("[A-Z]") / n).alias("f_upper"),
@@ -52,10 +89,11 @@ def features(row: dict[str, Column]) -> list[Column]:
         (count("[^A-Za-z0-9]") / n).alias("f_marks"),
         (count("[g-zG-Z]") / n).alias("f_beyond_hex"),
         F.length(F.regexp_extract(hit, "[a-z]{4,}", 0)).cast("double").alias("f_longest_lower"),
-        (covered / n).alias("f_dictionary"),
+        (known / n).alias("f_dictionary"),
         (count("/") + 2 * hit.rlike(r"\.[A-Za-z]{2,4}$").cast("int") + 2 * hit.rlike(r"^[./~]").cast("int")).cast("double").alias("f_path"),
         hit.rlike("^[0-9a-f]{8}-[0-9a-f]{4}-").cast("double").alias("f_uuid"),
         hit.rlike(r"^(AKIA|ghp_|gho_|sk_|sk-|xox[abp]-|eyJ|AIza|glpat-)").cast("double").alias("f_prefix"),
+        hit.rlike(r"(?i)(your|example|changeme|placeholder|xxxx|1234567|\$\{|<|\(\))").cast("double").alias("f_placeholder"),
         before.rlike(rf"({NAMING})[\s\"']*(=|:|is|:=|=>)?[\s\"'`]*$").cast("double").alias("f_named"),
         before.rlike(rf"({NAMING})").cast("double").alias("f_named_near"),
         before.rlike(rf"({HARMLESS})\S*[\s\"']*(=|:|is|no\.?|number)?[\s\"'`]*$").cast("double").alias("f_harmless"),
@@ -64,80 +102,103 @@ def features(row: dict[str, Column]) -> list[Column]:
     ]
 
 
-def findings(spark: SparkSession, rows: int = 6000, seed: int = 11) -> DataFrame:
-    """Labelled findings from a rule: half are random strings where secrets stand, the others are
-    digests, ids, numbers, paths, words and placeholders, some with a naming word before them."""
+def findings(spark: SparkSession, words: list[str], rows: int = 8000, seed: int = 11) -> DataFrame:
+    """Labelled findings from a rule: half are random strings where secrets stand, passwords with marks
+    and without digits among them; the others are digests, ids, numbers, paths, words and placeholders,
+    some with a naming word before them."""
     r = lambda k: F.pmod(F.xxhash64("id", F.lit(seed), F.lit(k)), F.lit(1_000_003))
     pick = lambda values, k: F.element_at(F.array(*[F.lit(v) for v in values]), (r(k) % len(values) + 1).cast("int"))
+    some = (words[:: max(1, len(words) // 200)] or ["alpha", "beta", "gamma", "delta", "omega"])[:200]
     hexes = F.concat(F.sha2(F.concat("id", F.lit(f"a{seed}")), 256), F.sha2(F.concat("id", F.lit(f"b{seed}")), 256))
     base = F.regexp_replace(F.base64(F.unhex(hexes)), "[+/=\r\n]", "x")
     digits = F.regexp_replace(F.concat(r(1), r(2), r(3), r(4), r(5)).cast("string"), "^0", "4")
-    word = F.concat(*[pick(SYLLABLES.split("|")[:-1], 20 + i) for i in range(6)])
-    secret = F.element_at(F.array(F.left(hexes, F.lit(32)), F.left(hexes, F.lit(40)), F.left(hexes, F.lit(64)), F.left(base, F.lit(24)), F.left(base, F.lit(40)), F.concat(F.lit("AKIA"), F.upper(F.left(base, F.lit(16)))), F.concat(F.lit("ghp_"), F.left(base, F.lit(36))), F.concat(F.lit("sk_live_"), F.left(base, F.lit(24))), F.concat(F.left(hexes, F.lit(40)), F.lit(""))), (r(6) % 9 + 1).cast("int"))
+    word = F.concat(*[F.element_at(F.array(*[F.lit(v) for v in some]), (r(20 + i) % len(some) + 1).cast("int")) for i in range(4)])
+    joined = F.concat_ws("_", *[F.element_at(F.array(*[F.lit(v) for v in some]), (r(30 + i) % len(some) + 1).cast("int")) for i in range(3)])
+    letters = F.translate(F.left(hexes, F.lit(14)), "0123456789", "qwxzkvjypg")
+    marked = F.concat(F.left(base, F.lit(5)), pick("!@#$%&*~?", 40), F.substring(base, 6, 4), pick("!@#$^&*~?", 41), F.substring(base, 10, 3))
+    secrets = [F.left(hexes, F.lit(32)), F.left(hexes, F.lit(40)), F.left(hexes, F.lit(40)), F.left(hexes, F.lit(64)), F.left(base, F.lit(24)), F.left(base, F.lit(40)), F.concat(F.left(base, F.lit(43)), F.lit("=")), F.concat(F.lit("AKIA"), F.upper(F.left(base, F.lit(16)))), F.concat(F.lit("ghp_"), F.left(base, F.lit(36))), F.concat(F.lit("sk_live_"), F.left(base, F.lit(24))), F.left(base, F.lit(12)), marked, marked, letters]
+    secret = F.element_at(F.array(*secrets), (r(6) % len(secrets) + 1).cast("int"))
     uuid = F.concat_ws("-", F.substring(hexes, 1, 8), F.substring(hexes, 9, 4), F.substring(hexes, 13, 4), F.substring(hexes, 17, 4), F.substring(hexes, 21, 12))
-    path = F.concat(F.lit("/"), word, F.lit("/"), (r(7) % 100).cast("string"), F.lit("/"), word, F.lit(".json"))
-    other = F.element_at(F.array(F.left(hexes, F.lit(40)), F.left(hexes, F.lit(64)), uuid, F.left(digits, F.lit(16)), F.left(digits, F.lit(19)), path, F.concat(word, F.lit("."), (r(8) % 100).cast("string")), F.concat(word, (r(8) % 1000).cast("string")), F.concat(F.lit("your_api_key_here_"), (r(8) % 10).cast("string")), F.concat(F.lit("example-0000-"), word)), (r(9) % 10 + 1).cast("int"))
-    name = pick(["token", "secret", "password", "api_key", "access_key", "auth_token", "client_secret", "API-KEY"], 10)
+    path = F.concat(F.lit("/"), joined, F.lit("/"), (r(7) % 100).cast("string"), F.lit("/"), word, F.lit(".json"))
+    others = [F.left(hexes, F.lit(40)), F.left(hexes, F.lit(64)), uuid, F.left(digits, F.lit(16)), F.left(digits, F.lit(19)), path, F.concat(word, F.lit("."), (r(8) % 100).cast("string")), F.concat(joined, (r(8) % 1000).cast("string")), F.concat(F.lit("your_api_key_here_"), (r(8) % 10).cast("string")), F.concat(F.lit("example-0000-"), word), joined, word, F.concat(F.lit("${"), joined, F.lit("}")), F.concat(joined, F.lit("()"))]
+    other = F.element_at(F.array(*others), (r(9) % len(others) + 1).cast("int"))
+    name = pick(["token", "secret", "password", "api_key", "access_key", "auth_token", "client_secret", "API-KEY", "passwd"], 10)
     bare = pick(["", "the ", "of ", "and, ", "en ", "der "], 11)
-    joint = pick([" = \"", ": \"", "=", ": ", " = '", " := \""], 12)
-    quoted = F.when(joint.contains("\""), "\"").when(joint.contains("'"), "'").otherwise("")
-    harmless = F.concat(pick(["commit ", "sha256: ", "checksum ", "uuid=", "build ", "order no. ", "file ", "digest: ", "etag: \"", "card "], 13))
+    joint = pick([' = "', ': "', "=", ": ", " = '", ' := "'], 12)
+    quoted = F.when(joint.contains('"'), '"').when(joint.contains("'"), "'").otherwise("")
+    harmless = pick(["commit ", "sha256: ", "checksum ", "uuid=", "build ", "order no. ", "file ", "digest: ", 'etag: "', "card "], 13)
     label = (F.col("id") % 2).cast("double")
     digest = other.rlike("^[0-9a-f]{40,64}$") | other.rlike("^[0-9a-f]{8}-")
-    placeholder = ~digest & (r(14) % 5 == 0)
-    before = F.when(label == 1, F.when(r(15) % 12 == 0, F.concat(bare, joint)).otherwise(F.concat(bare, name, joint))).when(digest, harmless).when(placeholder & other.rlike("^(your|example)"), F.concat(name, joint)).when(r(16) % 3 == 0, harmless).otherwise(bare)
-    after = F.concat(F.when((label == 1) | placeholder, quoted).otherwise(F.lit("")), pick([" ", " the", ".", ",", "\n"], 17))
+    plain = ~other.rlike("[0-9]") | other.rlike("^(your|example)")
+    short = F.length(secret) < 16
+    before = F.when(label == 1, F.when((r(15) % 12 == 0) & ~short, F.concat(bare, joint)).otherwise(F.concat(bare, name, joint))).when(digest, harmless).when(plain, F.concat(name, joint)).when(r(16) % 3 == 0, harmless).otherwise(bare)
+    after = F.concat(F.when((label == 1) | plain, quoted).otherwise(F.lit("")), pick([" ", " the", ".", ",", "\n"], 17))
     return spark.range(rows).select(F.when(label == 1, secret).otherwise(other).alias("hit"), before.alias("before"), after.alias("after"), label.alias("label"))
 
 
-def fit(labelled: DataFrame, trees: int = TREES, depth: int = DEPTH, seed: int = 5) -> PipelineModel:
+def fit(labelled: DataFrame, words: list[str], trees: int = TREES, depth: int = DEPTH, seed: int = 5) -> Judge:
     """The forest from labelled findings."""
-    columns = features({c: F.col(c) for c in ("hit", "before", "after")})
+    columns = features({c: F.col(c) for c in ("hit", "before", "after")}, words)
     rows = labelled.select(*columns, "label")
     names = [c for c in rows.columns if c.startswith("f_")]
     assembler = VectorAssembler(inputCols=names, outputCol="features", handleInvalid="keep")
     # one partition and a fixed seed: the same findings give the same forest
     rows = assembler.transform(rows).select("features", "label").coalesce(1)
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, featuresCol="features", labelCol="label").fit(rows)
-    return PipelineModel([assembler, forest])
+    return Judge(words, PipelineModel([assembler, forest]))
+
+
+def fitted(docs: DataFrame) -> Judge:
+    """The forest for a corpus, from its own dictionary and findings made from a rule."""
+    words = dictionary(docs)
+    return fit(findings(docs.sparkSession, words), words)
+
+
+def candidates(text: Column) -> Column:
+    """array<struct<start, hit, before, after>>; values are looked for only where something is assigned
+    to a naming word."""
+    none = F.array().cast("array<struct<start:bigint,hit:string,before:string,after:string>>")
+    return F.when(text.rlike(NAMED), spans(text, f"{VALUE}|{RUN}", AROUND)).when(text.rlike(RUN), spans(text, RUN, AROUND)).otherwise(none)
 
 
-def scan(docs: DataFrame, model: PipelineModel, threshold: float = THRESHOLD, key: str = "doc_id") -> DataFrame:
+def scan(docs: DataFrame, judge: Judge, threshold: float = THRESHOLD, key: str = "doc_id") -> DataFrame:
     """Findings kept as secrets: key, start, end (code points), hit, probability."""
-    text = F.col("text").cast("string")
-    found = docs.where(text.rlike(CANDIDATE)).select(F.col(key).alias("__key"), F.explode(spans(text, CANDIDATE, AROUND)).alias("s"))
-    return judged(found.select("__key", "s.*"), model, threshold).select(F.col("__key").alias(key), "start", (F.col("start") + F.length("hit")).alias("end"), "hit", "probability")
+    found = docs.select(F.col(key).alias("__key"), F.explode(candidates(F.col("text").cast("string"))).alias("s"))
+    return judged(found.select("__key", "s.*"), judge, threshold).select(F.col("__key").alias(key), "start", (F.col("start") + F.length("hit")).alias("end"), "hit", "probability")
 
 
-def judged(found: DataFrame, model: PipelineModel, threshold: float) -> DataFrame:
+def judged(found: DataFrame, judge: Judge, threshold: float) -> DataFrame:
     """Rows of (__key, start, hit, before, after) that the forest takes for secrets."""
-    rows = found.select("__key", "start", "hit", *features({c: F.col(c) for c in ("hit", "before", "after")}))
-    scored = model.transform(rows).select("__key", "start", "hit", F.round(vector_to_array("probability")[1], 6).alias("probability"))
+    rows = found.select("__key", "start", "hit", *features({c: F.col(c) for c in ("hit", "before", "after")}, judge.words))
+    scored = judge.forest.transform(rows).select("__key", "start", "hit", F.round(vector_to_array("probability")[1], 6).alias("probability"))
     return scored.where(F.col("probability") >= threshold)
 
 
-def redact(docs: DataFrame, model: PipelineModel, threshold: float = THRESHOLD) -> DataFrame:
+def redact(docs: DataFrame, judge: Judge, threshold: float = THRESHOLD) -> DataFrame:
     """docs with MASK in place of each secret; n_chars follows where there is such a column.
 
     Only rows with a candidate leave the scan's path; findings come back to them by a hash of the
     whole text, so that ids may be null or repeat."""
     names = docs.columns
-    text = F.col("text")
-    has = F.coalesce(text.rlike(CANDIDATE), F.lit(False))
-    keyed = docs.where(has).select(F.sha2(text.cast("binary"), 256).alias("__k"), "text")
-    hits = keyed.groupBy("__k").agg(F.first("text").alias("text"))
-    found = scan(hits, model, threshold, key="__k").groupBy("__k").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("__s"))
-    joined = docs.where(has).withColumns({"__k0": F.sha2(text.cast("binary"), 256)}).join(found, F.col("__k0") == F.col("__k"), "left")
+    keep = [f"__c{i}" for i in range(len(names))]
+    rows = docs.toDF(*keep)
+    text = F.col(keep[names.index("text")])
+    has = F.coalesce(text.rlike(NAMED) | text.rlike(RUN), F.lit(False))
+    key = F.sha2(text.cast("binary"), 256)
+    hits = rows.where(has).select(key.alias("__k"), text.alias("text")).groupBy("__k").agg(F.first("text").alias("text"))
+    found = scan(hits, judge, threshold, key="__k").groupBy("__k").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("__s"))
+    joined = rows.where(has).withColumn("__k0", key).join(found, F.col("__k0") == F.col("__k"), "left")
     cut = F.aggregate("__s", F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out")), lambda a, s: F.struct(s["end"].alias("at"), F.concat(a["out"], F.substring(text, a["at"].cast("int") + 1, (s["start"] - a["at"]).cast("int")), F.lit(MASK)).alias("out")), lambda a: F.concat(a["out"], F.substring(text, a["at"].cast("int") + 1, F.length(text))))
     joined = joined.withColumn("__t", F.when(F.col("__s").isNull(), text).otherwise(cut))
-    fresh = F.col("__t")
-    columns = [F.col(c) for c in names]
-    columns[names.index("text")] = fresh.alias("text")
+    columns = [F.col(c) for c in keep]
+    columns[names.index("text")] = F.col("__t").alias(keep[names.index("text")])
     if "n_chars" in names:
-        columns[names.index("n_chars")] = F.when(F.col("__s").isNull(), F.col("n_chars")).otherwise(F.length(fresh)).cast(docs.schema["n_chars"].dataType).alias("n_chars")
-    return docs.where(~has).unionByName(joined.select(columns))
+        k = names.index("n_chars")
+        columns[k] = F.when(F.col("__s").isNull(), F.col(keep[k])).otherwise(F.length("__t")).cast(docs.schema["n_chars"].dataType).alias(keep[k])
+    return rows.where(~has).unionByName(joined.select(columns)).toDF(*names)
 
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every secret in `documents`."""
-    return scan(spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("doc_id").cast("long").alias("doc_id"), "text"), fit(findings(spark)))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return scan(docs, fitted(docs))
