@@ -48,6 +48,21 @@ def test_token_output_round_trip(spark, odd, none):
     assert token_output.read_tokens(spark, empty).count() == 0
 
 
+def test_token_output_of_mixed_white_space(spark):
+    texts = ["one\ttwo  three", "a\x1cb c", " lead", "trail ", "a\u00a0b\u3000c\u0085d", "x\r\ny", "<|endoftext|> <|startoftext|>a", "\x1f\x1e  \x1d"]
+    rows = docs(spark, list(enumerate(texts)))
+    path = common.scratch(spark, "t")
+    token_output.write_tokens(rows, path, tokenizer_path("byte_bpe_50k.json"), 2, partitions=3)
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))
+    ids = [[*tok.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+    want = [(i, sum(map(len, ids[:i])), len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for i, x in enumerate(ids)]
+    assert sorted(map(tuple, token_output.read_tokens(spark, path).collect())) == want
+    files = [r["file"] for r in spark.read.parquet(f"{path}/manifest").collect()]
+    assert files and all(f.endswith(".lsbp") and token_output.read_file(f)[:4] == b"LSBP" for f in files)
+
+
 def test_packing_places_every_piece(odd, none):
     got = packing.packed_documents(odd, tokenizer_path("word_bpe_49k.json"), 1, 512, with_ids=True)
     rows = got.collect()
@@ -75,6 +90,12 @@ def test_language_model(spark, odd, none):
     assert got[1][0] == "en" and got[2][0] == "de" and got[3] == ("und", 0.0) and got[4] == ("und", 0.0)
     assert langid.predict(odd, model).count() == 8 and langid.predict(none, model).count() == 0
     assert {r["lang_pred"] for r in langid.predict(odd, langid.fit(none)).collect()} == {"und"}
+    # a script without blanks: what tells is at the end of one long run of letters
+    long = spark.createDataFrame([(1, "\u65e5" * 500 + "\u304b\u306a", "ja"), (2, "\u65e5" * 500 + "\u4e2d\u6587", "zh")], "doc_id long, text string, lang string")
+    model = langid.fit(long)
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.predict(spark.createDataFrame([(1, "\u304b\u306a"), (2, "\u4e2d\u6587")], "doc_id long, text string"), model).collect()}
+    assert got == {1: "ja", 2: "zh"}
+    assert model["grams"]["more"].size and abs(model["grams"]["none"][1][0] - np.log(0.1 / (504 + 1000))) < 1e-4  # every letter counted once, and the two ends
 
 
 def test_quality_frames(spark, odd, none):
@@ -94,47 +115,135 @@ def test_decontamination(spark, odd, none):
     out = decontaminate.clean(odd, bench, max_coverage=0.8)
     assert out.columns == odd.columns and out.count() == 8
     assert {r["text"] for r in out.where("doc_id = 2").collect()} == {" c"} and out.where("doc_id = 2").first()["n_chars"] == 2
-    assert decontaminate.clean(odd, bench, max_coverage=0.5).count() == 6
+    assert decontaminate.clean(odd, bench, max_coverage=0.5).count() == 5  # the item without an id covers words too
     assert decontaminate.clean(odd, bench.where("false")).count() == 8 and decontaminate.clean(none, bench).count() == 0
 
 
 def test_secrets(spark, odd, none):
-    model = secrets.fit(secrets.findings(spark))
+    words = ["commit", "see", "required", "server", "world", "hello", "between", "people", "another", "through"]
+    model = secrets.fit(secrets.findings(spark, words), words)
     key = hashlib.sha1(b"k").hexdigest()
-    rows = docs(spark, [(1, f'é token = "{key}" end'), (1, f'é token = "{key}" end'), (2, f"see commit {key} and 4929348385146306"), (3, None), (4, "")])
+    text = f'é token = "{key}" end'
+    rows = docs(spark, [(1, text), (1, text), (2, f"see commit {key} and 4929348385146306"), (3, None), (4, ""), (5, "password: Tr0ub4dor&3x, api_key=abcDEF123ghi456JKL"), (6, 'db_password="kxqzwvpjyt"'), (7, "token: ${hello_world}")])
     got = secrets.scan(rows, model).collect()
-    assert [(r["doc_id"], r["start"], r["end"], r["hit"]) for r in got] == [(1, 11, 51, key)] * 2
-    out = secrets.redact(rows, model)
-    assert out.columns == rows.columns and out.count() == 5
+    found = {}
+    for r in got:
+        found.setdefault(r["doc_id"], []).append(r["hit"])
+    assert [(r["start"], r["end"]) for r in got if r["doc_id"] == 1] == [(11, 51)] * 2
+    assert found == {1: [key] * 2, 5: ["Tr0ub4dor&3x", "abcDEF123ghi456JKL"], 6: ["kxqzwvpjyt"]}
+    clash = rows.withColumnsRenamed({"lang": "__k", "source": "__s", "score": "__t"}).withColumn("__k0", F.lit(1))
+    out = secrets.redact(clash, model)
+    assert out.columns == clash.columns and out.count() == 8
     assert {r["text"] for r in out.where("doc_id = 1").collect()} == {'é token = "[SECRET]" end'} and out.where("doc_id = 1").first()["n_chars"] == len('é token = "[SECRET]" end')
+    assert out.where("doc_id = 5").first()["text"] == "password: [SECRET], api_key=[SECRET]"
     assert secrets.redact(odd, model).count() == 8 and secrets.scan(none, model).count() == 0 and secrets.redact(none, model).count() == 0
+    # candidates by brute force: values of naming words first, runs of other places
+    texts = ["password=abcd1234 x" + "A1" * 8, "x" * 15 + "1", "a/b.c" * 4 + "9==", "secret: 'short'", "auth = \"" + "q" * 8, "no 1234567890123456789 key"]
+    spans_ = spark.createDataFrame([(t,) for t in texts], "t string").select("t", secrets.candidates(F.col("t")).alias("c")).collect()
+    assert all(r["t"][c["start"] : c["start"] + len(c["hit"])] == c["hit"] for r in spans_ for c in r["c"])
+    assert [[c["hit"] for c in r["c"]] for r in spans_] == [["abcd1234", "x" + "A1" * 8], ["x" * 15 + "1"], ["a/b.c" * 4 + "9=="], [], ["q" * 8], ["1234567890123456789"]]
+
+
+def test_secrets_on_held_out_findings(spark):
+    """Precision and recall on findings of another seed and other words than the forest was fitted on."""
+    words = [f"{a}{b}" for a in ("com", "pre", "hand", "over", "under", "light", "inter") for b in ("ment", "view", "line", "tion", "work", "ness", "able")]
+    model = secrets.fit(secrets.findings(spark, words[::2]), words)
+    held = secrets.findings(spark, words[1::2], rows=3000, seed=77).withColumn("__key", F.monotonically_increasing_id()).withColumn("start", F.lit(0)).cache()
+    found = {r["__key"] for r in secrets.judged(held, model, 0.5).collect()}
+    label = {r["__key"]: r["label"] for r in held.collect()}
+    true = sum(label[k] for k in found)
+    assert true / len(found) > 0.95 and true / sum(label.values()) > 0.95
 
 
-def test_exact_top_k(spark):
+def test_exact_top_k(spark, monkeypatch):
     rng = np.random.default_rng(4)
     e = rng.normal(size=(150, 20)).astype(float)
     rows = [(i, e[i // 3 * 3 if i % 7 == 0 else i].tolist()) for i in range(150)] + [(500, None), (600, []), (0, e[0].tolist()), (601, [1.0, None])]
-    v = hamming.codes(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), 20)
-    q = v.where(F.col("id") % 50 == 0)
-    for radius in (0, 3):
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for widths, shares in (([5, 5, 5, 5], 2048), ([10, 10], 3), ([20], 2048), (hamming.segments(20, 8), 2048)):
+        monkeypatch.setattr(hamming, "SHARES", shares)
+        v = hamming.codes(frame, widths)
+        q = v.where(F.col("id") % 50 == 0)
         got = {}
-        for r in hamming.top_k(v, q, 20, k=5, radius=radius).collect():
+        for r in hamming.top_k(v, q, widths, k=5).collect():
             got.setdefault(r["query_id"], {})[r["rank"]] = (r["distance"], r["neighbor_id"])
         codes = {r["id"]: r["code"] for r in v.collect()}
         want = {a: dict(enumerate(sorted((sum(bin(x ^ y).count("1") for x, y in zip(codes[a], codes[b], strict=True)), b) for b in codes)[:5], 1)) for a in codes if a % 50 == 0}
         assert got == want
-    assert hamming.top_k(v.where("false"), q.where("false"), 20).count() == 0
+    assert hamming.top_k(v.where("false"), q.where("false"), widths).count() == 0
+    few = v.where(F.col("id") < 3)
+    assert hamming.top_k(few, few.where("id = 0"), widths).count() == few.select("id").distinct().count()
+
+
+def test_top_k_of_random_codes_grows_radii(spark, monkeypatch):
+    """On random 64-bit codes every answer comes from the index, and no query looks up all of it."""
+    rng = np.random.default_rng(2)
+    frame = spark.createDataFrame([(i, [float(x) for x in rng.normal(size=64)]) for i in range(300)], "vec_id long, embedding array<double>")
+    widths = hamming.segments(64, 300)
+    assert sum(widths) == 64 and len(widths) == 8
+    v = hamming.codes(frame, widths)
+    looked = []
+    real = hamming._changes
+    monkeypatch.setattr(hamming, "_changes", lambda w, r: looked.append(r) or real(w, r))
+    got = hamming.top_k(v, v.where(F.col("id") % 100 == 0), widths, k=3).collect()
+    codes = {r["id"]: r["code"] for r in v.collect()}
+    dist = lambda a, b: sum(bin(x ^ y).count("1") for x, y in zip(codes[a], codes[b], strict=True))
+    want = {(a, k, b, d) for a in (0, 100, 200) for k, (d, b) in enumerate(sorted((dist(a, b), b) for b in codes)[:3], 1)}
+    assert {(r["query_id"], r["rank"], r["neighbor_id"], r["distance"]) for r in got} == want
+    assert looked == list(range(len(looked))) and len(looked) <= max(d for _, _, _, d in want) // 8 + 1
 
 
 def test_line_deduplication(spark, odd, none):
     line = " ".join(f"w{i}" for i in range(25))
     rows = docs(spark, [(5, f"a\n{line}\nb\n{line.upper()}!"), (2, f"{line}\nzz"), (None, line), (7, None), (8, ""), (2, f"{line}\nzz")])
-    got = {(r["doc_id"], r["text"]): (r["n_lines"], r["n_removed"], r["removed"]) for r in line_dedup.deduplicate(rows).collect()}
+    got = {(r["doc_id"], r["text"]): (r["n_repeated"], r["n_removed"], r["n_units"], r["removed"]) for r in line_dedup.deduplicate(rows).collect()}
     n = len(line)
-    assert got == {(5, "a\nb"): (4, 2, f"2:{n + 2},{n + 5}:{2 * n + 6}"), (2, f"{line}\nzz"): (2, 0, ""), (None, ""): (1, 1, f"0:{n}"), (7, None): (0, 0, ""), (8, ""): (1, 0, "")}
+    assert got == {(5, "a\nb\n"): (2, 2, 4, f"2:{n + 3},{n + 5}:{2 * n + 6}"), (2, f"{line}\nzz"): (1, 0, 2, ""), (None, ""): (1, 1, 1, f"0:{n}"), (7, None): (0, 0, 0, ""), (8, ""): (0, 0, 0, "")}
     assert line_dedup.deduplicate(odd).count() == 8 and line_dedup.deduplicate(none).count() == 0
 
 
+@pytest.mark.parametrize("least", [16, 0])
+def test_line_deduplication_against_brute_force(spark, least, monkeypatch):
+    """Hot digests go another way (least 0: all that are sampled at all), and the result is the same."""
+    monkeypatch.setattr(line_dedup, "LEAST", least)
+    monkeypatch.setattr(line_dedup, "SAMPLE", 1 if least == 0 else 64)
+    rng = np.random.default_rng(4)
+    stock = [" ".join(f"s{k}w{i}" for i in range(rng.integers(1, 14))) for k in range(25)]
+    rows = []
+    for i in range(60):
+        parts = [stock[rng.integers(25)] if rng.random() < 0.7 else f"own {i} {j}" for j in range(rng.integers(0, 12))]
+        rows.append((None if i % 13 == 0 else int(rng.integers(40)), "".join(p.upper() + rng.choice([". ", "!\n", "\n\n", "? ... "]) for p in parts)))
+    frame = docs(spark, rows)
+    keyed = sorted({(line_dedup.LAST if r["doc_id"] is None else r["doc_id"], r["tie"], r["text"]) for r in line_dedup._rows(frame).collect()})
+    seen, where = {}, {}
+    for rank, tie, text in keyed:
+        for k, (a, b, w) in enumerate(line_dedup.units_of(text)):
+            seen.setdefault(" ".join(w), []).append((rank, tie, k))
+            where[rank, tie, k] = (a, b, len(w), " ".join(w))
+    want = set()
+    for rank, tie, text in keyed:
+        n = sum(key[:2] == (rank, tie) for key in where)
+        own = [where[rank, tie, k] for k in range(n)]
+        marks = [(len(seen[u[3]]) > 1, len(seen[u[3]]) > 1 and min(seen[u[3]]) != (rank, tie, k)) for k, u in enumerate(own)]
+        found = []
+        for flag in (0, 1):
+            kept = set()
+            for i in range(n):
+                for j in range(i, n):
+                    if all(m[flag] for m in marks[i : j + 1]) and sum(u[2] for u in own[i : j + 1]) >= line_dedup.MIN_WORDS:
+                        kept.update(range(i, j + 1))
+            found.append(kept)
+        cuts = [(i, max(j for j in range(i, n) if set(range(i, j + 1)) <= found[1])) for i in sorted(found[1]) if i - 1 not in found[1]]
+        cuts = [(own[i][0], own[j][1]) for i, j in cuts]
+        out, at = "", 0
+        for a, b in cuts:
+            out, at = out + text[at:a], b
+        want.add((rank, out + text[at:], len(found[0]), len(found[1]), n, ",".join(f"{a}:{b}" for a, b in cuts)))
+    got = line_dedup.deduplicate(frame).collect()
+    assert {(line_dedup.LAST if r["doc_id"] is None else r["doc_id"], r["text"], r["n_repeated"], r["n_removed"], r["n_units"], r["removed"]) for r in got} == want
+    assert len(got) == 60 and sum(r["n_removed"] for r in got) > 20
+
+
 def test_personal_data(spark, odd, none):
     seeds = [(i, f"Please write to user{i}@mail{i}.org today. Please call +1 555 {i:04d} 12{i:02d} now.") for i in range(12)]
     more = [(100, "Please write to hidden(at)host9 today."), (101, "a@b.c_d@e.fx 1.2.3.4.5.6.7.8 999.1.1.1 x 4111 1111-1111 1111 +49 (0) 12"), (102, None), (103, "9" * 20_000), (104, "a" * 50_000 + "@")]
@@ -146,6 +255,49 @@ def test_personal_data(spark, odd, none):
     assert pii.personal_data(odd).count() == 8 and pii.personal_data(none).count() == 0
 
 
+def test_personal_data_bootstraps_over_rounds(spark):
+    """Unseen writings next to seeds are believed, their other contexts become patterns, and those find
+    writings that never stand next to a seed. Numbers of another use stay."""
+    seeds = [(i, f"Please write to user{i}@mail{i}.org today. Please call +1 555 {i:04d} 12{i:02d} now.") for i in range(12)]
+    first = [(100 + i, f"Please write to hid{i}(at)host today. You can reach hid{i}(at)host please") for i in range(7)]
+    second = [(200 + i, f"You can reach late{i} [at] site [dot] net please") for i in range(4)]
+    phones = [(300 + i, f"Please call (555) 123-45{i:02d} now.") for i in range(4)]
+    others = [(400 + i, f"order number 5551234{i:03d} shipped to 2001:db8:0:{i} and 10-20-30-{i}") for i in range(20)]
+    rows = docs(spark, seeds + first + second + phones + others)
+    found = lambda rounds: {r["doc_id"]: [s["hit"] for s in r["found"][len(r["base"]) :]] if r["doc_id"] > 99 else [] for r in pii.personal_data(rows, rounds=rounds).collect()}
+    got = found(pii.ROUNDS)
+    want = {i: [] for i, _ in seeds + others} | {i: [f"hid{i - 100}(at)host"] * 2 for i, _ in first} | {i: [f"late{i - 200} [at] site [dot] net"] for i, _ in second} | {i: [f"(555) 123-45{i - 300:02d}"] for i, _ in phones}
+    assert got == want
+    assert found(1) == want | {i: [] for i, _ in second}
+
+
+def plain_personal_data(text):
+    """The base spans by plain expressions."""
+    out = []
+    for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text):
+        out.append(("email", m.start(), m.end()))
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(x) <= 255 for x in m.group().split(".")):
+            out.append(("ip", m.start(), m.end()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        d = [int(c) for c in m.group() if c.isdigit()]
+        if 16 <= len(d) <= 19 and sum(sum(divmod(2 * x, 10)) if i % 2 else x for i, x in enumerate(reversed(d))) % 10 == 0:
+            out.append(("card", m.start(), m.end()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 8 <= sum(c.isdigit() for c in m.group()) <= 15:
+            out.append(("phone", m.start(), m.end()))
+    return out
+
+
+def test_base_spans_against_brute_force(spark):
+    rng = np.random.default_rng(16)
+    parts = ["4111 1111 1111 1111", "4111-1111-1111-1112", "378282246310005", "6011000990139424123", "255.255.255.255", "256.1.1.1", "001.02.3.4", "1.2.3.4.5", "a@b.c", "é@x.y", "+1 (555) 010-99", "+4", "+49 30 1234567", "+1234567890123456", " ", " ", "\n", "é", "漢", "-", ".", "7"]
+    texts = ["".join(rng.choice(parts, rng.integers(0, 9))) for _ in range(200)]
+    got = {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["base"]] for r in pii.personal_data(docs(spark, list(enumerate(texts)))).collect()}
+    assert got == {i: plain_personal_data(t) for i, t in enumerate(texts)}
+    assert sum(map(len, got.values())) > 100
+
+
 def test_base_patterns_equal_the_plain_ones(spark):
     plain = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
     rng = np.random.default_rng(6)
@@ -189,12 +341,13 @@ def test_near_duplicates_against_brute_force(spark, monkeypatch):
             if t:
                 t[int(rng.integers(0, len(t)))] = f"e{rng.integers(0, 1000)}"
         rows.append((i, " ".join(t)))
-    rows += [(200, rows[0][1]), (201, None), (202, "  "), (203, "one two"), (204, "One  TWO"), (205, "a"), (206, LONG)]
+    rows += [(200, rows[1][1]), (201, None), (202, "  "), (203, "one two"), (204, "One  TWO"), (205, "a"), (206, LONG)]
     want = brute_components(rows, 3, 80, 100)
     df = docs(spark, rows)
-    for rounds, squares in ((6, 0), (0, 0)):
-        monkeypatch.setattr(ngram_join, "ROUNDS", rounds)
-        monkeypatch.setattr(ngram_join, "SQUARES", squares)
+    for hubs, shares, wide in (((1,), 3, 1 << 16), ((1, 2, 64), 2048, 1 << 14)):
+        monkeypatch.setattr(ngram_join, "HUBS", hubs)
+        monkeypatch.setattr(ngram_join, "SHARES", shares)
+        monkeypatch.setattr(ngram_join, "NARROWEST", wide)
         monkeypatch.setattr(ngram_join, "STAR", 3)
         got = ngram_join.near_duplicates(df, 3, 80, 100)
         assert sorted((r["doc_id"], r["component_id"]) for r in got.collect()) == want

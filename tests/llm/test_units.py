@@ -13,13 +13,23 @@ TEXTS = ["", " ", "\n", "plain words here", "  two  blanks ", "a\n\nb", "tab\tan
 
 
 @pytest.mark.parametrize(("name", "blanks"), [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
-def test_cached_encoding_is_exact(name, blanks, monkeypatch):
-    monkeypatch.setattr(encoding, "CACHE_WORDS", 3)
-    enc = encoding.Encoder(encoding.tokenizer_path(name), blanks)
+def test_cached_encoding_is_exact(name, blanks):
+    enc = encoding.Encoder(encoding.tokenizer_path(name), blanks, 3)
     for _ in range(3):
         assert enc.ids(TEXTS) == [np.array(enc.tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in TEXTS]
 
 
+@pytest.mark.parametrize(("name", "blanks"), [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_cached_encoding_is_exact_on_mixed_white_space(name, blanks):
+    words = ["a", "one", "it's", "'ll", "12", "\u00df", "\u6f22\u5b57", "\u0301b", "\u03a3", "\u0130", "<|endoftext|>", "<|", "|>", "<|startoftext|>", "!?", "\x01", "\x00", "\x7f", "\xad"]
+    gaps = [" ", " ", " ", "  ", "\n", "\n\n", " \n", "\n ", "\t", "\r", "\u00a0", "\u3000", "\x1c", "\x1d", "\x1e", "\x1f", "\x85", "\x0b", "\u2028", "\u200b", "\ufeff", "\u180e", ""]
+    rng = random.Random(5)
+    enc = encoding.Encoder(encoding.tokenizer_path(name), blanks, 50)
+    for _ in range(40):
+        texts = ["".join(x for _ in range(rng.randint(0, 7)) for x in (rng.choice(gaps), rng.choice(words), rng.choice(gaps))) for _ in range(60)]
+        assert enc.ids(texts) == [np.array(enc.tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+
+
 @pytest.mark.parametrize("bits", [False, True])
 @pytest.mark.parametrize("block", [1, 7, 64])
 def test_shards_round_trip(bits, block):
@@ -175,20 +185,37 @@ def test_scores_come_from_the_text_alone():
 
 
 def test_backoff_to_shorter_grams():
-    model = {"langs": ["aa", "bb"], "words": {"hi": 0}, "word_m": np.array([[-1.0, -9.0]], np.float32), "grams": {"zz": 0, "q": 1}, "gram_m": np.array([[-9.0, -1.0], [-2.0, -8.0]], np.float32)}
+    langs, totals = ["aa", "bb"], {(x, k): 100 for x in ("aa", "bb") for k in range(6)}
+    model = {"langs": langs, "words": langid._table({"hi": {0: 50}}, langs, totals, level=0), "grams": langid._table({"zz": {1: 40}, "q": {0: 30, 1: 2}}, langs, totals)}
     s = langid.Scorer(model)
-    assert s.predict(["Hi, hi", "xzzx", "q1", "123", "", "é"]) == (["aa", "bb", "aa", "und", "und", "aa"], s.predict(["Hi, hi", "xzzx", "q1", "123", "", "é"])[1])
-    assert langid.Scorer({**model, "langs": [], "word_m": np.zeros((0, 0)), "words": {}, "grams": {}}).predict(["a"])[0] == ["und"]
+    names, scores = s.predict(["Hi, hi", "xzzx", "q1", "123", "", "é", "\u00b2 \u00bd \u2167"])
+    assert names == ["aa", "bb", "aa", "und", "und", "aa", "und"] and scores[3] == 0 and scores[0] > 0.99 and abs(scores[5] - 0.5) < 1e-6
+    assert (names, scores) == s.predict(["Hi, hi", "xzzx", "q1", "123", "", "é", "\u00b2 \u00bd \u2167"])
+    # brute force of the backoff: a known word, else the mean of the longest known n-grams
+    rng = random.Random(8)
+    for _ in range(200):
+        w = "".join(rng.choice("hizqx") for _ in range(rng.randint(1, 5)))
+        seen = {"hi": {0: 50}} if w == "hi" else next((f for k in range(5, 0, -1) if (f := {g: {"zz": {1: 40}, "q": {0: 30, 1: 2}}[g] for g in {f"_{w}_"[j : j + k] for j in range(len(w) + 3 - k)} if g in ("zz", "q")})), {})
+        many = [g for g in seen for j in range(len(w) + 3 - len(g)) if w == g or f"_{w}_"[j : j + len(g)] == g] if w != "hi" else ["hi"]
+        want = [np.mean([np.log((seen[g].get(i, 0) + 0.1) / 1100.0) for g in many]) if many else 0.0 for i in range(2)]
+        assert np.allclose(s.word(w), want, atol=1e-4), w
+    assert langid.Scorer({"langs": [], "words": langid._table({}, [], {}), "grams": langid._table({}, [], {})}).predict(["a"])[0] == ["und"]
 
 
-def test_lines():
-    assert list(line_dedup.lines_of("a\n\nb")) == [(0, 1), (2, 2), (3, 4)] and list(line_dedup.lines_of("")) == [(0, 0)]
-    assert line_dedup.digest("A b, C", 3) == line_dedup.digest("a  B c!", 3) and line_dedup.digest("a b", 3) is None
+def test_units_tile_lines():
+    text = "One. Two!? \u3002x\n\n ... three"
+    assert [w for _, _, w in line_dedup.units_of(text)] == [["one"], ["two"], ["x"], ["three"]]
+    assert list(line_dedup.units_of("")) == [] and list(line_dedup.units_of("... \n!")) == []
+    assert line_dedup.digest(["a", "b"]) != line_dedup.digest(["ab"])
+    assert line_dedup.runs([1, 2, 4, 5, 6, 9], [3, 4, 2, 2, 1, 9], 5) == [(1, 2), (4, 6), (9, 9)]
 
 
 def test_masks_cover_a_segment():
-    from lodestar.llm.hamming import SEGMENT, masks
-
-    assert sum(len(masks(r)) for r in range(SEGMENT + 1)) == 1 << SEGMENT if SEGMENT <= 16 else True
-    assert all(bin(x).count("1") == 2 for x in masks(2)) and len(set(itertools.chain(masks(1), masks(2)))) == 16 + 120
-    assert zlib.crc32(b"") == 0
+    from lodestar.llm.hamming import masks, segments
+
+    for w in (1, 5, 11):
+        assert sorted(x for r in range(w + 1) for x in masks(w, r)) == list(range(1 << w))
+    assert all(bin(x).count("1") == 2 for x in masks(16, 2))
+    for bits, rows in ((1, 0), (64, 2000), (64, 10**9), (100, 5)):
+        widths = segments(bits, rows)
+        assert sum(widths) == bits and max(widths) - min(widths) <= 1 and max(widths) <= 24
