@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
 
 import numpy as np
 
@@ -19,7 +20,7 @@ from . import common
 
 #: Words in one generation of the cache; at most two generations are held: a bound on a worker's memory
 #: (some 15 MB for 100,000 words). Ids do not depend on it.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 600_000
 #: Longer words are encoded, not kept.
 LONGEST_KEPT = 48
 #: New words that are encoded as one text.
@@ -28,6 +29,9 @@ TOGETHER = 500
 #: nothing but a line feed, does not stand for itself.
 ODD = re.compile(r"^\n?$|.\n|[^\S\n]|[\x00-\x09\x0b-\x1f\x7f-\xa0\xad\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff]|<\|", re.S)
 
+#: A word and the ASCII marks after it, which both vocabularies part before they merge.
+ENDING = re.compile(r"([^\W\d_]+)([!-/:-@\[-`{-~]{1,4})")
+
 
 def tokenizer_path(name: str) -> str:
     """Path of a public vocabulary file; the package is outside the repository."""
@@ -48,10 +52,10 @@ class Encoder:
         self.blanks_count, self.cache_words = blanks_count, cache_words
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.endings: dict[str, bytes] = {}
         feed = self._encode(["\n"])[0] if blanks_count else b""
         self.feed = len(feed)
-        #: what parts words that are encoded together, and its id, where it is a single one
-        self.between = "\n " if blanks_count else " \x01 "
+        #: the single id of what parts words that are encoded together, where it has one
         mark = feed if blanks_count else self._encode(["\x01"])[0]
         self.mark = int.from_bytes(mark, "little") if len(mark) == 4 else None
 
@@ -64,46 +68,74 @@ class Encoder:
             return f"\n{text}".replace("\n", " \n").split(" ")[1:] if text else []
         return text.replace("\n", " ").split(" ")
 
-    def _encoded(self, words: list[str]) -> list[bytes]:
-        """The ids of new words, each after a blank where blanks count."""
-        if self.mark is None or len(words) < 2:
-            return self._encode([w if w[:1] == "\n" or not self.blanks_count else f" {w}" for w in words])
-        out: dict[str, bytes] = {}
-        alone = [w for w in words if ODD.search(w) or w[0] == "\n"]
-        easy = list(set(words).difference(alone))
-        for k in range(0, len(easy), TOGETHER):
-            part = easy[k : k + TOGETHER]
-            ids = np.frombuffer(self._encode([self.between + self.between.join(part)])[0], "<u4")
-            at = np.flatnonzero(ids == self.mark).tolist()
-            if len(at) != len(part):
-                alone += part
-                continue
-            raw = ids.tobytes()
-            out.update((w, raw[4 * a + 4 : 4 * b]) for w, a, b in zip(part, at, [*at[1:], len(ids)], strict=True))
-        out.update(zip(alone, self._encode([f" {w}" if self.blanks_count and w[:1] != "\n" else w for w in alone]), strict=True))
-        return [out[w] for w in words]
+    def _together(self, words: list[str], before: str, alone: str, keep: int) -> Iterator[tuple[str, bytes]]:
+        """Words and their ids, many encoded as one text: each has `before` before it, which holds the
+        mark, and its ids begin `keep` bytes after the mark. Where the marks do not show, each is
+        encoded with `alone` before it."""
+        for k in range(0, len(words), TOGETHER):
+            part = words[k : k + TOGETHER]
+            ids = np.frombuffer(self._encode(["".join([before + w for w in part])])[0], "<u4")
+            at = np.flatnonzero(ids == self.mark).tolist() if self.mark is not None else []
+            if len(at) == len(part):
+                raw = ids.tobytes()
+                yield from zip(part, [raw[4 * a + keep : 4 * b] for a, b in zip(at, [*at[1:], len(ids)], strict=True)], strict=True)
+            else:
+                yield from zip(part, self._encode([alone + w for w in part]), strict=True)
+
+    def _encoded(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        """New words and their ids, each after a blank where blanks count, or after its line feed."""
+        if self.blanks_count:
+            yield from self._together([w for w in words if w[:1] != "\n"], "\n ", " ", 4)
+            yield from self._together([w for w in words if w[:1] == "\n"], "", "", 0)
+        else:
+            yield from self._together([w for w in words if w and "\x01" not in w], " \x01 ", "", 4)
+            rest = [w for w in words if not w or "\x01" in w]
+            yield from zip(rest, self._encode(rest), strict=True)
+
+    def _ending(self, marks: str) -> bytes:
+        """The ids of marks that follow a letter."""
+        if (ids := self.endings.get(marks)) is None:
+            if len(self.endings) > 10_000:
+                self.endings.clear()
+            ids = self.endings[marks] = self._encode([marks])[0]
+        return ids
 
     def _learn(self, pieces: list[list[str]]) -> tuple[dict[str, bytes], set[str]]:
         """A table that has every piece that stands for itself, and the pieces that do not; what is
         worth it stays for later calls."""
-        young, old = self.young, self.old
+        young, old, blanks = self.young, self.old, self.blanks_count
         if len(young) > self.cache_words:
             self.old, self.young = old, young = young, {}
         wanted: set[str] = set()
         for p in pieces:
             wanted.update(p)
         wanted.difference_update(young.keys())
-        new, odd = [], set()
+        fresh, odd, derived = set(), set(), []
         for w in wanted:
             if (ids := old.get(w)) is not None:
                 young[w] = ids
-            elif self.blanks_count and ODD.search(w):
+            elif blanks and not (w.isprintable() and w and "<|" not in w) and ODD.search(w):
                 odd.add(w)
             else:
-                new.append(w)
+                m = ENDING.fullmatch(w)
+                stem, marks = m.groups() if m else (w, "")
+                if not blanks and stem.isascii():  # the word-end vocabulary knows no case
+                    stem = stem.lower()
+                if stem is w:
+                    fresh.add(w)
+                else:
+                    derived.append((w, stem, marks))
+                    if stem not in young:
+                        if (ids := old.get(stem)) is not None:
+                            young[stem] = ids
+                        else:
+                            fresh.add(stem)
         long: dict[str, bytes] = {}
-        for w, ids in zip(new, self._encoded(new), strict=True):
+        for w, ids in self._encoded(list(fresh)):
             (young if len(w) <= LONGEST_KEPT else long)[w] = ids
+        for w, stem, marks in derived:
+            ids = young[stem] if stem in young else long[stem]
+            (young if len(w) <= LONGEST_KEPT else long)[w] = ids + self._ending(marks) if marks else ids
         return ({**young, **long} if long else young), odd
 
     def ids(self, texts: list[str]) -> list[bytes]:
