@@ -66,12 +66,20 @@ def merged_statuses(model: Column, rule: Column) -> Column:
 
 
 def reply_statuses(reply: Column) -> Column:
-    """Statuses of a model's JSON reply; all Unknown unless it says that the page is the person's
-    profile."""
+    """Statuses of a model's JSON reply, under the honor's name or its short one, as an object with a
+    status or a plain text; all Unknown unless it says that the page is the scholar's profile."""
+
+    def said(v: Column, name: str) -> Column:
+        flag = F.lower(F.trim(F.try_variant_get(v, f"$.{name}", "string")))
+        return F.coalesce(flag.isin("1", "true", "yes", "y", "on") | (flag.try_cast("double") != 0), F.lit(False))
+
+    def status(v: Column, org: str) -> Column:
+        paths = [f"$.fellow{name}{part}" for name in (f"['{org.upper()} Fellow']", f".{org}") for part in (".status", "")]
+        return tx.status_norm(F.coalesce(*[F.try_variant_get(v, p, "string") for p in paths]))
 
     def read(v: Column) -> Column:
-        ok = F.coalesce(F.try_variant_get(v, "$.is_target_person", "boolean"), F.lit(False)) & F.coalesce(F.try_variant_get(v, "$.is_valid_profile", "boolean"), F.lit(False))
-        return F.struct(*[F.when(ok, tx.status_norm(F.try_variant_get(v, f"$.{o}", "string"))).otherwise("Unknown").alias(o) for o in ORGS])
+        ok = said(v, "is_target_scholar") & said(v, "has_valid_profile_content")
+        return F.struct(*[F.when(ok, status(v, o)).otherwise("Unknown").alias(o) for o in ORGS])
 
     return tx.let(tx.lenient_json(reply), read)
 

@@ -80,7 +80,7 @@ def test_rules_and_lattice(spark):
 def test_lookup_modes(spark):
     page = "Ann Lee is an IEEE Fellow. " * 12
     pages = spark.createDataFrame([("a", 0, "u", "static", page), ("a", 1, "u", "dynamic", page), ("b", 0, "v", "static", "short"), ("b", 1, "v", "dynamic", "nothing of note. " * 20)], "author_key string, step int, url string, phase string, markdown string")
-    replies = spark.createDataFrame([("a", "u", '{"is_target_person": true, "is_valid_profile": true, "acm": "yes"}'), ("b", "v", '{"is_target_person": false, "acm": "yes"}')], "author_key string, url string, reply string")
+    replies = spark.createDataFrame([("a", "u", '{"is_target_scholar": true, "has_valid_profile_content": "yes", "fellow": {"ACM Fellow": {"status": "yes", "year": 2001}, "ieee": "No"}}'), ("b", "v", '{"is_target_scholar": false, "has_valid_profile_content": true, "fellow": {"acm": "yes"}}')], "author_key string, url string, reply string")
     local = honors.local_lookup(pages, replies)
     got = {r["author_key"]: r for r in local.collect()}
     assert tuple(got["a"]["statuses"]) == ("Yes", "Yes", "Unknown") and got["a"]["sources"] == ["u"] and got["a"]["error"] is None
