@@ -16,11 +16,19 @@ PREPRINTS = "CoRR"
 
 def candidates_by_token(queries: DataFrame, titles: DataFrame, per_query: int, least_tokens: int = 1) -> DataFrame:
     """(query_id, pos, ...) pairs that share words, the per_query with most shared words: what a title
-    search returns. Words in over a tenth of the titles link nothing, unless a query has no others."""
+    search returns. Common words, those in over a tenth of the titles, link nothing unless a query has
+    no others; they count where two titles meet by another word."""
     words = lambda c: F.array_distinct(F.filter(F.split(tx.title_norm(c), " "), lambda w: w != ""))
-    q = queries.select("query_id", "query_title", F.explode(words(F.col("query_title"))).alias("w"))
-    t = titles.select("paper_id", F.explode(words(F.col("paper_title"))).alias("w"))
-    met = q.join(t, "w").groupBy("query_id", "paper_id").agg(F.count("*").alias("shared")).where(F.col("shared") >= least_tokens)
+    q = queries.select("query_id", words(F.col("query_title")).alias("qw"))
+    t = titles.select("paper_id", words(F.col("paper_title")).alias("tw"))
+    by_word = t.select("paper_id", F.explode("tw").alias("w"))
+    # at most ten times as many as a title has words on average
+    common = by_word.groupBy("w").agg(F.count("*").alias("n")).join(F.broadcast(t.agg((F.count("*") / 10).alias("most"))), F.col("n") > F.col("most")).select("w", F.lit(True).alias("common"))
+    asked = q.select("query_id", F.explode("qw").alias("w")).join(F.broadcast(common), "w", "left")
+    only = asked.groupBy("query_id").agg(F.bool_and(F.coalesce("common", F.lit(False))).alias("only"))
+    links = asked.join(only, "query_id").where(F.col("common").isNull() | F.col("only")).select("query_id", "w")
+    pairs = links.join(by_word, "w").select("query_id", "paper_id").distinct()
+    met = pairs.join(q, "query_id").join(t, "paper_id").withColumn("shared", F.size(F.array_intersect("qw", "tw"))).where(F.col("shared") >= least_tokens).select("query_id", "paper_id", "shared")
     place = Window.partitionBy("query_id").orderBy(F.desc("shared"), "paper_id")
     return met.withColumn("pos", F.row_number().over(place) - 1).where(F.col("pos") < per_query)
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..session import cut
 
 INSTITUTION = "struct<id:string,display_name:string,ror:string,country_code:string>"
 #: Which columns each use of a work needs: Spark prunes the rest at the scan.
@@ -124,30 +125,55 @@ def with_h_index_defaults(works: DataFrame) -> DataFrame:
 # -- recall -------------------------------------------------------------------------------------
 
 
-def top_cited(works: DataFrame, citations: DataFrame, target: str, k: int) -> DataFrame:
-    """The k most cited works that cite the target; ties by year, then id."""
-    citing = citations.where(F.col("cited_id") == target).select(F.col("citing_id").alias("paper_id")).distinct()
-    return works.join(citing, "paper_id", "left_semi").orderBy(F.desc("cited_by_count"), F.desc("year"), "paper_id").limit(max(0, k))
+def citing(works: DataFrame, citations: DataFrame, target: str) -> DataFrame:
+    """Works that cite the target."""
+    ids = citations.where(F.col("cited_id") == target).select(F.col("citing_id").alias("paper_id")).distinct()
+    return works.join(ids, "paper_id", "left_semi")
 
 
-def recent_citing(works: DataFrame, citations: DataFrame, target: str, from_year: int | None = None, to_year: int | None = None) -> DataFrame:
-    """Works of some years that cite the target; either end may be open, a reversed range is empty."""
-    citing = citations.where(F.col("cited_id") == target).select(F.col("citing_id").alias("paper_id")).distinct()
+def most_cited(works: DataFrame, k: int) -> DataFrame:
+    return works.orderBy(F.desc("cited_by_count"), F.desc("year"), "paper_id").limit(max(0, k))
+
+
+def in_years(works: DataFrame, from_year: int | None = None, to_year: int | None = None) -> DataFrame:
+    """Works of some years; either end may be open, a reversed range is empty."""
     keep = F.lit(True)
     if from_year is not None:
         keep = keep & (F.col("year") >= from_year)
     if to_year is not None:
         keep = keep & (F.col("year") <= to_year)
-    return works.where(keep).join(citing, "paper_id", "left_semi")
+    return works.where(keep)
+
+
+def top_cited(works: DataFrame, citations: DataFrame, target: str, k: int) -> DataFrame:
+    """The k most cited works that cite the target; ties by year, then id."""
+    return most_cited(citing(works, citations, target), k)
+
+
+def recent_citing(works: DataFrame, citations: DataFrame, target: str, from_year: int | None = None, to_year: int | None = None) -> DataFrame:
+    """Works of some years that cite the target; either end may be open, a reversed range is empty."""
+    return citing(in_years(works, from_year, to_year), citations, target)
 
 
 def cutoff_year(as_of_year: int, last_years: int) -> int:
     return as_of_year - last_years + 1
 
 
+def numbered(rows: DataFrame, name: str) -> DataFrame:
+    """Sorted rows with their place from 0. Places come from the sizes of the sorted partitions, of which
+    there is one row each; the rows are never in one task. They are written once, so that the borders
+    of partitions stay what they were."""
+    at = rows.withColumn("__m", F.monotonically_increasing_id())
+    at = cut(at.withColumns({"__p": F.shiftright("__m", 33), "__i": F.col("__m").bitwiseAND(F.lit((1 << 33) - 1))}).drop("__m"))
+    sizes = at.groupBy("__p").agg(F.count("*").alias("__n"))
+    before = sizes.withColumn("__b", F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1))).select("__p", F.coalesce("__b", F.lit(0)).alias("__b"))
+    return at.join(F.broadcast(before), "__p").withColumn(name, F.col("__b") + F.col("__i")).drop("__p", "__i", "__b")
+
+
 def merged_recalls(*recalls: tuple[str, DataFrame], key: str = "paper_id", order: str = "ord") -> DataFrame:
     """Recalls as one set: a row for each key, as its first recall has it, with the names of all its
-    recalls in order. Rows without a key stay apart. One aggregation; rows travel once."""
+    recalls in order. Rows without a key stay apart. One aggregation; rows travel once. `ord` tells the
+    order: the recall, the place in it and the key, as a struct that compares in that order."""
     parts = [df.withColumns({"__recall": F.lit(i), "recall_sources": F.array(F.lit(name))}) for i, (name, df) in enumerate(recalls)]
     both = parts[0]
     for p in parts[1:]:
@@ -159,7 +185,7 @@ def merged_recalls(*recalls: tuple[str, DataFrame], key: str = "paper_id", order
     keyed = both.where(F.col(key).isNotNull()).groupBy(key).agg(first.alias("r"), sources.alias("s"), F.min(place).alias("at"))
     keyed = keyed.select(key, "r.*", F.transform("s", lambda x: x["s"]).alias("recall_sources"), "at")
     loose = both.where(F.col(key).isNull()).withColumn("at", place).drop("__recall").select(*keyed.columns)
-    return keyed.unionByName(loose).withColumn("ord", F.row_number().over(Window.orderBy("at", F.col(key))) - 1).drop("at")
+    return keyed.unionByName(loose).withColumn("ord", F.struct(F.col("at.__recall").alias("recall"), F.col(f"at.{order}").alias("place"), F.col(key).alias("key"))).drop("at")
 
 
 # -- authors ------------------------------------------------------------------------------------
@@ -264,9 +290,8 @@ def split_recent_only(works: DataFrame, most: int | None) -> tuple[DataFrame, Da
         return works, works.where("false")
     h = F.coalesce(max_h_index_author(F.col("authors"))["h_index"], F.lit(0))
     marked = works.withColumns({"max_h_index": h, "__r": is_recent_only(F.col("recall_sources"))})
-    place = F.row_number().over(Window.partitionBy("__r").orderBy(*rank_order(), "ord"))
-    # only the capped class is ranked: the others do not pass the window
-    ranked = marked.where("__r").withColumn("__n", place)
+    # only the capped class is ranked, and in many tasks
+    ranked = numbered(marked.where("__r").orderBy(*rank_order(), "ord"), "__n").withColumn("__n", (F.col("__n") + 1).cast("int"))
     kept = marked.where(~F.col("__r")).unionByName(ranked.where(F.col("__n") <= most).drop("__n"))
     dropped = ranked.where(F.col("__n") > most).withColumns({"filter_reason": F.lit("recent_year_cap"), "filter_meta": F.to_json(F.struct(F.lit(most).alias("cap"), F.col("__n").alias("rank")))})
     return kept.drop("__r", "max_h_index"), dropped.drop("__r", "__n", "max_h_index")
@@ -306,8 +331,8 @@ def selected(works: DataFrame, k: int) -> DataFrame:
 
 def influential(works: DataFrame, citations: DataFrame, metrics: DataFrame, target: str, top: int, last_years: int, as_of_year: int, least_h: int, k: int) -> DataFrame:
     """The smallest whole question: the k most influential works that cite a target."""
-    by_cites = top_cited(works, citations, target, top)
-    recent = recent_citing(works, citations, target, cutoff_year(as_of_year, last_years), as_of_year)
-    merged = merged_recalls(("top_cited", by_cites), ("recent_year", recent))
-    kept, _ = split_by_h_index(enriched(merged, metrics), least_h)
+    found = cut(citing(works, citations, target))
+    recent = in_years(found, cutoff_year(as_of_year, last_years), as_of_year)
+    merged = cut(merged_recalls(("top_cited", most_cited(found, top)), ("recent_year", recent)))
+    kept, _ = split_by_h_index(cut(enriched(merged, metrics)), least_h)
     return selected(kept.withColumns({"max_h_index_author": max_h_index_author(F.col("authors")), "has_fellow_topk": F.lit(False)}), k)

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import session
 from ..operators import honors, references, reports, scoring, status, works
 from ..sources import tables
 from .params import Params
@@ -20,8 +21,8 @@ from .params import Params
 @dataclass
 class Inputs:
     """works, citations (citing_id, cited_id), metrics (author_id, h_index), hits of the bibliography,
-    statuses (author_id, statuses, sources), fulltext (paper_id, text). cut, if given, writes a stage as
-    a table and reads it again: plans stay short, and a lost executor costs no earlier stage."""
+    statuses (author_id, statuses, sources), fulltext (paper_id, text). cut writes a stage as a table
+    and reads it again."""
 
     works: DataFrame
     citations: DataFrame
@@ -29,7 +30,7 @@ class Inputs:
     hits: DataFrame
     statuses: DataFrame
     fulltext: DataFrame
-    cut: Callable[[DataFrame], DataFrame] = lambda df: df
+    cut: Callable[[DataFrame], DataFrame] = session.cut
 
 
 def matched_target(inputs: Inputs, p: Params) -> dict:
@@ -42,28 +43,65 @@ def matched_target(inputs: Inputs, p: Params) -> dict:
     return best.asDict()
 
 
+def work_of_title(inputs: Inputs, title: str, candidates: int = 5, threshold: float = 0.6) -> DataFrame:
+    """The whole work that a title names, with match_score and the titles that came next."""
+    found = tables.by_title(inputs.works, title, candidates)
+    place = F.row_number().over(works.Window.orderBy("paper_id")) - 1  # of `candidates` rows
+    pairs = found.select(F.lit("q").alias("query_id"), F.lit(title).alias("query_title"), place.alias("pos"), F.col("paper_title").alias("candidate_title"), "paper_id")
+    best = status.best_title_match(pairs, threshold).select("paper_id", F.col("score").alias("match_score"), "is_confident")
+    others = pairs.agg(F.array_sort(F.collect_list("candidate_title")).alias("candidates"))
+    return inputs.works.join(F.broadcast(best), "paper_id").crossJoin(F.broadcast(others))
+
+
+def cited_by_of_title(inputs: Inputs, title: str, k: int = 20, with_h_index: bool = True, candidates: int = 5) -> DataFrame:
+    """The k most cited works that cite the work a title names; authors with their h-index if wanted."""
+    target = work_of_title(inputs, title, candidates).select(F.col("paper_id").alias("__target"))
+    cites = inputs.citations.join(F.broadcast(target), F.col("cited_id") == F.col("__target")).select("citing_id", F.lit("t").alias("cited_id"))
+    top = works.top_cited(inputs.works, cites, "t", k)
+    return works.enriched(top, inputs.metrics, overwrite=True) if with_h_index else top
+
+
+def recall_counters(inputs: Inputs, p: Params, target: str) -> DataFrame:
+    """What the recalls found: top_cited_count, recent_year_count, merged_total, duplicates_dropped."""
+    s = recalled(inputs, p, target).select(F.col("recall_sources").alias("s"))
+    n = lambda name: F.count_if(F.array_contains("s", name))
+    counted = s.agg(n("top_cited").alias("top_cited_count"), n("recent_year").alias("recent_year_count"), F.count("*").alias("merged_total"))
+    return counted.withColumn("duplicates_dropped", F.col("top_cited_count") + F.col("recent_year_count") - F.col("merged_total"))
+
+
+def stage_counters(chosen: DataFrame, dropped: DataFrame, contexts: DataFrame | None = None) -> DataFrame:
+    """(counter, value) of the later stages: dropped works by reason, selected works by reason, works
+    with a fellow, errors of contexts."""
+    count = lambda df, name: df.groupBy(name.alias("counter")).agg(F.count("*").alias("value"))
+    out = count(dropped, F.concat(F.lit("dropped_"), F.col("filter_reason"))).unionByName(count(chosen, F.concat(F.lit("selected_"), F.col("selection_reason"))))
+    out = out.unionByName(chosen.agg(F.count_if("has_fellow_topk").alias("value")).select(F.lit("with_fellow").alias("counter"), "value"))
+    if contexts is not None:
+        out = out.unionByName(contexts.agg(F.count_if(F.coalesce("ref_id", F.lit(0)) == 0).alias("value")).select(F.lit("context_missing").alias("counter"), "value"))
+    return out
+
+
 def recalled(inputs: Inputs, p: Params, target: str) -> DataFrame:
-    top = works.top_cited(inputs.works, inputs.citations, target, p.cited_by_top)
-    recalls = [("top_cited", top)]
+    found = inputs.cut(works.citing(inputs.works, inputs.citations, target))
+    recalls = [("top_cited", works.most_cited(found, p.cited_by_top))]
     if p.recent_years:
-        recalls.append(("recent_year", works.recent_citing(inputs.works, inputs.citations, target, works.cutoff_year(p.as_of_year, p.recent_years), p.as_of_year)))
-    return works.merged_recalls(*recalls)
+        recalls.append(("recent_year", works.in_years(found, works.cutoff_year(p.as_of_year, p.recent_years), p.as_of_year)))
+    return inputs.cut(works.merged_recalls(*recalls))
 
 
 def candidates(inputs: Inputs, p: Params, target: str) -> tuple[DataFrame, DataFrame]:
     """The selected citing works, and those dropped on the way with their reasons."""
     rows = recalled(inputs, p, target).withColumn("query_title", F.col("paper_title"))
     rows = status.published(status.publication_status(rows, inputs.hits)).drop("query_title", "status_error")
-    rows, ignored = works.split_ignored(rows.persist(), list(p.ignore_authors))
-    rows = works.with_h_index_defaults(works.enriched(rows, inputs.metrics))
+    rows, ignored = works.split_ignored(inputs.cut(rows), list(p.ignore_authors))
+    rows = inputs.cut(works.with_h_index_defaults(works.enriched(rows, inputs.metrics)))
     rows, low = works.split_by_h_index(rows, p.min_max_h_index)
     rows, capped = works.split_recent_only(rows, p.recent_cap)
     dropped = ignored.unionByName(low, allowMissingColumns=True).unionByName(capped, allowMissingColumns=True)
     rows = rows.withColumns({"max_h_index_author": works.max_h_index_author(F.col("authors")), "topk_authors": works.top_authors(F.col("authors"), p.fellow_top_authors)})
-    return works.selected(honors.with_fellows(rows, inputs.statuses).persist(), p.fallback_top).persist(), dropped
+    return inputs.cut(works.selected(inputs.cut(honors.with_fellows(rows, inputs.statuses)), p.fallback_top)), dropped
 
 
-def contexts_of(chosen: DataFrame, fulltext: DataFrame, p: Params, matched_title: str, cut: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+def contexts_of(chosen: DataFrame, fulltext: DataFrame, p: Params, matched_title: str, cut: Callable[[DataFrame], DataFrame] = session.cut) -> DataFrame:
     """Reference contexts of chosen works by the matched title, then by the one asked for. Works
     without a text have an error."""
     texts = chosen.select("paper_id").join(fulltext, "paper_id")
@@ -71,12 +109,12 @@ def contexts_of(chosen: DataFrame, fulltext: DataFrame, p: Params, matched_title
     if matched_title == p.title:
         found = first
     else:  # only papers without an entry under the matched title are parsed again
-        first = cut(first.persist())
+        first = cut(first)
         again = texts.join(first.where(F.coalesce("ref_id", F.lit(0)) == 0).select("paper_id"), "paper_id", "left_semi")
         second = references.reference_contexts(again.withColumn("title", F.lit(p.title)), p.window, p.entry_threshold, cut=cut)
         found = references.with_second_title(first, second)
     # read by reports, scores and summaries: kept, so that texts are parsed once
-    return chosen.join(cut(found.persist()), "paper_id", "left").withColumn("fulltext_error", F.when(F.col("match_score").isNull(), "no_fulltext"))
+    return chosen.join(cut(found), "paper_id", "left").withColumn("fulltext_error", F.when(F.col("match_score").isNull(), "no_fulltext"))
 
 
 def scored_contexts(payloads: DataFrame, p: Params, target_title: str, client: Callable[[str], str] | None = None) -> DataFrame:

@@ -11,7 +11,7 @@ from ..functions import similarity as sim
 from ..functions import text as tx
 from ..functions import web
 from ..operators import caches, honors, pdf, references, reports, scoring, status, works
-from ..session import table
+from ..session import cut, table
 from . import analogues as an
 
 _queries: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,10 +31,13 @@ def query(sql: str | None = None):
 
 
 def queries() -> dict:
+    from . import matching  # noqa: F401  registers its queries
+
     return dict(_queries)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(_sql)
 
 
@@ -51,10 +54,8 @@ def _enriched(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _recalls(spark: SparkSession, sf: str, base: DataFrame) -> DataFrame:
-    c = an.citations(spark, sf)
-    top = works.top_cited(base, c, TARGET, 200)
-    recent = works.recent_citing(base, c, TARGET, 1998, None)
-    return works.merged_recalls(("top_cited", top), ("recent_year", recent))
+    found = cut(works.citing(base, an.citations(spark, sf), TARGET))
+    return works.merged_recalls(("top_cited", works.most_cited(found, 200)), ("recent_year", works.in_years(found, 1998)))
 
 
 RECALL_SQL = f"""
@@ -74,8 +75,8 @@ FROM rec JOIN best USING (paper_id) WHERE best.max_h >= 60
 ORDER BY best.max_h DESC, rec.cited_by_count DESC, rec.year DESC, rec.paper_title, rec.ord LIMIT 10""")
 def flagship(spark, sf):
     """SRC03, SRC04, SET01, JOI01, AGG02, FLT03, SRT10: the most influential citing works."""
-    base = _recalls(spark, sf, an.works(spark, sf).withColumn("k", F.col("ord")))
-    rows, _ = works.split_by_h_index(works.enriched(base, an.metrics(spark, sf)), 60)
+    base = cut(_recalls(spark, sf, an.works(spark, sf).withColumn("k", F.col("ord"))))
+    rows, _ = works.split_by_h_index(cut(works.enriched(base, an.metrics(spark, sf))), 60)
     rows = rows.withColumns({"max_h_index_author": works.max_h_index_author(F.col("authors")), "has_fellow_topk": F.lit(False), "ord": F.col("k")})
     out = works.selected(rows, 10)
     return longs(out.select("paper_id", "paper_title", "year", "cited_by_count", F.col("max_h_index_author.author_id").alias("best_author"), F.col("max_h_index_author.h_index").alias("max_h"), F.array_join("recall_sources", ",").alias("sources"), "selection_reason"))
@@ -165,7 +166,7 @@ def flt03_h_index_threshold(spark, sf):
 FROM rec LEFT JOIN best USING (paper_id)) SELECT paper_id, sources FROM k WHERE NOT (y AND NOT t) OR n <= 30""")
 def flt05_recent_only_cap(spark, sf):
     base = _recalls(spark, sf, an.works(spark, sf).withColumn("k", F.col("ord"))).withColumn("ord", F.col("k"))
-    kept, _ = works.split_recent_only(works.enriched(base, an.metrics(spark, sf)), 30)
+    kept, _ = works.split_recent_only(cut(works.enriched(cut(base), an.metrics(spark, sf))), 30)
     return kept.select("paper_id", F.array_join("recall_sources", ",").alias("sources"))
 
 
@@ -188,16 +189,7 @@ def joi05_self_citation(spark, sf):
 def srt10_primary_selection(spark, sf):
     """A work with a fellow silences the fallback: all that have one stay."""
     rows = _enriched(spark, sf).withColumns({"max_h_index_author": works.max_h_index_author(F.col("authors")), "has_fellow_topk": F.col("ord") % 10 == 3})
-    return longs(works.selected(rows, 5).select("paper_id", F.coalesce("max_h_index_author.h_index", F.lit(0)).alias("max_h")))
-
-
-@query("SELECT o_orderkey, row_number() OVER (ORDER BY (o_totalprice < 1000), o_orderkey) AS place FROM (SELECT * FROM orders WHERE o_orderkey < 2000)")
-def set06_stable_partition(spark, sf):
-    from pyspark.sql import Window
-
-    rows = table(spark, sf, "orders").where(F.col("o_orderkey") < 2000)
-    fellow = F.coalesce(F.col("o_totalprice") >= 1000, F.lit(False))
-    return longs(rows.select("o_orderkey", F.row_number().over(Window.orderBy(fellow.desc(), "o_orderkey")).alias("place")))
+    return longs(works.selected(cut(rows), 5).select("paper_id", F.coalesce("max_h_index_author.h_index", F.lit(0)).alias("max_h")))
 
 
 @query("""SELECT count_if(o_orderstatus = 'F')::BIGINT AS published, count_if(o_orderstatus = 'O')::BIGINT AS informal, count_if(o_orderstatus NOT IN ('F', 'O'))::BIGINT AS unknown, count_if(o_totalprice < 1000)::BIGINT AS errors FROM orders""")
@@ -243,25 +235,6 @@ def srt06_top_contexts(spark, sf):
     return longs(reports.top_contexts(an.contexts(spark, sf), 2).select("paper_id", "side", "rank", "ctx_pos", "remark_score"))
 
 
-@query("""SELECT n_name AS nation, count(*) AS papers, string_agg(c_name, chr(10) ORDER BY c_custkey) AS agg, coalesce(string_agg(c_name, chr(10) ORDER BY c_custkey) FILTER (c_mktsegment = 'BUILDING'), '') AS agg_fellow, bool_or(c_mktsegment = 'BUILDING') AS any_fellow
-FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name""")
-def agg09_rollup(spark, sf):
-    """The target sheet's aggregation, with ordered texts."""
-    rows = table(spark, sf, "customer").join(F.broadcast(table(spark, sf, "nation")), F.col("c_nationkey") == F.col("n_nationkey"))
-    fellow = F.col("c_mktsegment") == "BUILDING"
-    text = lambda cond: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(cond, F.struct("c_custkey", "c_name")))), lambda x: x["c_name"]), "\n")
-    return rows.groupBy(F.col("n_name").alias("nation")).agg(F.count("*").alias("papers"), text(F.lit(True)).alias("agg"), text(fellow).alias("agg_fellow"), F.bool_or(fellow).alias("any_fellow"))
-
-
-@query("""SELECT d.doc_id, row_number() OVER (PARTITION BY d.doc_id ORDER BY l.doc_id, l.quality) - 1 AS context_index, coalesce(l.quality::VARCHAR, 'None') AS context, CASE WHEN l.doc_id IS NULL THEN 'no_context' ELSE 'context' END AS row_type
-FROM (SELECT DISTINCT doc_id FROM documents) d LEFT JOIN labels l USING (doc_id)""")
-def set08_outer_unnest(spark, sf):
-    """The context sheet's unnesting: papers without contexts keep a row."""
-    own = table(spark, sf, "labels").groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list("quality")), lambda q: q.cast("string")).alias("cs"))
-    rows = table(spark, sf, "documents").select("doc_id").distinct().join(own, "doc_id", "left").select("doc_id", F.posexplode_outer("cs").alias("pos", "c"))
-    return longs(rows.select("doc_id", F.coalesce("pos", F.lit(0)).alias("context_index"), F.coalesce("c", F.lit("None")).alias("context"), F.when(F.col("pos").isNull(), "no_context").otherwise("context").alias("row_type")))
-
-
 @query("""SELECT event_id, json_extract_string(props, '$.page') AS page, CASE WHEN value IS NOT NULL THEN greatest(0, least(10, round_even(value, 0)))::BIGINT END AS score FROM events""")
 def txt26_score_coercion(spark, sf):
     """Reply parsing: JSON fields and a score rounded half to even."""
@@ -355,14 +328,6 @@ def ext01_bibliography(spark, sf):
     return longs(flat.select(F.col("paper_id").alias("doc_id"), "body", "ref_id", "raw_text", "author_year_key"))
 
 
-@query()
-def ext06_reference_contexts(spark, sf):
-    """EXT04, EXT05, EXT06, MATCH03 from end to end."""
-    d = an.cited_texts(spark, sf).select(F.col("doc_id").alias("paper_id"), "text", F.concat(F.lit("New title "), (F.col("doc_id") % 17).cast("string")).alias("title"))
-    out = references.reference_contexts(d, 40)
-    return out.select("paper_id", "ref_id", "match_score", "reference_entry", F.size("contexts").alias("contexts"), "citation_style", "author_year_key")
-
-
 @query("""SELECT doc_id, CASE WHEN doc_id % 4 = 0 OR doc_id % 4 = 2 THEN 'Yes' ELSE 'Unknown' END AS ieee, CASE WHEN doc_id % 4 = 0 OR doc_id % 4 = 1 THEN 'Yes' ELSE 'Unknown' END AS acm, 'Unknown' AS aaai FROM documents WHERE text IS NOT NULL""")
 def ext16_honor_rules(spark, sf):
     r = F.col("doc_id") % 4
@@ -399,54 +364,6 @@ def flt16_without_output(spark, sf):
     return longs(tables.without_output(c, done).select("c_custkey", (F.length("c_name") + 40).alias("n")))
 
 
-@query("""WITH r AS (SELECT user_id, event_id, greatest(0, event_id * 37 % 9000 - 1200) AS a, event_id * 37 % 9000 + 2600 AS b FROM events WHERE event_id % 5 = 0),
-k AS (SELECT *, CASE WHEN a <= max(b) OVER (PARTITION BY user_id ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS fresh FROM r),
-g AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY a, b ROWS UNBOUNDED PRECEDING) AS island FROM k)
-SELECT user_id, min(a)::BIGINT AS a, max(b)::BIGINT AS b FROM g GROUP BY user_id, island""")
-def win07_merged_windows(spark, sf):
-    """Overlapping keyword windows as islands, at table scale."""
-    from pyspark.sql import Window
-
-    at = F.col("event_id") * 37 % 9000
-    r = table(spark, sf, "events").where(F.col("event_id") % 5 == 0).select("user_id", F.greatest(F.lit(0), at - 1200).alias("a"), (at + 2600).alias("b"))
-    w = Window.partitionBy("user_id").orderBy("a", "b")
-    k = r.withColumn("fresh", F.when(F.col("a") <= F.max("b").over(w.rowsBetween(Window.unboundedPreceding, -1)), 0).otherwise(1))
-    g = k.withColumn("island", F.sum("fresh").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return g.groupBy("user_id", "island").agg(F.min("a").alias("a"), F.max("b").alias("b")).select("user_id", "a", "b")
-
-
-@query("""WITH m AS (SELECT b.item_id, d.doc_id, row_number() OVER (PARTITION BY b.item_id ORDER BY d.n_chars DESC, d.doc_id) AS n FROM benchmark b JOIN documents d ON d.doc_id % 40 = b.item_id % 40) SELECT item_id, doc_id, n - 1 AS rank FROM m WHERE n <= 3""")
-def src13_ranked_results(spark, sf):
-    """SRC13, WIN03: the first results of each query in order."""
-    from pyspark.sql import Window
-
-    m = table(spark, sf, "benchmark").select("item_id", (F.col("item_id") % 40).alias("k")).join(table(spark, sf, "documents").select("doc_id", "n_chars", (F.col("doc_id") % 40).alias("k")), "k")
-    n = F.row_number().over(Window.partitionBy("item_id").orderBy(F.desc("n_chars"), "doc_id"))
-    return longs(m.withColumn("n", n).where("n <= 3").select("item_id", "doc_id", (F.col("n") - 1).alias("rank")))
-
-
-@query()
-def match01_titles(spark, sf):
-    """MATCH01, JOI06: each benchmark head against part names that share words; ratio in Python."""
-    q = table(spark, sf, "part").where(F.col("p_partkey") <= 40).select(F.col("p_partkey").cast("string").alias("query_id"), F.concat("p_name", F.lit("!")).alias("query_title"))
-    t = table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("paper_id"), F.col("p_name").alias("paper_title"))
-    pairs = status.candidates_by_token(q, t, 5).join(q, "query_id").join(t.withColumnRenamed("paper_title", "candidate_title"), "paper_id")
-    return status.best_title_match(pairs).select("query_id", "paper_id", F.round("score", 6).alias("score"), "is_confident")
-
-
-@query()
-def cls01_publication_status(spark, sf):
-    """MATCH02, CLS01, JOI07 on part names with hits made from them."""
-    p = table(spark, sf, "part").select("p_partkey", F.col("p_name").alias("query_title"))
-    k = F.explode(F.sequence(F.lit(0), F.lit(2)))
-    hits = p.select("query_title", "p_partkey", k.alias("pos")).select(
-        "query_title", "pos", (F.col("p_partkey") % 7).cast("int").alias("hit_score"), F.when(F.col("pos") == 2, F.concat(F.lit("on "), F.reverse("query_title"))).otherwise(F.concat("query_title", F.lit("."))).alias("title"),
-        F.when(F.col("pos") == 1, "CoRR").otherwise("Venue").alias("venue"), F.lit("2020").alias("year"), F.when(F.col("p_partkey") % 3 == 0, status.INFORMAL).otherwise("Journal Articles").alias("type"), F.lit("u").alias("url"), F.lit(None).cast("string").alias("doi"), F.array(F.concat(F.lit("https://doi.org/10.1/"), F.col("pos").cast("string"))).alias("links"),
-    )
-    out = status.publication_status(p, hits.dropDuplicates(["query_title", "pos"]))
-    return out.select("p_partkey", "publication_status.status", "publication_status.doi", F.round("publication_status.similarity", 6).alias("similarity"), "status_error")
-
-
 @query()
 def ext11_page_text(spark, sf):
     """EXT11, EXT12: body text and its quality."""
