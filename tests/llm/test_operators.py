@@ -311,7 +311,7 @@ def test_base_patterns_equal_the_plain_ones(spark):
 def brute_components(rows, k, num, den):
     sets = []
     for i, t in rows:
-        w = (t or "").lower().split()
+        w = (t or "").encode().lower().split()
         sets.append((i, frozenset(tuple(w[j : j + k]) for j in range(len(w) - k + 1)) if len(w) >= k else frozenset([tuple(w)] if w else [])))
     up = list(range(len(sets)))
 
