@@ -104,9 +104,9 @@ def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     return [x or "" for x in batch.column(batch.schema.get_field_index(name)).to_pylist()]
 
 
-def sliced(batches, most_bytes: int = 4 << 20, name: str = "text"):
+def sliced(batches, most_bytes: int = 4 << 20, name: str = "text", release: Callable[[], None] | None = None):
     """Arrow batches cut so that each holds about most_bytes of text at most, or one row. After the
-    last one the worker hands its free memory back."""
+    last one a cache that need not outlive the task is released, and free memory goes back."""
     for batch in batches:
         column = batch.column(batch.schema.get_field_index(name))
         lengths = pc.fill_null(pc.binary_length(column), 0).to_pylist() if batch.num_rows else []
@@ -119,6 +119,8 @@ def sliced(batches, most_bytes: int = 4 << 20, name: str = "text"):
         if lengths:
             yield batch.slice(start)
         del batch, column
+    if release:
+        release()
     trim()
 
 

@@ -158,3 +158,8 @@ def encoder(path: str, blanks_count: bool, cache_words: int = CACHE_WORDS) -> En
     if key not in _encoders:
         _encoders[key] = Encoder(*key)
     return _encoders[key]
+
+
+def forget() -> None:
+    """Release this worker's encoder and its cache."""
+    _encoders.clear()

@@ -114,7 +114,7 @@ def _index(docs: DataFrame, k: int) -> tuple[DataFrame, np.ndarray]:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common.hold("words", _words.clear)
         counts = np.zeros(width, np.uint32)
-        for batch in common.sliced(batches, 2 << 20):
+        for batch in common.sliced(batches, 2 << 20, release=_words.clear):
             found = [shingles(text, k) for text in batch.column(1).to_pylist()]
             ns, sids = [len(s) for s in found], [set_id(s) for s in found]
             if found:
@@ -159,7 +159,7 @@ def _prefixes(docs: DataFrame, k: int, num: int, den: int, levels: np.ndarray) -
         common.hold("words", _words.clear)
         levels = shared.value
         seen: set[int] = set()
-        for batch in common.sliced(batches, 2 << 20):
+        for batch in common.sliced(batches, 2 << 20, release=_words.clear):
             tokens, sids, ns, poss = [], [], [], []
             for text in batch.column(0).to_pylist():
                 s = shingles(text, k)
@@ -222,7 +222,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int, num
     def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common.hold("words", _words.clear)
         made: set[int] = set()
-        for batch in common.sliced(batches, 1 << 20):
+        for batch in common.sliced(batches, 1 << 20, release=_words.clear):
             out: list[tuple] = []
             size = 0
             for text, sid, keys in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
@@ -366,7 +366,7 @@ def unique_documents(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10) -
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common.hold("words", _words.clear)
-        for batch in common.sliced(batches, 2 << 20, name=text):
+        for batch in common.sliced(batches, 2 << 20, name=text, release=_words.clear):
             sids = [set_id(shingles(t, k)) for t in batch.column(keep.index(text)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sids, pa.int64())], names=[*keep, "__sid"])
 

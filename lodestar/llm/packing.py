@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from . import common
-from .encoding import CACHE_WORDS, encoder, tokenizer_path
+from .encoding import CACHE_WORDS, encoder, forget, tokenizer_path
 
 #: A pattern is the lengths of a sequence, longest first.
 Pattern = tuple[int, ...]
@@ -312,15 +312,16 @@ def slots(patterns: dict[Pattern, int]) -> dict[int, tuple[np.ndarray, np.ndarra
     return out
 
 
-def pieces_of(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, blanks_count: bool = False, with_ids: bool = False, cache_words: int = CACHE_WORDS) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 (and ids: little-endian u32) of every piece."""
+def pieces_of(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, blanks_count: bool = False, with_ids: bool = False, cache_words: int = CACHE_WORDS, lean: bool = False) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32 (and ids: little-endian u32) of every piece. lean: a
+    worker keeps no cache from one task to the next."""
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
     out_schema = common.fields(schema)
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer, blanks_count, cache_words)
-        for batch in common.sliced(batches, 4 << 20):
+        for batch in common.sliced(batches, (1 if lean else 4) << 20, release=forget if lean else None):
             columns: list[list] = [[] for _ in out_schema]
             for doc, ids in zip(batch.column(0).to_pylist(), enc.ids(common.texts_of(batch)), strict=True):
                 ids += end
@@ -377,9 +378,9 @@ def pack(pieces: DataFrame, capacity: int) -> DataFrame:
     return ranked.mapInArrow(place, schema)
 
 
-def packed_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, with_ids: bool = False, cache_words: int = CACHE_WORDS) -> DataFrame:
+def packed_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, with_ids: bool = False, cache_words: int = CACHE_WORDS, lean: bool = False) -> DataFrame:
     """Encode, cut and pack documents. Pieces are written to the shared folder once, without texts."""
-    return pack(common.written(pieces_of(docs, tokenizer, end_id, capacity, with_ids=with_ids, cache_words=cache_words), "pieces"), capacity)
+    return pack(common.written(pieces_of(docs, tokenizer, end_id, capacity, with_ids=with_ids, cache_words=cache_words, lean=lean), "pieces"), capacity)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

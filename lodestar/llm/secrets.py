@@ -32,6 +32,8 @@ from .spans import spans
 
 #: Words that often name a secret, and words that name harmless digests and ids.
 NAMING = "token|secret|passwd|password|passphrase|pwd|api[_-]?key|apikey|access[_-]?key|private[_-]?key|auth|bearer|credential|client[_-]?secret|signature"
+#: One of these is in each naming word.
+STEMS = ("token", "secret", "passw", "passphrase", "pwd", "api", "access", "private", "auth", "bearer", "credential", "signature")
 HARMLESS = "commit|sha1|sha256|md5|checksum|digest|uuid|guid|revision|version|build|hash|etag|integrity|file|path|url|isbn|order|invoice|card|account"
 RUN = r"(?<![A-Za-z0-9_+/.-])(?=[A-Za-z_+/.-]*+[0-9])[A-Za-z0-9_+/.-]{16,}+={0,2}+"
 #: A naming word, what may close its quote, and an assignment.
@@ -154,11 +156,20 @@ def fitted(docs: DataFrame) -> Judge:
     return fit(findings(docs.sparkSession, words), words)
 
 
+def _names(text: Column) -> Column:
+    """Whether a value may be assigned to a naming word: a plain search for parts of them first, as most
+    texts have none."""
+    low, some = F.lower(text), F.lit(False)
+    for part in STEMS:
+        some = some | F.contains(low, F.lit(part))
+    return some & text.rlike(NAMED)
+
+
 def candidates(text: Column) -> Column:
     """array<struct<start, hit, before, after>>; values are looked for only where something is assigned
     to a naming word."""
     none = F.array().cast("array<struct<start:bigint,hit:string,before:string,after:string>>")
-    return F.when(text.rlike(NAMED), spans(text, f"{VALUE}|{RUN}", AROUND)).when(text.rlike(RUN), spans(text, RUN, AROUND)).otherwise(none)
+    return F.when(_names(text), spans(text, f"{VALUE}|{RUN}", AROUND)).when(text.rlike(RUN), spans(text, RUN, AROUND)).otherwise(none)
 
 
 def scan(docs: DataFrame, judge: Judge, threshold: float = THRESHOLD, key: str = "doc_id") -> DataFrame:
@@ -183,7 +194,7 @@ def redact(docs: DataFrame, judge: Judge, threshold: float = THRESHOLD) -> DataF
     keep = [f"__c{i}" for i in range(len(names))]
     rows = docs.toDF(*keep)
     text = F.col(keep[names.index("text")])
-    has = F.coalesce(text.rlike(NAMED) | text.rlike(RUN), F.lit(False))
+    has = F.coalesce(_names(text) | text.rlike(RUN), F.lit(False))
     key = F.sha2(text.cast("binary"), 256)
     hits = rows.where(has).select(key.alias("__k"), text.alias("text")).groupBy("__k").agg(F.first("text").alias("text"))
     found = scan(hits, judge, threshold, key="__k").groupBy("__k").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("__s"))
