@@ -237,10 +237,12 @@ def body_text(html: pd.Series) -> pd.Series:
 
 
 def keyword_windows(text: Column, keywords: tuple[str, ...], before: int = 1200, after: int = 2600) -> Column:
-    """What stands around keywords: [pos - before, pos + after], overlapping windows merged. Without
-    a keyword the text itself."""
+    """What stands around the first place of each keyword: [pos - before, pos + after], overlapping
+    windows merged. Without a keyword, nothing."""
     low = F.lower(text)
-    found = F.flatten(F.array(*[F.transform(tx.spans(low, r"\Q" + k + r"\E"), lambda s: F.struct(F.greatest(F.lit(0), s["start"] - before).alias("a"), F.least(F.length(text), s["start"] + after).alias("b"))) for k in keywords]))
+    place = lambda k: F.locate(k, low) - 1
+    found = F.array(*[F.when(place(k) >= 0, F.struct(F.greatest(F.lit(0), place(k) - before).alias("a"), F.least(F.length(text), place(k) + after).alias("b"))) for k in keywords])
+    found = F.filter(found, lambda w: w.isNotNull())
     kind = "array<struct<a:int,b:int>>"
 
     def step(acc: Column, x: Column) -> Column:
@@ -248,7 +250,7 @@ def keyword_windows(text: Column, keywords: tuple[str, ...], before: int = 1200,
         joined = F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(F.struct(last["a"].alias("a"), F.greatest(last["b"], x["b"]).alias("b"))))
         return F.when((F.size(acc) > 0) & (x["a"] <= last["b"]), joined).otherwise(F.concat(acc, F.array(x)))
 
-    cut = lambda ws: F.when(F.size(ws) == 0, text).otherwise(F.array_join(F.transform(ws, lambda w: F.substring(text, w["a"] + 1, w["b"] - w["a"])), "\n\n"))
+    cut = lambda ws: F.array_join(F.transform(ws, lambda w: F.substring(text, w["a"] + 1, w["b"] - w["a"])), "\n\n")
     return tx.let(F.aggregate(F.array_sort(found), F.array().cast(kind), step), cut)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..functions import web
+from ..functions import readable, web
 
 ORGS = ("ieee", "acm", "aaai")
 #: What counts as a mention, and what as a denial.
@@ -135,12 +135,14 @@ def best_extraction(attempts: DataFrame) -> DataFrame:
     return attempts.withColumn("__n", F.row_number().over(Window.partitionBy("page_key").orderBy(*order))).where("__n = 1").drop("__n")
 
 
-def extraction_attempts(pages: DataFrame, limit: int = 8000) -> DataFrame:
-    """The ways of reading a page (page_key, name, affiliation, institutions, html), with quality."""
-    body = pages.withColumn("__b", web.body_text(F.col("html")))
+def extraction_attempts(pages: DataFrame, limit: int = 8000, mode: str = "auto") -> DataFrame:
+    """The ways of reading a page (page_key, name, affiliation, institutions, html), with quality: all
+    of them, or the one that mode names. The main content by its paragraphs, as Markdown (the body
+    where none is found) and as text; the body; all text; what stands around keywords."""
+    body = pages.withColumns({"__b": web.body_text(F.col("html")), "__r": readable.main_markdown(F.col("html")), "__t": readable.main_text(F.col("html"))})
     plain = tx.markdown_norm(F.regexp_replace(F.regexp_replace("html", "(?is)<(script|style)[^>]*>.*?</\\1>", " "), "<[^>]+>", " "))
-    ways = F.array(F.struct(F.lit("bs4_body").alias("strategy"), tx.markdown_norm(F.col("__b"), limit).alias("markdown")), F.struct(F.lit("plain_text").alias("strategy"), F.left(tx.squeezed(plain), F.lit(limit)).alias("markdown")), F.struct(F.lit("keyword_window").alias("strategy"), tx.markdown_norm(web.keyword_windows(F.col("__b"), KEYWORDS), limit).alias("markdown")))
-    rows = body.select("page_key", "name", "affiliation", "institutions", F.posexplode(ways).alias("strategy_pos", "w")).select("page_key", "name", "affiliation", "institutions", "strategy_pos", "w.*")
+    ways = F.array(F.struct(F.lit("readability_html").alias("strategy"), tx.markdown_norm(F.coalesce(tx.blank_to_null(F.col("__r")), F.col("__b")), limit).alias("markdown")), F.struct(F.lit("readability_txt").alias("strategy"), tx.markdown_norm(F.col("__t"), limit).alias("markdown")), F.struct(F.lit("bs4_body").alias("strategy"), tx.markdown_norm(F.col("__b"), limit).alias("markdown")), F.struct(F.lit("plain_text").alias("strategy"), F.left(tx.squeezed(plain), F.lit(limit)).alias("markdown")), F.struct(F.lit("keyword_window").alias("strategy"), tx.markdown_norm(web.keyword_windows(F.col("__b"), KEYWORDS), limit).alias("markdown")))
+    rows = body.select("page_key", "name", "affiliation", "institutions", F.posexplode(ways if mode == "auto" else F.filter(ways, lambda w: w["strategy"] == mode)).alias("strategy_pos", "w")).select("page_key", "name", "affiliation", "institutions", "strategy_pos", "w.*")
     return rows.withColumn("quality", web.page_quality(F.col("markdown"), F.col("name"), F.col("affiliation"), F.col("institutions")))
 
 

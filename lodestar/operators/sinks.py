@@ -10,14 +10,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def write_json(df: DataFrame, path: str, key: str = "paper_id") -> None:
-    """JSON by key, overwritten; columns in the order of their names."""
-    df.select(key, *sorted(c for c in df.columns if c != key)).write.mode("overwrite").partitionBy(key).json(path)
-
-
-def write_text(df: DataFrame, path: str, column: str, key: str = "paper_id") -> None:
-    """One text per key (full texts, reports)."""
-    df.select(key, F.col(column).alias("value")).write.mode("overwrite").partitionBy(key).text(path)
+def write_json(df: DataFrame, path: str, key: str = "paper_id", folders: bool = False) -> None:
+    """A JSON line for each key, overwritten; columns in the order of their names. folders: a folder for
+    each key instead, for as many keys as a folder may hold."""
+    rows = df.select(key, *sorted(c for c in df.columns if c != key)).write.mode("overwrite")
+    (rows.partitionBy(key) if folders else rows).json(path)
+
+
+def write_text(df: DataFrame, path: str, column: str, key: str = "paper_id", folders: bool = False) -> None:
+    """One text per key (full texts, reports), as a table of key and value; folders: as a text file in a
+    folder for each key."""
+    rows = df.select(key, F.col(column).alias("value")).write.mode("overwrite")
+    rows.partitionBy(key).text(path) if folders else rows.parquet(path)
 
 
 def write_sheets(sheets: dict[str, DataFrame], path: str) -> None:

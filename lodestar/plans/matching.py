@@ -201,15 +201,13 @@ def ext05_author_year_contexts(spark: SparkSession, sf: str) -> DataFrame:
 @query("""
 WITH d AS (SELECT doc_id, text, lower(text) AS low FROM documents WHERE text IS NOT NULL),
 k AS (SELECT doc_id, text, unnest(['haan', 'ción', 'licensed']) AS k, low FROM d),
-s AS (SELECT doc_id, text, k, string_split(low, k) AS parts FROM k WHERE contains(low, k)),
-o AS (SELECT doc_id, text, k, unnest(range(1, len(parts))) AS i, parts FROM s),
-r AS (SELECT doc_id, text, len(array_to_string(parts[1:i], '')) + (i - 1) * length(k) AS p0 FROM o),
+r AS (SELECT doc_id, text, strpos(low, k) - 1 AS p0 FROM k WHERE contains(low, k)),
 w AS (SELECT doc_id, text, greatest(0, p0 - 30) AS a, least(length(text), p0 + 80) AS b FROM r),
 f AS (SELECT *, CASE WHEN a <= max(b) OVER (PARTITION BY doc_id, text ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS fresh FROM w),
 g AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id, text ORDER BY a, b ROWS UNBOUNDED PRECEDING) AS island FROM f),
 m AS (SELECT doc_id, text, island, min(a) AS a, max(b) AS b FROM g GROUP BY doc_id, text, island),
 j AS (SELECT doc_id, string_agg(substr(text, a::BIGINT + 1, (b - a)::BIGINT), chr(10) || chr(10) ORDER BY a) AS t FROM m GROUP BY doc_id)
-SELECT d.doc_id, md5(coalesce(j.t, d.text)) AS windows, length(coalesce(j.t, d.text)) AS chars FROM d LEFT JOIN j USING (doc_id)""")
+SELECT d.doc_id, md5(coalesce(j.t, '')) AS windows, length(coalesce(j.t, '')) AS chars FROM d LEFT JOIN j USING (doc_id)""")
 def win07_merged_windows(spark: SparkSession, sf: str) -> DataFrame:
     """WIN07: what stands around keywords in all documents, overlapping windows merged."""
     d = table(spark, sf, "documents").where(F.col("text").isNotNull())

@@ -98,7 +98,7 @@ def test_rest_paging_and_retries():
 
 
 def test_fulltext_backends(spark):
-    fulltext.register("fake", lambda content, most: (([content.decode()] * 3)[:most], 3))
+    fulltext.register("fake", lambda content, most, stem: (([content.decode()] * 3)[:most], 3))
     df = spark.createDataFrame([("a", b"page"), ("b", b"\xff")], "path string, content binary")
     got = {r["path"]: r for r in fulltext.fulltexts(df, "fake", 2).collect()}
     assert got["a"]["text"] == "page\n\npage" and got["a"]["truncated"] and got["b"]["error"].startswith("UnicodeDecodeError")

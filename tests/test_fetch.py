@@ -93,3 +93,20 @@ def test_replies(spark):
     assert [tuple(r["s"]) for r in rows] == [("Unknown", "No", "Yes")] * 2
     bad = fetch.page_replies(pages, lambda m: 1 / 0).collect()
     assert all(r["reply"] is None and "division" in r["error"] for r in bad)
+
+
+def test_main_content_of_a_page():
+    from lodestar.functions import readable
+
+    long = "This person works on graphs, on queries, and on very long sentences that say so."
+    html = f"<html><head><title>t</title></head><body><nav><a href='x'>menu one two three four five six</a></nav><div id=side><ul><li><a href=y>a link that is long enough to count</a></li></ul></div><div><h2>About</h2><p>{long}</p><p>{long} <b>Bold</b> too.</p><ul><li>{long}</li></ul></div><footer><p>{long}</p></footer><script>var a;</script></body></html>"
+    assert readable.as_markdown(html) == f"## About\n\n{long}\n\n{long} Bold too.\n\n- {long}"
+    assert readable.as_text(html).startswith(f"About\n\n{long}") and readable.as_text(None) == "" and readable.as_text("<p>short</p>") == ""
+
+
+def test_result_of_a_parsing_service():
+    from lodestar.sources import fulltext
+
+    assert fulltext.result_of({"a": {"md_content": "x"}}, "b") == {"md_content": "x"} and fulltext.result_of({"a": 1, "b": 2}, "b") == 2
+    with pytest.raises(KeyError):
+        fulltext.result_of({"a": 1, "c": 2}, "b")

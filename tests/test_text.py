@@ -70,7 +70,7 @@ def test_page_texts(spark):
     assert web.body_text_of(html) == "Ann\nIEEE Fellow" and web.body_text_of(None) == ""
     text = "x" * 2000 + "biography" + "y" * 6000
     assert len(one(spark, web.keyword_windows(F.lit(text), ("biography",)))) == 1200 + 2600
-    assert one(spark, web.keyword_windows(F.lit("plain"), ("biography",))) == "plain"
+    assert one(spark, web.keyword_windows(F.lit("plain"), ("biography",))) == ""
 
 
 def test_ratio_is_difflibs(spark):
