@@ -1,6 +1,6 @@
 """Secret scan: candidates from patterns, judged by a random forest. Native expressions throughout.
 
-A candidate is a run of 16 or more of [A-Za-z0-9_+/.-] with a digit (and = at its end), or what is
+A candidate is a run of 16 or more of [A-Za-z0-9_+/.-] with a digit or 20 capitals (and = at its end), or what is
 assigned to a naming word (password, token, ...): 8 characters or more without blanks, quotes, commas
 and semicolons, whatever they are. The forest looks at its length, at the transitions between
 character classes and between letters, at how much of it dictionary words cover, at whether it looks
@@ -35,13 +35,13 @@ NAMING = "token|secret|passwd|password|passphrase|pwd|api[_-]?key|apikey|access[
 #: One of these is in each naming word.
 STEMS = ("token", "secret", "passw", "passphrase", "pwd", "api", "access", "private", "auth", "bearer", "credential", "signature")
 HARMLESS = "commit|sha1|sha256|md5|checksum|digest|uuid|guid|revision|version|build|hash|etag|integrity|file|path|url|isbn|order|invoice|card|account"
-RUN = r"(?<![A-Za-z0-9_+/.-])(?=[A-Za-z_+/.-]*+[0-9])[A-Za-z0-9_+/.-]{16,}+={0,2}+"
+RUN = r"(?<![A-Za-z0-9_+/.-])(?=[A-Za-z_+/.-]*+[0-9]|[A-Z]{20})[A-Za-z0-9_+/.-]{16,}+={0,2}+"
 #: A naming word, what may close its quote, and an assignment.
 NAMED = rf"(?i:{NAMING})[\"'\]]{{0,2}}\x20{{0,2}}(?:=>|:=|=|:)\x20{{0,2}}[\"'`]?"
 VALUE = rf"(?<={NAMED})(?![\s\"'`=:>])[^\s\"'`,;]{{8,}}+"
 AROUND = 40
 THRESHOLD = 0.5
-TREES, DEPTH = 24, 8
+TREES, DEPTH = 40, 9
 WORDS = 3000
 MASK = "[SECRET]"
 
@@ -104,7 +104,7 @@ def features(row: dict[str, Column], words: list[str]) -> list[Column]:
     ]
 
 
-def findings(spark: SparkSession, words: list[str], rows: int = 8000, seed: int = 11) -> DataFrame:
+def findings(spark: SparkSession, words: list[str], rows: int = 12_000, seed: int = 11) -> DataFrame:
     """Labelled findings from a rule: half are random strings where secrets stand, passwords with marks
     and without digits among them; the others are digests, ids, numbers, paths, words and placeholders,
     some with a naming word before them."""
@@ -118,11 +118,16 @@ def findings(spark: SparkSession, words: list[str], rows: int = 8000, seed: int
     joined = F.concat_ws("_", *[F.element_at(F.array(*[F.lit(v) for v in some]), (r(30 + i) % len(some) + 1).cast("int")) for i in range(3)])
     letters = F.translate(F.left(hexes, F.lit(14)), "0123456789", "qwxzkvjypg")
     marked = F.concat(F.left(base, F.lit(5)), pick("!@#$%&*~?", 40), F.substring(base, 6, 4), pick("!@#$^&*~?", 41), F.substring(base, 10, 3))
-    secrets = [F.left(hexes, F.lit(32)), F.left(hexes, F.lit(40)), F.left(hexes, F.lit(40)), F.left(hexes, F.lit(64)), F.left(base, F.lit(24)), F.left(base, F.lit(40)), F.concat(F.left(base, F.lit(43)), F.lit("=")), F.concat(F.lit("AKIA"), F.upper(F.left(base, F.lit(16)))), F.concat(F.lit("ghp_"), F.left(base, F.lit(36))), F.concat(F.lit("sk_live_"), F.left(base, F.lit(24))), F.left(base, F.lit(12)), marked, marked, letters]
+    secrets = [F.left(hexes, F.lit(32)), F.left(hexes, F.lit(40)), F.left(hexes, F.lit(40)), F.left(hexes, F.lit(64)), F.left(base, F.lit(24)), F.left(base, F.lit(40)), F.concat(F.left(base, F.lit(43)), F.lit("=")), F.concat(F.lit("AKIA"), F.upper(F.left(base, F.lit(16)))), F.concat(F.lit("AKIA"), F.translate(F.upper(F.left(base, F.lit(16))), "0123456789", "QWXZKVJYPG")), F.concat(F.lit("ghp_"), F.left(base, F.lit(36))), F.concat(F.lit("sk_live_"), F.left(base, F.lit(24))), F.left(base, F.lit(12)), marked, marked, letters]
     secret = F.element_at(F.array(*secrets), (r(6) % len(secrets) + 1).cast("int"))
     uuid = F.concat_ws("-", F.substring(hexes, 1, 8), F.substring(hexes, 9, 4), F.substring(hexes, 13, 4), F.substring(hexes, 17, 4), F.substring(hexes, 21, 12))
     path = F.concat(F.lit("/"), joined, F.lit("/"), (r(7) % 100).cast("string"), F.lit("/"), word, F.lit(".json"))
-    others = [F.left(hexes, F.lit(40)), F.left(hexes, F.lit(64)), uuid, F.left(digits, F.lit(16)), F.left(digits, F.lit(19)), path, F.concat(word, F.lit("."), (r(8) % 100).cast("string")), F.concat(joined, (r(8) % 1000).cast("string")), F.concat(F.lit("your_api_key_here_"), (r(8) % 10).cast("string")), F.concat(F.lit("example-0000-"), word), joined, word, F.concat(F.lit("${"), joined, F.lit("}")), F.concat(joined, F.lit("()"))]
+    one = lambda k: F.element_at(F.array(*[F.lit(v) for v in some]), (r(k) % len(some) + 1).cast("int"))
+    host = F.concat(one(50), (r(51) % 30).cast("string"), F.lit("."), one(52), pick([".com", ".org", ".net", ".example.com", ".edu"], 53))
+    page = F.concat(F.lit("www."), one(50), pick([".com/", ".org/", ".de/"], 53), one(54), F.lit("/"), (r(55) % 3000).cast("string"), F.lit("-"), one(56))
+    file = F.concat(one(50), F.lit("_"), one(54), (2000 + r(55) % 30).cast("string"), pick([".pdf", ".tar.gz", ".html", ".png"], 53))
+    moment = F.concat((2000 + r(55) % 30).cast("string"), F.lit("-0"), (1 + r(56) % 9).cast("string"), F.lit("-1"), (r(57) % 10).cast("string"), F.lit("T1"), (r(58) % 10).cast("string"), F.lit(".30.00"))
+    others = [host, host, page, file, moment, F.left(hexes, F.lit(40)), F.left(hexes, F.lit(64)), uuid, F.left(digits, F.lit(16)), F.left(digits, F.lit(19)), path, F.concat(word, F.lit("."), (r(8) % 100).cast("string")), F.concat(joined, (r(8) % 1000).cast("string")), F.concat(F.lit("your_api_key_here_"), (r(8) % 10).cast("string")), F.concat(F.lit("example-0000-"), word), joined, word, F.upper(word), F.concat(F.lit("${"), joined, F.lit("}")), F.concat(joined, F.lit("()"))]
     other = F.element_at(F.array(*others), (r(9) % len(others) + 1).cast("int"))
     name = pick(["token", "secret", "password", "api_key", "access_key", "auth_token", "client_secret", "API-KEY", "passwd"], 10)
     bare = pick(["", "the ", "of ", "and, ", "en ", "der "], 11)
@@ -133,7 +138,8 @@ def findings(spark: SparkSession, words: list[str], rows: int = 8000, seed: int
     digest = other.rlike("^[0-9a-f]{40,64}$") | other.rlike("^[0-9a-f]{8}-")
     plain = ~other.rlike("[0-9]") | other.rlike("^(your|example)")
     short = F.length(secret) < 16
-    before = F.when(label == 1, F.when((r(15) % 12 == 0) & ~short, F.concat(bare, joint)).otherwise(F.concat(bare, name, joint))).when(digest, harmless).when(plain, F.concat(name, joint)).when(r(16) % 3 == 0, harmless).otherwise(bare)
+    prefixed = secret.rlike("^(AKIA|ghp_|sk_live_)") & (r(18) % 3 > 0)  # these tell without a name too
+    before = F.when(label == 1, F.when(prefixed, bare).when((r(15) % 12 == 0) & ~short, F.concat(bare, joint)).otherwise(F.concat(bare, name, joint))).when(digest, harmless).when(plain, F.concat(name, joint)).when(other.rlike("^www") | (other == host), pick(["@", "https://", "at ", "", "from <"], 59)).when(r(16) % 3 == 0, harmless).otherwise(bare)
     after = F.concat(F.when((label == 1) | plain, quoted).otherwise(F.lit("")), pick([" ", " the", ".", ",", "\n"], 17))
     return spark.range(rows).select(F.when(label == 1, secret).otherwise(other).alias("hit"), before.alias("before"), after.alias("after"), label.alias("label"))
 
