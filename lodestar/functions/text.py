@@ -25,6 +25,11 @@ def blank_to_null(c: Column) -> Column:
     return F.nullif(F.trim(c), F.lit(""))
 
 
+def distinct_texts(items: Column) -> Column:
+    """A list's texts, stripped, without blanks and repeats, in order."""
+    return F.array_distinct(F.filter(F.transform(items, blank_to_null), lambda x: x.isNotNull()))
+
+
 def title_norm(c: Column) -> Column:
     """Lower case, single blanks, no marks. Marks go without leaving a blank."""
     return F.trim(F.regexp_replace(F.regexp_replace(F.lower(c), r"(?U)\s+", " "), r"(?U)[^\w\s]", ""))

@@ -31,7 +31,7 @@ def query(sql: str | None = None):
 
 
 def queries() -> dict:
-    from . import matching  # noqa: F401  registers its queries
+    from . import matching, shaping  # noqa: F401  they register their queries
 
     return dict(_queries)
 
