@@ -31,7 +31,7 @@ def query(sql: str | None = None):
 
 
 def queries() -> dict:
-    from . import matching, shaping  # noqa: F401  they register their queries
+    from . import finding, matching, shaping  # noqa: F401  they register their queries
 
     return dict(_queries)
 
@@ -371,15 +371,6 @@ def ext11_page_text(spark, sf):
     return p.select("page_id", F.length("t").alias("chars"), F.md5(F.col("t").cast("binary")).alias("digest"), web.page_quality(F.col("t"), F.lit("Ann Lee"), F.lit("MIT"), F.lit("")).alias("quality"))
 
 
-@query()
-def ext09_resolved_pdfs(spark, sf):
-    """EXT08, EXT09: results resolved over pages."""
-    p = table(spark, sf, "pages")
-    results = p.select(F.lit("thesis data set").alias("query"), F.col("page_id").cast("int").alias("rank"), F.lit("a thesis data set").alias("title"), "url")
-    pages = p.select("url", F.concat(F.lit('<a href="files/thesis-data.pdf">set</a>'), "html").alias("html")).dropDuplicates(["url"])
-    return pdf.resolved(results, pages).select("rank", "pdf_url", "found_by")
-
-
 @query()
 def txt02_bibliography_norm(spark, sf):
     """TXT02: NFKC only where texts are not ASCII."""
