@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
@@ -13,7 +13,9 @@ from ..sources import tables
 from .matching import TITLE_NORM, _text
 from .registry import longs, query
 
-NONE = F.lit(None).cast("string")
+
+def none() -> Column:
+    return F.lit(None).cast("string")
 
 
 @query(rf"""
@@ -127,6 +129,6 @@ def llm04_search_replies(spark: SparkSession, sf: str) -> DataFrame:
     reply = _text("Findings\nIEEE Fellow: Unknown\n", F.when(k % 4 == 0, "- ACM Fellow: yes, 2001").when(k % 4 == 1, "ACM Fellow - No").when(k % 4 == 2, "ACM Fellow,\nas it stands: Unknown").otherwise("nothing else"), F.when(k % 3 == 1, _text("\n(http://t/", k, ")")).otherwise(""))
     cited = F.when(k % 3 == 0, F.array(F.lit(" http://a "), F.lit(""), F.lit("http://a"))).otherwise(F.array().cast("array<string>"))
     e = table(spark, sf, "events").select("event_id", tx.honor_from_text(reply, "ACM Fellow").alias("honor"), honors.reply_citations(reply, cited).alias("sources"))
-    rows = e.select("event_id", "honor", k.alias("author_key"), tx.statuses(NONE, F.col("honor"), NONE).alias("statuses"), "sources", NONE.alias("error"))
+    rows = e.select("event_id", "honor", k.alias("author_key"), tx.statuses(none(), F.col("honor"), none()).alias("statuses"), "sources", none().alias("error"))
     done = honors.finalized(rows).select(F.col("author_key").alias("event_id"), F.col("statuses.acm").alias("status"), F.array_join("sources", " ").alias("sources"))
     return e.select("event_id", "honor").join(done, "event_id")

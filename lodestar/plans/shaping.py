@@ -13,7 +13,9 @@ from . import pipelines
 from .matching import TITLE_NORM, _text
 from .registry import _enriched, longs, query
 
-NONE = F.lit(None).cast("string")
+
+def none() -> Column:
+    return F.lit(None).cast("string")
 
 # -- shaping ----------------------------------------------------------------------------------------
 
@@ -29,16 +31,16 @@ FROM o LEFT JOIN a USING (k)""")
 def prj01_normalized_works(spark: SparkSession, sf: str) -> DataFrame:
     """PRJ01, PRJ02, PRJ04, PRJ14, TXT07, TXT10: raw works of a scholarly graph as works."""
     k, s = F.col("o_orderkey"), F.col("l_suppkey")
-    place = F.struct(_text("https://i.org/I", s).alias("id"), F.when(s % 3 == 0, " ").otherwise(_text("Inst ", s % 7)).alias("display_name"), NONE.alias("ror"), F.when((s % 3 != 0) & (s % 2 == 0), _text("C", s % 5)).alias("country_code"))
-    blank = F.struct(NONE.alias("id"), F.lit(" ").alias("display_name"), NONE.alias("ror"), NONE.alias("country_code"))
+    place = F.struct(_text("https://i.org/I", s).alias("id"), F.when(s % 3 == 0, " ").otherwise(_text("Inst ", s % 7)).alias("display_name"), none().alias("ror"), F.when((s % 3 != 0) & (s % 2 == 0), _text("C", s % 5)).alias("country_code"))
+    blank = F.struct(none().alias("id"), F.lit(" ").alias("display_name"), none().alias("ror"), none().alias("country_code"))
     author = F.struct(
         F.col("l_linenumber").alias("n"), s.alias("s"),
-        F.struct(_text("https://x.org/A", s, "/").alias("id"), _text("Name ", s).alias("display_name"), NONE.alias("orcid"), F.struct(NONE.alias("orcid")).alias("ids")).alias("author"),
+        F.struct(_text("https://x.org/A", s, "/").alias("id"), _text("Name ", s).alias("display_name"), none().alias("orcid"), F.struct(none().alias("orcid")).alias("ids")).alias("author"),
         F.lit("middle").alias("author_position"), F.lit(False).alias("is_corresponding"), F.when(s % 3 == 0, F.array(blank)).otherwise(F.array(blank, place)).alias("institutions"),
     )
     lines = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(author)).alias("authorships"))
     o = table(spark, sf, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    name = lambda c: F.struct(c.alias("display_name"), NONE.alias("name"))
+    name = lambda c: F.struct(c.alias("display_name"), none().alias("name"))
     words = F.map_from_arrays(F.array(F.col("o_orderpriority"), F.lit("on"), F.lit("end")), F.array(F.array(F.lit(1)), F.array(F.lit(0), F.lit(2)), F.array(F.lit(3))))
     raw = o.select(
         F.when(k % 2 == 0, _text("https://x.org/W", k)).alias("openalex_id"), _text("W", k).alias("id"), F.when(k % 3 != 0, _text("Title ", k)).alias("display_name"), _text("plain title ", k).alias("title"),
@@ -59,9 +61,9 @@ def prj03_author_profiles(spark: SparkSession, sf: str) -> DataFrame:
     """PRJ03, PRJ13: raw authors as profiles; a blank place gives way to the next."""
     k = F.col("s_suppkey")
     place = lambda shown, plain: F.struct(F.struct(shown.alias("display_name"), plain.alias("name")).alias("institution"))
-    places = F.array(place(F.lit(" "), F.when(k % 4 == 1, "Named")), place(F.when(k % 4 == 0, "Second"), NONE))
+    places = F.array(place(F.lit(" "), F.when(k % 4 == 1, "Named")), place(F.when(k % 4 == 0, "Second"), none()))
     raw = table(spark, sf, "supplier").select(
-        NONE.alias("openalex_id"), _text("http://x.org/A", k).alias("id"), F.col("s_name").alias("display_name"), F.when(k % 2 == 0, "own").alias("orcid"), F.struct(F.lit("ids").alias("orcid")).alias("ids"),
+        none().alias("openalex_id"), _text("http://x.org/A", k).alias("id"), F.col("s_name").alias("display_name"), F.when(k % 2 == 0, "own").alias("orcid"), F.struct(F.lit("ids").alias("orcid")).alias("ids"),
         F.struct(F.when(k % 3 == 0, 0).otherwise(F.floor(F.abs("s_acctbal") / 100) + 1).cast("int").alias("h_index")).alias("summary_stats"), F.lit(7).alias("h_index"),
         (k * 3).alias("works_count"), F.lit(0).alias("cited_by_count"), places.alias("affiliations"),
     )
@@ -71,7 +73,7 @@ def prj03_author_profiles(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"WITH {an.SQL} SELECT w.paper_id, w.paper_title, max(a.h)::BIGINT AS max_h_index, count(a.author_id) AS authors FROM w LEFT JOIN a USING (paper_id) GROUP BY w.paper_id, w.paper_title")
 def prj07_candidate_summary(spark: SparkSession, sf: str) -> DataFrame:
     """PRJ07: works with slim authors and the highest h-index."""
-    rows = _enriched(spark, sf).withColumns({"paper_doi": NONE, "venue": NONE})
+    rows = _enriched(spark, sf).withColumns({"paper_doi": none(), "venue": none()})
     return longs(works.candidate_summary(rows).select("paper_id", "paper_title", "max_h_index", F.size("authors").alias("authors")))
 
 
@@ -98,7 +100,7 @@ def txt05_text_functions(spark: SparkSession, sf: str) -> DataFrame:
     return longs(d.select(
         "doc_id", md5(tx.plain_norm(t)).alias("plain"), tx.short_id(_text("https://x.org/a/", k, F.when(k % 2 == 0, "//").otherwise(""))).alias("short_id"), md5(tx.truncated(t)).alias("truncated"),
         tx.slug(F.left(t, F.lit(60)), 20).alias("slug"), F.size(tx.name_tokens(F.left(t, F.lit(80)))).alias("name_tokens"), tx.line_of(t, F.lit(100)).alias("line"), tx.status_norm(said).alias("status"),
-        F.array_join(tx.urls_in(told), " ").alias("urls"), tx.search_query(F.lit("Ann  Lee"), F.when(k % 2 == 0, "MIT").otherwise(" "), NONE).alias("search_query"), tx.score_bucket(k % 11).alias("bucket"),
+        F.array_join(tx.urls_in(told), " ").alias("urls"), tx.search_query(F.lit("Ann  Lee"), F.when(k % 2 == 0, "MIT").otherwise(" "), none()).alias("search_query"), tx.score_bucket(k % 11).alias("bucket"),
     ))
 
 
@@ -117,7 +119,7 @@ SELECT p_partkey, string_agg(w, '|' ORDER BY i) AS kept FROM (SELECT p_partkey,
 def set02_distinct_texts(spark: SparkSession, sf: str) -> DataFrame:
     """SET02: a list's texts, stripped, without blanks and repeats, in order."""
     k = F.col("p_partkey")
-    items = F.array(_text(" a", k % 3), F.col("p_brand"), F.lit("  "), _text("a", k % 2, " "), F.col("p_brand"), NONE, F.lit("z"))
+    items = F.array(_text(" a", k % 3), F.col("p_brand"), F.lit("  "), _text("a", k % 2, " "), F.col("p_brand"), none(), F.lit("z"))
     return table(spark, sf, "part").select("p_partkey", F.array_join(tx.distinct_texts(items), "|").alias("kept"))
 
 
