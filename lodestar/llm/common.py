@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-import atexit
 import contextlib
 import ctypes
 import gc
-import shutil
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -16,19 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or where that is unset and
-    the session is local (tests) a temporary one, kept for the session."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found.rstrip("/")
-    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    own = tempfile.mkdtemp(prefix="lodestar-")
-    atexit.register(shutil.rmtree, own, True)
-    spark.conf.set("spark.checkpoint.dir", f"file://{own}")
-    return f"file://{own}"
+from ..session import shared_dir
 
 
 def scratch(spark: SparkSession, tag: str) -> str:

@@ -9,9 +9,12 @@ The network is fitted at the driver on a bounded sample of labelled rows: SAMPLE
 expectation, chosen by a hash of the id, their whole texts. The number of rows is bounded, their
 length is not: texts pass in groups of GROUP bytes here too.
 
-Defined results: null and empty texts are scored as an empty chunk; repeated rows are scored each;
-without labelled rows of both kinds every score is the share of good labels, or 1 without labels;
-other columns are ignored.
+Defined results: null and empty texts are scored as an empty chunk; repeated rows are scored each, and
+equal texts alike; a score of exactly the threshold counts as good; labels other than 0 and 1 are
+ignored, of several labels of one id the least counts; without labelled rows of both kinds every score
+is the share of good labels, or 1 without labels; an empty table gives no rows; other columns are
+ignored by predict and kept by good_documents, whatever they are called; texts of any length are read
+whole.
 """
 
 from __future__ import annotations
