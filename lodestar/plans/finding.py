@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..functions import web
-from ..operators import honors, pdf
+from ..operators import caches, honors, pdf, references
 from ..session import table
 from ..sources import tables
 from .matching import TITLE_NORM, _text
@@ -132,3 +132,69 @@ def llm04_search_replies(spark: SparkSession, sf: str) -> DataFrame:
     rows = e.select("event_id", "honor", k.alias("author_key"), tx.statuses(none(), F.col("honor"), none()).alias("statuses"), "sources", none().alias("error"))
     done = honors.finalized(rows).select(F.col("author_key").alias("event_id"), F.col("statuses.acm").alias("status"), F.array_join("sources", " ").alias("sources"))
     return e.select("event_id", "honor").join(done, "event_id")
+
+
+# -- caches and second tries ------------------------------------------------------------------------
+
+
+@query("""
+WITH n AS (SELECT user_id, arg_max(event_id, event_id) AS last FROM events WHERE event_id % 3 != 0 GROUP BY user_id),
+o AS (SELECT user_id, max(event_id) AS first FROM events WHERE event_id % 3 = 0 GROUP BY user_id)
+SELECT coalesce(n.user_id, o.user_id) AS user_id, greatest(coalesce(n.last, -1), coalesce(o.first, -1)) AS at FROM n FULL JOIN o ON n.user_id = o.user_id""")
+def snk10_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """SNK10: new entries win over the cache's where they are later; entries with an error stay out."""
+    e = table(spark, sf, "events").select("user_id", F.col("event_id").alias("at"))
+    cache = e.where(F.col("at") % 3 == 0).groupBy("user_id").agg(F.max("at").alias("at"))
+    new = e.where(F.col("at") % 3 != 0).withColumn("error", none())
+    bad = e.select("user_id", (F.col("at") + 10**9).alias("at"), F.lit("failed").alias("error"))
+    return caches.stored(cache, new.unionByName(bad), "user_id", "at")
+
+
+@query("""
+SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'new ' || c_custkey WHEN c_custkey % 5 > 0 THEN 'old' END AS a, CASE WHEN c_custkey % 3 = 0 THEN 'new' ELSE 'old ' || c_name END AS b FROM customer""")
+def snk10_merged_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """SNK10: fields that a new entry fills replace the cache's, the others stay."""
+    k = F.col("c_custkey")
+    c = table(spark, sf, "customer")
+    cache = c.select(k, F.when(k % 5 > 0, "old").alias("a"), _text("old ", F.col("c_name")).alias("b"), F.lit(5).alias("at"))
+    new = c.select(k, F.when(k % 2 == 0, _text("new ", k)).alias("a"), F.when(k % 3 == 0, "new").alias("b"), F.lit(1).alias("at"))
+    return caches.merged_fields(cache, new, "c_custkey", "at").select("c_custkey", "a", "b")
+
+
+@query("SELECT o_orderkey, o_custkey % 2 = 0 AS hit, CASE WHEN o_custkey % 2 = 0 THEN o_custkey * 7 END AS value FROM orders")
+def joi11_cache_hits(spark: SparkSession, sf: str) -> DataFrame:
+    """JOI11: lookups that a cache answers, and those it does not; keys do not depend on the order of names."""
+    key = lambda c: caches.lookup_key({"id": c, "kind": F.lit("order")})
+    looked = table(spark, sf, "orders").select("o_orderkey", key(F.col("o_custkey")).alias("key"))
+    ids = table(spark, sf, "orders").select("o_custkey").distinct().where(F.col("o_custkey") % 2 == 0)
+    cache = ids.select(caches.lookup_key({"kind": F.lit("order"), "id": F.col("o_custkey")}).alias("key"), (F.col("o_custkey") * 7).alias("value"))
+    hits, misses = caches.with_hits(looked, cache)
+    return hits.select("o_orderkey", F.lit(True).alias("hit"), "value").unionByName(misses.select("o_orderkey", F.lit(False).alias("hit"), F.lit(None).cast("long").alias("value")))
+
+
+@query("""
+WITH o AS (SELECT o_orderkey AS k, o_orderkey % 4 AS a, o_orderkey % 3 AS b FROM orders),
+r AS (SELECT *, a = 0 AND (b != 0 OR o.b = 0 AND k % 5 = 0) AS second FROM o)
+SELECT k AS o_orderkey, CASE WHEN second THEN b ELSE a END AS ref_id, CASE WHEN second THEN 'second' ELSE 'first' END AS told FROM r""")
+def set03_second_title(spark: SparkSession, sf: str) -> DataFrame:
+    """SET03, EXT07: where the matched title finds no entry, the title asked for is tried."""
+    k = F.col("o_orderkey")
+    o = table(spark, sf, "orders")
+    first = o.select(k.alias("paper_id"), (k % 4).cast("int").alias("ref_id"), F.lit(0.2).alias("match_score"), F.lit("first").alias("told"))
+    second = o.select(k.alias("paper_id"), (k % 3).cast("int").alias("ref_id"), F.when(k % 5 == 0, 0.5).otherwise(0.1).alias("match_score"), F.lit("second").alias("told"))
+    return longs(references.with_second_title(first, second).select(F.col("paper_id").alias("o_orderkey"), "ref_id", "told"))
+
+
+@query("""
+WITH m AS (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'Unknown' ELSE 'Yes' END AS l, event_id % 5 = 0 AS failed, event_id % 2 = 0 AS told FROM events)
+SELECT event_id, CASE WHEN (failed OR l = 'Unknown') AND told THEN 'No' ELSE l END AS acm, CASE WHEN failed AND NOT told THEN 'e' END AS error FROM m""")
+def llm05_dispatched(spark: SparkSession, sf: str) -> DataFrame:
+    """LLM05, LLM06: the remote lookup stands in where the local one failed or knows nothing."""
+    k = F.col("event_id")
+    s = lambda c: F.struct(F.lit("Unknown").alias("ieee"), c.alias("acm"), F.lit("Unknown").alias("aaai"))
+    e = table(spark, sf, "events")
+    nothing = F.array().cast("array<string>")
+    local = e.select(k.alias("author_key"), s(F.when(k % 3 == 0, "Unknown").otherwise("Yes")).alias("statuses"), nothing.alias("sources"), F.when(k % 5 == 0, "e").alias("error"))
+    remote = e.where(k % 2 == 0).select(k.alias("author_key"), s(F.lit("No")).alias("statuses"), nothing.alias("sources"), none().alias("error"))
+    out = honors.dispatched(local, remote, "local_with_fallback")
+    return out.select(F.col("author_key").alias("event_id"), "statuses.acm", "error")
