@@ -26,7 +26,8 @@ def written(df: DataFrame, tag: str, few: bool = False) -> DataFrame:
     a proven small number of rows, which go to one file."""
     at = scratch(df.sparkSession, tag)
     df = df.repartition(1) if few else df
-    df.write.mode("overwrite").parquet(at)
+    # without a file that says it is done: nothing reads it, and the driver is spared a process for it
+    df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").mode("overwrite").parquet(at)
     out = df.sparkSession.read.schema(df.schema).parquet(at)
     out.written_at = at
     return out

@@ -10,9 +10,9 @@ what may be a special token.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
-from collections.abc import Iterator
 
 import numpy as np
 
@@ -68,29 +68,29 @@ class Encoder:
             return f"\n{text}".replace("\n", " \n").split(" ")[1:] if text else []
         return text.replace("\n", " ").split(" ")
 
-    def _together(self, words: list[str], before: str, alone: str, keep: int) -> Iterator[tuple[str, bytes]]:
-        """Words and their ids, many encoded as one text: each has `before` before it, which holds the
-        mark, and its ids begin `keep` bytes after the mark. Where the marks do not show, each is
-        encoded with `alone` before it."""
+    def _together(self, table: dict[str, bytes], words: list[str], before: str, alone: str, keep: int) -> None:
+        """Add words and their ids to table, many encoded as one text: each has `before` before it, which
+        holds the mark, and its ids begin `keep` bytes after the mark. Where the marks do not show,
+        each is encoded with `alone` before it."""
         for k in range(0, len(words), TOGETHER):
             part = words[k : k + TOGETHER]
             ids = np.frombuffer(self._encode(["".join([before + w for w in part])])[0], "<u4")
             at = np.flatnonzero(ids == self.mark).tolist() if self.mark is not None else []
             if len(at) == len(part):
                 raw = ids.tobytes()
-                yield from zip(part, [raw[4 * a + keep : 4 * b] for a, b in zip(at, [*at[1:], len(ids)], strict=True)], strict=True)
+                table.update(zip(part, [raw[4 * a + keep : 4 * b] for a, b in zip(at, [*at[1:], len(ids)], strict=True)], strict=True))
             else:
-                yield from zip(part, self._encode([alone + w for w in part]), strict=True)
+                table.update(zip(part, self._encode([alone + w for w in part]), strict=True))
 
-    def _encoded(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
-        """New words and their ids, each after a blank where blanks count, or after its line feed."""
+    def _add(self, table: dict[str, bytes], words: list[str]) -> None:
+        """Add new words and their ids, each after a blank where blanks count, or after its line feed."""
         if self.blanks_count:
-            yield from self._together([w for w in words if w[:1] != "\n"], "\n ", " ", 4)
-            yield from self._together([w for w in words if w[:1] == "\n"], "", "", 0)
+            self._together(table, [w for w in words if w[:1] != "\n"], "\n ", " ", 4)
+            self._together(table, [w for w in words if w[:1] == "\n"], "", "", 0)
         else:
-            yield from self._together([w for w in words if w and "\x01" not in w], " \x01 ", "", 4)
+            self._together(table, [w for w in words if w and "\x01" not in w], " \x01 ", "", 4)
             rest = [w for w in words if not w or "\x01" in w]
-            yield from zip(rest, self._encode(rest), strict=True)
+            table.update(zip(rest, self._encode(rest), strict=True))
 
     def _ending(self, marks: str) -> bytes:
         """The ids of marks that follow a letter."""
@@ -131,8 +131,8 @@ class Encoder:
                         else:
                             fresh.add(stem)
         long: dict[str, bytes] = {}
-        for w, ids in self._encoded(list(fresh)):
-            (young if len(w) <= LONGEST_KEPT else long)[w] = ids
+        self._add(young, [w for w in fresh if len(w) <= LONGEST_KEPT])
+        self._add(long, [w for w in fresh if len(w) > LONGEST_KEPT])
         for w, stem, marks in derived:
             ids = young[stem] if stem in young else long[stem]
             (young if len(w) <= LONGEST_KEPT else long)[w] = ids + self._ending(marks) if marks else ids
@@ -140,6 +140,15 @@ class Encoder:
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """For each text its ids as little-endian unsigned 32-bit integers."""
+        collects = gc.isenabled()
+        gc.disable()  # what is made here has no cycles, and there is much of it
+        try:
+            return self._ids(texts)
+        finally:
+            if collects:
+                gc.enable()
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
         pieces = [self._pieces(t) for t in texts]
         table, odd = self._learn(pieces)
         get, skip = table.__getitem__, self.feed

@@ -346,12 +346,14 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10) ->
     none) and component_id, the smallest doc_id that links of num/den or more reach."""
     indexed, levels = _index(docs, k)
     labels = links(docs, indexed, levels, k, num, den)
-    least = indexed.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("m"))
-    placed = least.join(labels, least["sid"] == labels["node"], "left").select("sid", "m", F.coalesce("component", "sid").alias("c"))
+    least = indexed.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("m"), F.count("*").alias("rows"))
+    placed = least.join(labels, least["sid"] == labels["node"], "left").select("sid", "m", "rows", F.coalesce("component", "sid").alias("c"))
     placed = common.written(placed, "classes")
     whole = placed.groupBy("c").agg(F.min("m").alias("component_id"))
-    named = placed.join(whole, "c").select(F.col("sid").alias("__s"), "component_id")
-    return indexed.join(named, indexed["sid"] == F.col("__s"), "left").select("doc_id", F.col("n").alias("n_shingles"), "sid", F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    # a class that very many copies have meets them by a broadcast
+    named = common.written(placed.join(whole, "c").select("sid", "component_id", "rows"), "named")
+    found = common.counted_join(indexed.where("sid is not null"), named, ["sid"], "rows").select("doc_id", F.col("n").alias("n_shingles"), "sid", "component_id")
+    return found.unionByName(indexed.where("sid is null").select("doc_id", F.col("n").alias("n_shingles"), "sid", F.col("doc_id").alias("component_id")))
 
 
 def unique_documents(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10) -> DataFrame:
@@ -360,7 +362,11 @@ def unique_documents(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10) -
     keep = [f"__c{i}" for i in range(len(names))]
     found = near_duplicates(docs.select("doc_id", "text"), k, num, den)
     groups = found.where("sid is not null").groupBy("sid").agg(F.first("component_id").alias("first"), F.count("*").alias("n"), F.min("doc_id").alias("least"))
-    groups = groups.where((F.col("n") > 1) | ~F.col("first").eqNullSafe(F.col("least"))).select(F.col("sid").alias("__g"), "first")
+    groups = common.written(groups.where((F.col("n") > 1) | ~F.col("first").eqNullSafe(F.col("least"))).select("sid", "first", "n"), "groups")
+    limit = max(1, (groups.agg(F.sum("n")).first()[0] or 0) // common.SHARES)
+    # at most SHARES of them: each has more than one in SHARES of all rows in groups
+    many = F.broadcast(groups.where(F.col("n") > limit).select(F.col("sid").alias("__m"), F.col("first").alias("__f")))
+    few = groups.where(F.col("n") <= limit).select(F.col("sid").alias("__g"), "first").hint("merge")
     text = keep[names.index("text")]
     schema = T.StructType([*[T.StructField(c, f.dataType) for c, f in zip(keep, docs.schema.fields, strict=True)], T.StructField("__sid", T.LongType())])
 
@@ -370,11 +376,14 @@ def unique_documents(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10) -
             sids = [set_id(shingles(t, k)) for t in batch.column(keep.index(text)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sids, pa.int64())], names=[*keep, "__sid"])
 
-    rows = docs.toDF(*keep).mapInArrow(run, schema).join(groups, F.col("__sid") == F.col("__g"), "left")
-    own = F.col(keep[names.index("doc_id")]).cast("long").eqNullSafe(F.col("first"))
-    rows = common.written(rows.where(F.col("__g").isNull() | own), "unique")
-    alone = rows.where("__g is null").select(keep)
-    chosen = rows.where("__g is not null").dropDuplicates(["__sid"]).select(keep)
+    own = F.col(keep[names.index("doc_id")]).cast("long")
+    # copies of large classes go before anything is shuffled
+    rows = docs.toDF(*keep).mapInArrow(run, schema).join(many, F.col("__sid") == F.col("__m"), "left")
+    rows = rows.where(F.col("__m").isNull() | own.eqNullSafe(F.col("__f"))).drop("__f")
+    rows = rows.join(few, F.col("__sid") == F.col("__g"), "left")
+    rows = common.written(rows.where(F.col("__g").isNull() | own.eqNullSafe(F.col("first"))), "unique")
+    alone = rows.where("__g is null and __m is null").select(keep)
+    chosen = rows.where("__g is not null or __m is not null").dropDuplicates(["__sid"]).select(keep)
     return alone.unionByName(chosen).toDF(*names)
 
 

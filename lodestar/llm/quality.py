@@ -182,7 +182,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
     chosen = F.broadcast(named.where(kept))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.encode("text", "utf-8").alias("raw")).where(F.col("raw").isNotNull()).join(chosen, "doc_id")
     found = rows.select("doc_id", "raw", "quality").toPandas().sort_values(["doc_id", "raw"])
-    return train([bytes(x) for x in found["raw"]], found["quality"].to_numpy(np.float64))
+    net = train([bytes(x) for x in found["raw"]], found["quality"].to_numpy(np.float64))
+    del found
+    common.trim()
+    return net
 
 
 def predict(docs: DataFrame, net: dict, threshold: float = THRESHOLD) -> DataFrame:
