@@ -35,10 +35,14 @@ GRAMS = 20_000
 LONGEST_GRAM = 5
 #: A longer run of letters is rather a text without blanks: its n-grams count, it is no word.
 LONGEST_WORD = 64
+#: A table of so many numbers (4 bytes each) at most is held as a matrix; a larger one row by row.
+DENSE = 8_000_000
 #: Numbers of the tokens' scores that a worker keeps (4 bytes each).
 KEPT = 2_000_000
 UNKNOWN = "und"
 LETTERS = regex.compile(r"\p{L}+")
+#: ASCII that is no letter.
+MARKS = "".join(c for c in map(chr, range(128)) if not c.isalpha())
 
 
 def fit(labelled: DataFrame, rows: int = ROWS_A_LANGUAGE, words: int = WORDS, grams: int = GRAMS) -> dict:
@@ -86,18 +90,20 @@ def _table(seen: dict[str, dict[int, int]], langs: list[str], totals: dict[tuple
     ends = np.cumsum([0, *[len(seen[w]) for w in names]]).astype(np.int64)
     used = np.array([i for w in names for i in sorted(seen[w])], np.int32)
     more = np.array([np.log((seen[w][i] + 0.1) / 0.1) for w in names for i in sorted(seen[w])], np.float32)
-    return {"at": {w: i for i, w in enumerate(names)}, "ends": ends, "langs": used, "more": more, "none": none, "level": level}
+    table = {"at": {w: i for i, w in enumerate(names)}, "ends": ends, "langs": used, "more": more, "none": none, "level": level, "dense": None}
+    if len(names) * len(langs) <= DENSE:
+        table["dense"] = np.array([_row(table, i, w) for i, w in enumerate(names)], np.float32).reshape(len(names), len(langs))
+    return table
 
 
-def _logs(table: dict, name: str, out: np.ndarray) -> bool:
-    """Add the log frequencies of a string to out; whether it is known."""
-    i = table["at"].get(name)
-    if i is None:
-        return False
+def _row(table: dict, i: int, name: str) -> np.ndarray:
+    """The log frequencies of the i-th string."""
+    if table["dense"] is not None:
+        return table["dense"][i]
     a, b = table["ends"][i], table["ends"][i + 1]
-    out += table["none"][len(name) if table["level"] is None else table["level"]]
+    out = table["none"][len(name) if table["level"] is None else table["level"]].copy()
     out[table["langs"][a:b]] += table["more"][a:b]
-    return True
+    return out
 
 
 class Scorer:
@@ -115,20 +121,23 @@ class Scorer:
 
     def word(self, word: str) -> np.ndarray:
         """Log scores of one lower-case word."""
-        out = np.zeros(self.n, np.float32)
-        if _logs(self.m["words"], word, out):
-            return out
-        padded, grams = f"_{word}_", self.m["grams"]
+        words, grams = self.m["words"], self.m["grams"]
+        if (i := words["at"].get(word)) is not None:
+            return _row(words, i, word)
+        padded, at = f"_{word}_", grams["at"]
         for k in range(min(LONGEST_GRAM, len(padded)), 0, -1):
-            known = sum(_logs(grams, padded[j : j + k], out) for j in range(len(padded) - k + 1))
+            known = [(i, g) for j in range(len(padded) - k + 1) if (i := at.get(g := padded[j : j + k])) is not None]
             if known:
-                return out / known
-        return out
+                rows = grams["dense"][[i for i, _ in known]] if grams["dense"] is not None else np.array([_row(grams, i, g) for i, g in known])
+                return rows.mean(axis=0)
+        return np.zeros(self.n, np.float32)
 
     def token(self, token: str) -> np.ndarray:
         """Sums over the words in a token, then how many they are."""
         out = np.zeros(self.n + 1, np.float32)
-        for w in LETTERS.findall(token.lower()):
+        low = token.lower()
+        bare = low.strip(MARKS)  # most tokens are one word, with marks around it
+        for w in [bare] if bare.isalpha() else LETTERS.findall(low):
             out[:-1] += self.word(w)
             out[-1] += 1
         return out
