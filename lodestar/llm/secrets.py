@@ -70,7 +70,9 @@ def features(row: dict[str, Column], words: list[str]) -> list[Column]:
     distinct = F.size(F.array_distinct(F.split(hit, ""))).cast("double")
     # runs of letters, with a border where case rises
     parts = F.transform(F.regexp_extract_all(hit, F.lit(r"\p{Lu}?\p{Ll}{2,}+|\p{Lu}{3,}+"), F.lit(0)), F.lower)
-    known = F.aggregate(F.filter(parts, lambda w: w.isin(words) if words else F.lit(False)), F.lit(0), lambda a, w: a + F.length(w))
+    # the dictionary is one literal, whatever its size: plans stay small
+    listed = lambda book, w: F.contains(F.lit(f" {' '.join(book)} "), F.concat(F.lit(" "), w, F.lit(" ")))
+    known = F.aggregate(F.filter(parts, lambda w: listed(words, w)), F.lit(0), lambda a, w: a + F.length(w))
     # letter pairs that dictionary words have: common ones only, so that chance pairs stay out
     seen: dict[str, int] = {}
     for w in words:
@@ -79,7 +81,7 @@ def features(row: dict[str, Column], words: list[str]) -> list[Column]:
     pairs = sorted(seen, key=lambda p: (-seen[p], p))[:120]
     low = F.lower(hit)
     own = F.transform(F.sequence(F.lit(1), F.greatest(F.length(hit) - 1, F.lit(1))), lambda i: F.substring(low, i, F.lit(2)))
-    common_pairs = F.size(F.filter(own, lambda p: p.isin(pairs) if pairs else F.lit(False))).cast("double")
+    common_pairs = F.size(F.filter(own, lambda p: listed(pairs, p))).cast("double")
     return [
         n.alias("f_length"),
         (1 - turns / n).alias("f_turns"),
