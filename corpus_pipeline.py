@@ -17,7 +17,9 @@ from lodestar.llm.encoding import tokenizer_path
 
 def _bounded(spark: SparkSession) -> None:
     """Fewer rows in an Arrow batch than by default: stages that follow one another in the same executors
-    share their memory, and a batch of long texts is held by the JVM and by a worker."""
+    share their memory, and a batch of long texts is held by the JVM and by a worker. The driver hands
+    back what the stage before it left."""
+    common.trim()
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
 
 
