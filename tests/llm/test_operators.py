@@ -193,6 +193,35 @@ def test_top_k_of_random_codes_grows_radii(spark, monkeypatch):
     assert looked == list(range(len(looked))) and len(looked) <= max(d for _, _, _, d in want) // 8 + 1
 
 
+def test_top_k_broadcasts_nothing_that_grows(spark, monkeypatch):
+    """What is looked up and the tables it meets stay out of the driver, however small Spark takes them
+    for; both sides of the lookup are dealt once, by part."""
+    rng = np.random.default_rng(6)
+    rows = [(i, [float(x) for x in rng.normal(size=24)]) for i in range(200)]
+    rows += [(200 + i, rows[7][1][:-4] + [float(x) for x in rng.normal(size=4)]) for i in range(120)]
+    widths = hamming.segments(24, 320)
+    v = hamming.codes(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), widths)
+    plans = []
+    real = common.written
+
+    def seen(df, tag, few=False):
+        if tag in ("best", "queries") and not few:
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df, tag, few)
+
+    monkeypatch.setattr(common, "written", seen)
+    got = hamming.top_k(v, v.where(F.col("id") % 20 == 0), widths, k=10)
+    plans.append(got._jdf.queryExecution().executedPlan().toString())
+    codes = {r["id"]: r["code"] for r in v.collect()}
+    dist = lambda a, b: sum(bin(x ^ y).count("1") for x, y in zip(codes[a], codes[b], strict=True))
+    want = {(a, k, b, d) for a in codes if a % 20 == 0 for k, (d, b) in enumerate(sorted((dist(a, b), b) for b in codes)[:10], 1)}
+    assert {(r["query_id"], r["rank"], r["neighbor_id"], r["distance"]) for r in got.collect()} == want
+    lookups = [p for p in plans if "ShuffledHashJoin" in p]
+    assert lookups and all(p.count("BroadcastHashJoin") <= 2 for p in lookups)  # the counted table of hot parts, for both sides
+    assert not any("BroadcastHashJoin" in p for p in plans if p not in lookups)
+    assert not any("salt" in x and "rest" in x for p in lookups for x in p.splitlines() if "Exchange hashpartitioning" in x)
+
+
 def test_line_deduplication(spark, odd, none):
     line = " ".join(f"w{i}" for i in range(25))
     rows = docs(spark, [(5, f"a\n{line}\nb\n{line.upper()}!"), (2, f"{line}\nzz"), (None, line), (7, None), (8, ""), (2, f"{line}\nzz")])

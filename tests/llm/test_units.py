@@ -219,3 +219,12 @@ def test_masks_cover_a_segment():
     for bits, rows in ((1, 0), (64, 2000), (64, 10**9), (100, 5)):
         widths = segments(bits, rows)
         assert sum(widths) == bits and max(widths) - min(widths) <= 1 and max(widths) <= 24
+
+
+def test_parts_of_an_index_fit_its_tasks():
+    from lodestar.llm.hamming import HELD, parted
+
+    for rows, widths, tasks in ((10, [2, 2], 8), (10**6, [16] * 4, 12), (45 * 10**6, [22, 21, 21], 12)):
+        bits, dealt = parted(rows, widths, tasks)
+        assert dealt >= tasks and rows / dealt <= HELD and bits <= min(widths)
+        assert bits == min(widths) or len(widths) << bits >= 8 * dealt
