@@ -36,19 +36,20 @@ def resolved(results: DataFrame, pages: DataFrame, least: int = LEAST_SCORE) ->
         "__forum": forum,
     })
     need = direct.where("found_by is null").select("query", "rank", "title", "url", "__forum")
-    # pages are joined to the results that still need them before any page is read
-    own = pages.join(need.select("url").distinct(), "url", "left_semi")
-    read = need.join(own, "url").withColumn("about", web.page_relevant(F.col("html"), F.col("query")))
+    # pages are joined to the results that still need them before any page is read. No side is bounded,
+    # and Spark takes pages and exploded results for small: without the hints they go through the driver
+    own = pages.join(need.select("url").distinct().hint("merge"), "url", "left_semi")
+    read = need.join(own.hint("merge"), "url").withColumn("about", web.page_relevant(F.col("html"), F.col("query")))
     tokens = tx.query_tokens(F.col("query"))
     hits = lambda c: F.when(F.size(tokens) == 0, 0).otherwise(tx.token_hits(c, tokens))
     around = hits(F.concat_ws(" ", F.coalesce("title", F.lit("")), F.left(F.coalesce("html", F.lit("")), F.lit(1000))))
     places = read.where(~F.col("__forum")).select("query", "rank", "url", "about", around.alias("around"))
-    scored = places.join(page_links(own), "url").withColumn("score", F.greatest(hits(F.col("link")), "around"))
+    scored = places.join(page_links(own).hint("merge"), "url").withColumn("score", F.greatest(hits(F.col("link")), "around"))
     best = scored.withColumn("__n", F.row_number().over(Window.partitionBy("query", "rank").orderBy(F.desc("score"), "pos"))).where("__n = 1")
     best = best.where((F.col("score") >= least) | F.col("about")).select("query", "rank", F.col("link").alias("__link"), F.lit("page").alias("__by"))
     forums = read.where(F.col("__forum") & F.col("about")).select("query", "rank", web.openreview_pdf(F.col("url")).alias("__link"), F.lit("openreview").alias("__by"))
     found = best.unionByName(forums)
-    return direct.drop("__forum").join(found, ["query", "rank"], "left").withColumns({"pdf_url": F.coalesce("pdf_url", "__link"), "found_by": F.when(F.coalesce("pdf_url", "__link").isNotNull(), F.coalesce("found_by", "__by"))}).drop("__link", "__by")
+    return direct.drop("__forum").join(found.hint("merge"), ["query", "rank"], "left").withColumns({"pdf_url": F.coalesce("pdf_url", "__link"), "found_by": F.when(F.coalesce("pdf_url", "__link").isNotNull(), F.coalesce("found_by", "__by"))}).drop("__link", "__by")
 
 
 def first_usable(found: DataFrame, downloads: DataFrame) -> DataFrame:

@@ -114,6 +114,17 @@ def test_pdf_resolution(spark):
     assert pdf.first_usable(pdf.resolved(r, p), ok).first()["rank"] == 1
 
 
+def test_pdf_resolution_broadcasts_nothing(spark):
+    """Pages and results grow with the corpus, however small Spark takes them for."""
+    k = F.col("id").cast("string")
+    r = spark.range(9).select(F.concat(F.lit("deep graph parsing "), k).alias("query"), F.col("id").cast("int").alias("rank"), F.lit("x").alias("title"), F.concat(F.lit("https://a.org/p"), k).alias("url"))
+    p = spark.range(9).select(F.concat(F.lit("https://a.org/p"), k).alias("url"), F.concat(F.lit('<a href="deep-graph-parsing.pdf?'), k, F.lit('">b</a>')).alias("html"))
+    found = pdf.resolved(r, p)
+    for df in (found,):
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+    assert {x["pdf_url"] for x in found.collect()} == {f"https://a.org/deep-graph-parsing.pdf?{i}" for i in range(9)}
+
+
 def test_graph_people(spark):
     e = spark.createDataFrame([("Q1", {"P31": ["Q5"], "P108": ["O1"], "P166": ["W1", "W2"]}), ("Q2", {"P31": ["Q5"]}), ("Q3", {"P31": ["Q9"]})], "qid string, claims map<string,array<string>>")
     n = spark.createDataFrame([("O1", {"en": "MIT"}, {"en": ["Massachusetts Institute"]}), ("W1", {"en": "ACM Fellow"}, {}), ("W2", {"de": "Preis"}, {})], "qid string, labels map<string,string>, aliases map<string,array<string>>")
