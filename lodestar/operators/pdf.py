@@ -56,7 +56,7 @@ def first_usable(found: DataFrame, downloads: DataFrame) -> DataFrame:
     """(query, pdf_url, rank, result_title) of the first relevant result whose PDF could be had;
     downloads: (pdf_url, ok)."""
     ok = downloads.where("ok").select("pdf_url").distinct()
-    usable = found.where(F.col("pdf_url").isNotNull() & web.title_relevant(F.col("title"), F.col("query"))).join(ok, "pdf_url", "left_semi")
+    usable = found.where(F.col("pdf_url").isNotNull() & web.title_relevant(F.col("title"), F.col("query"))).join(ok.hint("merge"), "pdf_url", "left_semi")
     return usable.groupBy("query").agg(F.min_by(F.struct("pdf_url", F.col("title").alias("result_title")), "rank").alias("b"), F.min("rank").alias("rank")).select("query", "b.pdf_url", "rank", "b.result_title")
 
 

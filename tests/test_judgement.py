@@ -120,7 +120,8 @@ def test_pdf_resolution_broadcasts_nothing(spark):
     r = spark.range(9).select(F.concat(F.lit("deep graph parsing "), k).alias("query"), F.col("id").cast("int").alias("rank"), F.lit("x").alias("title"), F.concat(F.lit("https://a.org/p"), k).alias("url"))
     p = spark.range(9).select(F.concat(F.lit("https://a.org/p"), k).alias("url"), F.concat(F.lit('<a href="deep-graph-parsing.pdf?'), k, F.lit('">b</a>')).alias("html"))
     found = pdf.resolved(r, p)
-    for df in (found,):
+    usable = pdf.first_usable(found, spark.range(9).select(F.concat(F.lit("https://a.org/deep-graph-parsing.pdf?"), k).alias("pdf_url"), F.lit(True).alias("ok")))
+    for df in (found, usable):
         assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
     assert {x["pdf_url"] for x in found.collect()} == {f"https://a.org/deep-graph-parsing.pdf?{i}" for i in range(9)}
 
